@@ -50,23 +50,21 @@ def looked_up(c: Column, mapping: Mapping[str, str]) -> Column:
 def title_case(c: Column) -> Column:
     """First letter of every run of letters in upper case, the others in lower case.
 
-    ``initcap`` only starts a word after a blank, so ``D'AGUA`` and ``CLINICA-MEDICA`` need
-    the split into runs.
+    ``initcap`` does this for words between blanks, which is most of them; it only starts a
+    word after a blank, so ``D'AGUA`` and ``CLINICA-MEDICA`` need the split into runs.
     """
     runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
     cased = F.transform(
         runs,
         lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.lower(F.substr(run, F.lit(2)))),
     )
-    return F.array_join(cased, "")
+    return F.when(c.rlike(r"^[\p{L} ]*$"), F.initcap(c)).otherwise(F.array_join(cased, ""))
 
 
 def specialty(c: Column, names: Mapping[str, str] = d.SPECIALTY_NAMES) -> Column:
-    """Standard name by exact match, otherwise title case; null becomes the sentinel."""
-    text = stripped(c)
-    return F.when(c.isNull(), F.lit(d.UNKNOWN)).otherwise(
-        F.coalesce(looked_up(text, names), title_case(text))
-    )
+    """Standard name of a stripped text by exact match, otherwise title case; null becomes
+    the sentinel."""
+    return F.coalesce(looked_up(c, names), title_case(c), F.lit(d.UNKNOWN))
 
 
 def specialty_group(
@@ -86,12 +84,8 @@ def age_band(
 
 
 def sex(c: Column, codes: Mapping[str, Sequence[str]] = d.SEX_CODES) -> Column:
-    text = F.upper(stripped(c))
-    result = None
-    for label, accepted in codes.items():
-        known = text.isin(*accepted)
-        result = F.when(known, F.lit(label)) if result is None else result.when(known, F.lit(label))
-    return result.otherwise(F.lit(d.UNKNOWN))
+    labels = {code: label for label, accepted in codes.items() for code in accepted}
+    return F.coalesce(looked_up(F.upper(stripped(c)), labels), F.lit(d.UNKNOWN))
 
 
 def capital_flag(c: Column, pattern: str = d.CAPITAL_PATTERN) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -43,7 +42,7 @@ def clean_text(c: Column) -> Column:
         F.contains(unlinked, F.lit("@")) | F.contains(unlinked, F.lit("#")),
         F.regexp_replace(unlinked, rf"[@#][{d.WORD}]+", ""),
     ).otherwise(unlinked)
-    return F.trim(F.regexp_replace(untagged, rf"[^{d.WORD}.,!?]+", " "))
+    return F.trim(F.regexp_replace(untagged, rf"[^{d.WORD}.,!?]++", " "))
 
 
 def words(c: Column, shortest: int) -> Column:
@@ -58,10 +57,8 @@ def tokens(c: Column) -> Column:
 
 def lexicon_hits(tokens: Column, lexicon: Sequence[str]) -> Column:
     """Number of tokens that contain at least one lexicon word."""
-    if not lexicon:
-        return F.lit(0)
-    pattern = "|".join(re.escape(w) for w in lexicon)
-    return F.size(F.filter(tokens, lambda t: t.rlike(pattern)))
+    listed = F.array(*[F.lit(w) for w in lexicon]).cast("array<string>")
+    return F.size(F.filter(tokens, lambda t: F.exists(listed, lambda w: F.contains(t, w))))
 
 
 def digest(tokens: Column, first: int = d.DIGEST_TOKENS) -> Column:

@@ -74,6 +74,9 @@ def tfidf_terms(
     )
     if stopwords:
         unfolded = unfolded.filter(~F.col("_term").isin(*stopwords))
+    if vocabulary is not None:
+        listed = vocabulary.toDF("_class", "_term")
+        unfolded = unfolded.join(listed, ["_class", "_term"], "left_semi")
     counts = unfolded.groupBy("_class", "_term").agg(
         F.count_if(F.col("_at") < F.col("_n")).alias("_occurrences"),
         F.count_if(F.col("_at") >= F.col("_n")).alias("_df"),
@@ -82,8 +85,7 @@ def tfidf_terms(
         by_count = Window.partitionBy("_class").orderBy(F.desc("_occurrences"), "_term")
         kept = counts.withColumn("_place", F.row_number().over(by_count)).filter(F.col("_place") <= top)
     else:
-        given = vocabulary.toDF("_class", "_term").distinct()
-        kept = counts.join(given, ["_class", "_term"])
+        kept = counts
     idf = F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1
     weights = (
         kept.join(sizes, "_class")

@@ -62,7 +62,7 @@ def admissions_silver(
     typed = df.withColumns(
         {
             "data_internacao": dated(df, "data_internacao", formats),
-            "especialidade_padrao": c.specialty(F.col("especialidade_hospitalar").cast("string"), names),
+            "_especialidade": c.stripped(F.col("especialidade_hospitalar")),
             "idade": c.whole_number(F.col("idade"), is_text(df, "idade")),
             "sexo": c.sex(F.col("sexo_paciente")),
             "municipio_residencia": c.or_sentinel(F.col("municipio_residencia")),
@@ -74,7 +74,8 @@ def admissions_silver(
             ),
         }
     ).filter(F.col("data_internacao").isNotNull())
-    return typed.withColumns(
+    named = typed.withColumn("especialidade_padrao", c.specialty(F.col("_especialidade"), names))
+    return named.drop("_especialidade").withColumns(
         {
             "grupo_especialidade": c.specialty_group(F.col("especialidade_padrao"), groups),
             "faixa_etaria": c.age_band(F.col("idade")),

@@ -11,6 +11,7 @@ from wardlake.functions import defaults as d
 from wardlake.functions.exact import half_up, mean3, percent
 from wardlake.operators.keys import rank_descending
 from wardlake.plans.star import Star
+from wardlake.sources.storage import publish
 
 TOTAL = "total_internacoes"
 
@@ -105,7 +106,7 @@ def decision_summary(star: Star, comments: DataFrame) -> DataFrame:
     """
     places = star.fact.join(star.municipality, "id_municipio")
     kinds = star.fact.join(star.specialty, "id_especialidade")
-    moods = sentiment_distribution(comments)
+    moods = publish(sentiment_distribution(comments), "moods").frame  # read by three subqueries
 
     def leader(df: DataFrame, name: str) -> F.Column:
         totals = df.groupBy(name).agg(_total())

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.functions import cleaning as c
@@ -31,46 +32,50 @@ def admissions_grain(staging: DataFrame) -> DataFrame:
     return keyed.groupBy(*NATURAL_KEYS).agg(F.sum("numero_internacoes").alias("qtd_internacoes"))
 
 
-def dim_time(grain: DataFrame, months: Sequence[str] = d.MONTH_NAMES) -> tuple[DataFrame, int]:
-    dates = publish(grain.select("data_internacao").distinct(), "dim_time")
-    keyed = surrogate_key(dates, [F.asc("data_internacao")], "id_tempo")
-    parts = keyed.withColumns(date_parts("data_internacao"))
-    named = parts.withColumns(
-        {"nome_mes": c.month_name(F.col("mes"), months), "estacao_br": c.season(F.col("mes"))}
+def _dimension(distinct: DataFrame, order: Sequence[str], key: str, **attributes: Column) -> Stored:
+    """Written dimension: distinct natural keys, their dense key, columns derived from them.
+
+    The distinct rows are written first, because their counted size decides how they are
+    numbered; the numbered table is written so that its readers see its size.
+    """
+    rows = publish(distinct, key)
+    numbered = surrogate_key(rows, [F.asc(name) for name in order], key)
+    return publish(numbered.withColumns(attributes) if attributes else numbered, f"dim_{key}")
+
+
+def dim_time(grain: DataFrame, months: Sequence[str] = d.MONTH_NAMES) -> Stored:
+    dates = grain.select("data_internacao").distinct().withColumns(date_parts("data_internacao"))
+    return _dimension(
+        dates,
+        ["data_internacao"],
+        "id_tempo",
+        nome_mes=c.month_name(F.col("mes"), months),
+        estacao_br=c.season(F.col("mes")),
     )
-    columns = ("id_tempo", "data_internacao", "ano", "mes", "trimestre", "ano_mes", "nome_mes", "estacao_br")
-    return named.select(*columns), dates.rows
 
 
-def dim_specialty(grain: DataFrame) -> tuple[DataFrame, int]:
-    pairs = publish(grain.select("especialidade_padrao", "grupo_especialidade").distinct(), "dim_specialty")
-    keyed = surrogate_key(pairs, [F.asc("especialidade_padrao")], "id_especialidade")
-    return keyed.select("id_especialidade", "especialidade_padrao", "grupo_especialidade"), pairs.rows
+def dim_specialty(grain: DataFrame) -> Stored:
+    pairs = grain.select("especialidade_padrao", "grupo_especialidade").distinct()
+    return _dimension(pairs, ["especialidade_padrao", "grupo_especialidade"], "id_especialidade")
 
 
-def dim_patient(grain: DataFrame) -> tuple[DataFrame, int]:
-    profiles = publish(grain.select("faixa_etaria", "sexo", "idade").distinct(), "dim_patient")
-    keyed = surrogate_key(profiles, [F.asc("faixa_etaria"), F.asc("sexo"), F.asc("idade")], "id_paciente")
-    return keyed.select("id_paciente", "faixa_etaria", "sexo", "idade"), profiles.rows
+def dim_patient(grain: DataFrame) -> Stored:
+    profiles = grain.select("faixa_etaria", "sexo", "idade").distinct()
+    return _dimension(profiles, ["faixa_etaria", "sexo", "idade"], "id_paciente")
 
 
-def dim_municipality(grain: DataFrame, state: str = d.STATE) -> tuple[DataFrame, int]:
+def dim_municipality(grain: DataFrame, state: str = d.STATE) -> Stored:
     """One row per municipality. With several codes, a real code wins over the sentinel,
     then the lowest, so that the fact join never multiplies rows."""
     code = F.col("codigo_municipio_ibge")
     seen = grain.select("municipio_residencia", "codigo_municipio_ibge", "capital_interior").distinct()
-    places = publish(
-        seen.groupBy("municipio_residencia").agg(
-            F.coalesce(F.min(F.when(code != d.UNKNOWN_CODE, code)), F.lit(d.UNKNOWN_CODE)).alias(
-                "codigo_municipio_ibge"
-            ),
-            F.min("capital_interior").alias("capital_interior"),
+    places = seen.groupBy("municipio_residencia").agg(
+        F.coalesce(F.min(F.when(code != d.UNKNOWN_CODE, code)), F.lit(d.UNKNOWN_CODE)).alias(
+            "codigo_municipio_ibge"
         ),
-        "dim_municipality",
+        F.min("capital_interior").alias("capital_interior"),
     )
-    keyed = surrogate_key(places, [F.asc("municipio_residencia")], "id_municipio")
-    columns = ("id_municipio", "municipio_residencia", "codigo_municipio_ibge", "capital_interior")
-    return keyed.select(*columns, F.lit(state).alias("uf")), places.rows
+    return _dimension(places, ["municipio_residencia"], "id_municipio", uf=F.lit(state))
 
 
 @dataclass(frozen=True)
@@ -106,17 +111,16 @@ def build_star(staging: DataFrame, store_fact: bool = False) -> Star:
     """Star from staging rows. The staging plan runs once, for the stored grain; with
     ``store_fact`` the fact is written too, for callers that read it several times."""
     grain = publish(admissions_grain(staging), "grain").frame
-    built = {
-        "time": dim_time(grain),
-        "specialty": dim_specialty(grain),
-        "patient": dim_patient(grain),
-        "municipality": dim_municipality(grain),
+    builders = {
+        "time": dim_time, "specialty": dim_specialty, "patient": dim_patient, "municipality": dim_municipality,
     }
-    dims = {name: frame for name, (frame, _) in built.items()}
+    with ThreadPoolExecutor(len(builders)) as pool:  # four small independent jobs
+        built = dict(zip(builders, pool.map(lambda build: build(grain), builders.values())))
+    dims = {name: stored.frame for name, stored in built.items()}
     fact = fact_admissions(grain, **dims)
     if store_fact:
         fact = publish(fact, "fact").frame
-    return Star(**dims, fact=fact, rows={name: rows for name, (_, rows) in built.items()})
+    return Star(**dims, fact=fact, rows={name: stored.rows for name, stored in built.items()})
 
 
 def fact_comments(staging: DataFrame) -> DataFrame:

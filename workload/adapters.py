@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wardlake.functions.text import Lexicon
 from wardlake.plans.admissions import admissions_silver, admissions_staging
 from wardlake.plans.comments import comments_silver, comments_staging, sentiment_gold
+from wardlake.sources.readers import spread
 
 #: The tables' texts hold none of the default words, so the queries use these.
 LEXICON = Lexicon(positive=("the", "tion", "que", "der"), negative=("of", "and", "ent", "ich"))
@@ -29,13 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admissions with usable values and standard column names."""
-    places = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
     joined = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     )
     return joined.select(
         F.to_date("l_shipdate").alias("data_internacao"),
@@ -92,7 +91,7 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as comments, all columns text but the row order."""
     doc = F.col("doc_id")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (doc % 365).cast("int"))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         doc.cast("string").alias("comment_id"),
         F.col("source").alias("post_id"),
         F.col("lang").alias("autor"),

@@ -25,6 +25,7 @@ from wardlake.plans import admissions as adm
 from wardlake.plans import comments as com
 from wardlake.plans import marts, star
 from wardlake.sources import readers, writers
+from wardlake.sources.readers import spread
 from wardlake.sources.storage import new_path, publish
 from workload import adapters as a
 
@@ -183,12 +184,9 @@ def q_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_staging_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Admissions loaded into a table twice; the second load replaces the first."""
     silver = a.silver_admissions(spark, sf_dir)
     path = new_path(spark, "stg_internacoes")
-    table = "stg_internacoes_" + path[-32:]
-    writers.load_table(silver, table, adm.STAGING_TYPES, path)
-    return plain(writers.load_table(silver, table, adm.STAGING_TYPES))
+    return plain(writers.load_table(silver, "stg_internacoes_" + path[-32:], adm.STAGING_TYPES, path))
 
 
 @query
@@ -271,7 +269,7 @@ def q_specialty_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of parts as specialties: mapped where exact, otherwise title case."""
     part = a.table(spark, sf_dir, "part")
     raw = F.when(F.col("p_size") != 50, F.concat(F.lit(" "), "p_type", F.when(F.col("p_size") > 25, "-d'ÁGUA 3rd x").otherwise("")))
-    return part.select("p_partkey", c.specialty(raw, a.SPECIALTY_NAMES).alias("especialidade_padrao"))
+    return part.select("p_partkey", c.specialty(c.stripped(raw), a.SPECIALTY_NAMES).alias("especialidade_padrao"))
 
 
 @query
@@ -347,7 +345,7 @@ def _all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = a.table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text"
     )
-    return docs.unionByName(turns).select(
+    return spread(docs.unionByName(turns)).select(
         "id", F.concat(F.lit("Veja@joão_1 ahttps://x.y/é?z "), "text", F.lit(" #saúde-já")).alias("text")
     )
 
@@ -429,7 +427,7 @@ def q_tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_tfidf_given_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TF-IDF over a stated vocabulary: the languages' classes and the words of one list."""
-    docs = a.table(spark, sf_dir, "documents").select("lang", "text")
+    docs = spread(a.table(spark, sf_dir, "documents").select("lang", "text"))
     listed = [(lang, word) for lang in ("en", "fr", "de") for word in ("the", "que", "der", "et", "und", "la", "of")]
     vocabulary = spark.createDataFrame(listed, "classe string, termo string")
     terms = tfidf_terms(docs, "lang", "text", classes=("en", "fr", "de"), vocabulary=vocabulary)
@@ -450,7 +448,7 @@ def q_term_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish(star.admissions_grain(a.staged_admissions(spark, sf_dir)), "grain").frame
+    return star.admissions_grain(a.staged_admissions(spark, sf_dir))
 
 
 def _star(spark: SparkSession, sf_dir: str, store_fact: bool = False) -> star.Star:
@@ -459,22 +457,22 @@ def _star(spark: SparkSession, sf_dir: str, store_fact: bool = False) -> star.St
 
 @query
 def q_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(star.dim_time(star.admissions_grain(a.staged_admissions(spark, sf_dir)))[0])
+    return plain(star.dim_time(_grain(spark, sf_dir)).frame)
 
 
 @query
 def q_dim_specialty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_specialty(star.admissions_grain(a.staged_admissions(spark, sf_dir)))[0]
+    return star.dim_specialty(_grain(spark, sf_dir)).frame
 
 
 @query
 def q_dim_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(star.dim_patient(star.admissions_grain(a.staged_admissions(spark, sf_dir)))[0])
+    return plain(star.dim_patient(_grain(spark, sf_dir)).frame)
 
 
 @query
 def q_dim_municipality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_municipality(star.admissions_grain(a.staged_admissions(spark, sf_dir)))[0]
+    return star.dim_municipality(_grain(spark, sf_dir)).frame
 
 
 @query
@@ -591,7 +589,7 @@ def q_check_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_dim_municipality_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension built from conflicting codes: one row each, the real code kept."""
-    return star.dim_municipality(_conflicted(spark, sf_dir))[0]
+    return star.dim_municipality(_conflicted(spark, sf_dir)).frame
 
 
 @query
