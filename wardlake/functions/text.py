@@ -31,28 +31,22 @@ def clean_text(c: Column) -> Column:
 
     Links go first, on their own, because a link may start inside a mention. Mentions and
     hashtags cannot create one another when removed, so one expression takes both; symbols
-    and white space both end as one blank, so one expression takes these too. The cheap
-    ``contains`` tests keep the two rarer expressions off texts that cannot match.
+    and white space both end as one blank, so one expression takes these too.
     """
     text = F.coalesce(c.cast("string"), F.lit(""))
-    unlinked = F.when(
-        F.contains(text, F.lit("http")), F.regexp_replace(text, rf"http[^{d.SPACE}]+", "")
-    ).otherwise(text)
-    untagged = F.when(
-        F.contains(unlinked, F.lit("@")) | F.contains(unlinked, F.lit("#")),
-        F.regexp_replace(unlinked, rf"[@#][{d.WORD}]+", ""),
-    ).otherwise(unlinked)
+    unlinked = F.regexp_replace(text, rf"http[^{d.SPACE}]++", "")
+    untagged = F.regexp_replace(unlinked, rf"[@#][{d.WORD}]++", "")
     return F.trim(F.regexp_replace(untagged, rf"[^{d.WORD}.,!?]++", " "))
 
 
-def words(c: Column, shortest: int) -> Column:
-    """Lower-case runs of at least ``shortest`` word characters."""
-    return F.regexp_extract_all(F.lower(c), F.lit(rf"[{d.WORD}]{{{shortest},}}"), F.lit(0))
+def words(lowered: Column, shortest: int) -> Column:
+    """Runs of at least ``shortest`` word characters of a lower-case text."""
+    return F.regexp_extract_all(lowered, F.lit(rf"[{d.WORD}]{{{shortest},}}+"), F.lit(0))
 
 
 def tokens(c: Column) -> Column:
     """Lower-case words of three characters or more."""
-    return words(c, 3)
+    return words(F.lower(c), 3)
 
 
 def lexicon_hits(tokens: Column, lexicon: Sequence[str]) -> Column:
@@ -69,31 +63,39 @@ def round3(c: Column) -> Column:
     """Three decimals, ties to even, judged on the exact binary value.
 
     ``bround`` judges the shortest decimal form instead: it takes 1/80 (a little above
-    0.0125) for a tie and gives 0.012, where the exact value gives 0.013. Adding zero turns
-    a negative zero into zero. For magnitudes below 1000.
+    0.0125) for a tie and gives 0.012, where the exact value gives 0.013. Formatting judges
+    the exact value, but for 0.0005, which it takes for a tie with zero; so magnitudes below
+    0.001 are decided here. Adding zero turns a negative zero into zero. For magnitudes
+    below 1000.
     """
-    return F.format_number(c, 3).cast("double") + F.lit(0.0)
-
-
-def sentiment(text: Column, tokens: Column, positive: Column, negative: Column, lexicon: Lexicon) -> Column:
-    """Struct of label and score from a text, its tokens and its two hit counts."""
-    lowered = F.lower(text)
-    negated = F.lit(False)
-    for phrase in lexicon.negated_phrases:
-        negated = negated | F.contains(lowered, F.lit(phrase))
-    weighted_negative = negative + F.when(negated, F.lit(d.NEGATED_WEIGHT)).otherwise(F.lit(0))
-    neutral = (
-        (F.size(tokens) == 0)
-        | F.contains(lowered, F.lit(lexicon.neutral_phrase))
-        | F.array_contains(tokens, lexicon.neutral_token)
-    )
-    raw = (positive - weighted_negative) / F.greatest(F.size(tokens), F.lit(1))
-    score = F.when(neutral, F.lit(0.0)).otherwise(raw)
-    label = (
+    tiny = F.when(F.abs(c) >= 0.0005, F.signum(c) * 0.001).otherwise(F.lit(0.0))
+    return F.when(F.abs(c) < 0.001, tiny).otherwise(F.format_number(c, 3).cast("double")) + F.lit(0.0)
+
+
+def any_phrase(lowered: Column, phrases: Sequence[str]) -> Column:
+    """Whether a lower-case text contains one of a few phrases."""
+    found = F.lit(False)
+    for phrase in phrases:
+        found = found | F.contains(lowered, F.lit(phrase))
+    return found
+
+
+def score(positive: Column, negative: Column, negated: Column, neutral: Column, n_tokens: Column) -> Column:
+    """Positive less negative hits per token; a negated phrase weighs on the negative side,
+    a neutral text scores zero."""
+    weighted = negative + F.when(negated, F.lit(d.NEGATED_WEIGHT)).otherwise(F.lit(0))
+    return F.when(neutral, F.lit(0.0)).otherwise((positive - weighted) / F.greatest(n_tokens, F.lit(1)))
+
+
+def mood(score: Column) -> Column:
+    """Label of a score; both limits belong to the neutral class."""
+    return (
         F.when(score > d.SCORE_THRESHOLD, F.lit(d.POSITIVE))
         .when(score < -d.SCORE_THRESHOLD, F.lit(d.NEGATIVE))
         .otherwise(F.lit(d.NEUTRAL))
     )
-    # Only the negated-phrase weight can push the score beyond one; labels see it unclamped.
-    clamped = F.greatest(F.least(score, F.lit(1.0)), F.lit(-1.0))
-    return F.struct(label.alias("sentimento"), round3(clamped).alias("score_sentimento"))
+
+
+def shown_score(score: Column) -> Column:
+    """Score as stored: within one of zero, three decimals."""
+    return round3(F.greatest(F.least(score, F.lit(1.0)), F.lit(-1.0)))

@@ -66,7 +66,7 @@ def tfidf_terms(
     sizes = chosen.groupBy("_class").agg(F.count(F.lit(1)).alias("_docs")).filter("_docs >= 2")
 
     # One pass counts both: each word of a text, then each distinct word of it once more.
-    bags = chosen.select("_class", words(F.col("_text"), 2).alias("_words"))
+    bags = chosen.select("_class", words(F.lower("_text"), 2).alias("_words"))
     unfolded = bags.select(
         "_class",
         F.size("_words").alias("_n"),
@@ -109,16 +109,13 @@ def tfidf_terms(
 
     documents = chosen.select("_class", spaced.alias("_spaced")).join(F.broadcast(weights), "_class")
     weighed = documents.select("_class", F.transform("_vocabulary", weighted).alias("_weights"))
-    normed = weighed.select(
-        "_class",
-        "_weights",
-        F.sqrt(
-            F.aggregate("_weights", F.lit(0.0), lambda total, w: total + w["weight"] * w["weight"])
-        ).alias("_norm"),
-    ).filter("_norm > 0")
-    shares = normed.select("_class", "_norm", F.inline("_weights"))
+    norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda total, w: total + w["weight"] * w["weight"]))
+    # No filter on the norm, and the outer form of inline, which Spark adds no filter for: a
+    # filter would be pushed below the weighting and repeat it.
+    normed = weighed.select("_class", "_weights", norm.alias("_norm"))
+    shares = normed.select("_class", "_norm", F.inline_outer("_weights"))
     return (
         shares.groupBy(F.col("_class").alias(label), F.col("term").alias("termo"))
-        .agg(F.sum(F.col("weight") / F.col("_norm")).alias("score_tfidf"))
+        .agg(F.sum(F.col("weight") / F.nullif("_norm", F.lit(0.0))).alias("score_tfidf"))
         .orderBy(label, F.desc("score_tfidf"), "termo")
     )

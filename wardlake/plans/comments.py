@@ -39,38 +39,47 @@ def comments_silver(
     df = with_missing(df, dict.fromkeys(COMMENT_COLUMNS))
     first = keep_first(df, ["comment_id"], order)
     original = F.coalesce(F.col("texto_comentario").cast("string"), F.lit(""))
-    long_enough = F.filter(F.array(t.clean_text(original)), lambda x: F.char_length(x) >= min_length)
+    long_enough = F.filter(F.array("_clean"), lambda x: F.char_length(x) >= min_length)
     typed = first.withColumns(
         {
             "texto_original": original,
             "data_comentario": dated(first, "data_comentario", formats),
             "curtidas": F.coalesce(c.whole_number(F.col("curtidas"), is_text(first, "curtidas")), F.lit(0)),
             "processed_at": c.processing_time(),
+            "_clean": t.clean_text(original),
         }
     )
-    return typed.select("*", F.explode(long_enough).alias("texto_limpo"))
+    return typed.select("*", F.explode(long_enough).alias("texto_limpo")).drop("_clean")
 
 
 def sentiment_gold(silver: DataFrame, lexicon: t.Lexicon = t.Lexicon()) -> DataFrame:
-    """Comments with label, score, token digest and token count; one narrow pass."""
-    text = F.col("texto_limpo")
-    words = F.col("_words")
-    counted = (
-        silver.withColumn("_words", t.tokens(text))
-        .withColumns(
-            {
-                "_positive": t.lexicon_hits(words, lexicon.positive),
-                "_negative": t.lexicon_hits(words, lexicon.negative),
-            }
-        )
+    """Comments with label, score, token digest and token count; one narrow pass.
+
+    Each step names what the next one uses several times, so that the lower-case text, the
+    tokens and the score are computed once per row.
+    """
+    lowered, words = F.col("_lowered"), F.col("_words")
+    read = silver.withColumn("_lowered", F.lower("texto_limpo")).withColumns(
+        {
+            "_words": t.words(lowered, 3),
+            "_negated": t.any_phrase(lowered, lexicon.negated_phrases),
+            "_fixed": t.any_phrase(lowered, [lexicon.neutral_phrase]),
+        }
     )
-    judged = counted.withColumn(
-        "_judged", t.sentiment(text, words, F.col("_positive"), F.col("_negative"), lexicon)
+    scored = read.withColumn(
+        "_score",
+        t.score(
+            t.lexicon_hits(words, lexicon.positive),
+            t.lexicon_hits(words, lexicon.negative),
+            F.col("_negated"),
+            (F.size(words) == 0) | F.col("_fixed") | F.array_contains(words, lexicon.neutral_token),
+            F.size(words),
+        ),
     )
-    return judged.select(
+    return scored.select(
         *silver.columns,
-        F.col("_judged.sentimento").alias("sentimento"),
-        F.col("_judged.score_sentimento").alias("score_sentimento"),
+        t.mood(F.col("_score")).alias("sentimento"),
+        t.shown_score(F.col("_score")).alias("score_sentimento"),
         t.digest(words).alias("tokens"),
         F.size(words).alias("qtd_tokens"),
     )

@@ -124,5 +124,13 @@ def build_star(staging: DataFrame, store_fact: bool = False) -> Star:
 
 
 def fact_comments(staging: DataFrame) -> DataFrame:
-    """Comment-grain fact with a dense key in id order; it grows with the data."""
-    return dense_id(staging, [F.asc("comment_id")], "id_comentario")
+    """Comment-grain fact with a dense key in id order; it grows with the data.
+
+    Only the ids, unique after silver, are sorted and numbered; the texts join them by id,
+    so they cross the network once and are never sampled. Pass a stored frame, which is read
+    twice.
+    """
+    ids = staging.select(F.col("comment_id").alias("_id"))
+    numbered = dense_id(ids, [F.asc_nulls_last("_id")], "id_comentario")
+    joined = numbered.join(staging, F.col("_id").eqNullSafe(F.col("comment_id")))
+    return joined.select("id_comentario", *staging.columns)

@@ -14,6 +14,7 @@ from wardlake.functions.text import Lexicon
 from wardlake.plans.admissions import admissions_silver, admissions_staging
 from wardlake.plans.comments import comments_silver, comments_staging, sentiment_gold
 from wardlake.sources.readers import spread
+from wardlake.sources.storage import publish
 
 #: The tables' texts hold none of the default words, so the queries use these.
 LEXICON = Lexicon(positive=("the", "tion", "que", "der"), negative=("of", "and", "ent", "ich"))
@@ -91,7 +92,7 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as comments, all columns text but the row order."""
     doc = F.col("doc_id")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (doc % 365).cast("int"))
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         doc.cast("string").alias("comment_id"),
         F.col("source").alias("post_id"),
         F.col("lang").alias("autor"),
@@ -112,3 +113,9 @@ def gold_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comments_staging(gold_comments(spark, sf_dir))
+
+
+def stored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged comments as a written table, for work that reads them more than once: a global
+    sort, for one, samples its input before it sorts it."""
+    return publish(staged_comments(spark, sf_dir), "comments").frame

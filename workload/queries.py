@@ -482,7 +482,7 @@ def q_fact_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_fact_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(star.fact_comments(a.staged_comments(spark, sf_dir)))
+    return plain(star.fact_comments(a.stored_comments(spark, sf_dir)))
 
 
 # --- Marts ---------------------------------------------------------------------------
@@ -531,12 +531,12 @@ def q_top_n_specialties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_comment_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(marts.comment_sample(a.staged_comments(spark, sf_dir)))
+    return plain(marts.comment_sample(a.stored_comments(spark, sf_dir)))
 
 
 @query
 def q_comment_sample_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(marts.comment_sample(a.staged_comments(spark, sf_dir), d.POSITIVE))
+    return plain(marts.comment_sample(a.stored_comments(spark, sf_dir), d.POSITIVE))
 
 
 @query
@@ -601,8 +601,8 @@ def q_check_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = a.raw_admissions(spark, sf_dir)
-    silver = adm.admissions_silver(raw)
+    raw = publish(a.raw_admissions(spark, sf_dir), "bronze").frame
+    silver = publish(adm.admissions_silver(raw), "silver").frame
     return layer_counts(
         {
             "bronze": raw,
