@@ -78,13 +78,13 @@ def read_delimited_dir(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The frame over all cores, where its files give fewer splits than there are cores.
+    """The frame over all cores, where its files give at most half as many splits.
 
     Files that cannot be split (one row group, or compressed text) leave all further work to
     a few tasks. A source of many splits, such as any large one, is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
 def first_available(sources: Sequence[tuple[str, Callable[[], DataFrame]]]) -> tuple[str, DataFrame]:

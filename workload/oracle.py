@@ -388,6 +388,19 @@ SELECT (SELECT {SUM} FROM fato) AS total_internacoes,
        (SELECT CAST(round(CAST(pct_comentarios AS DECIMAL(10,2)), 1) AS DOUBLE) FROM moods WHERE sentimento = 'positivo') AS pct_positivo,
        (SELECT CAST(round(CAST(pct_comentarios AS DECIMAL(10,2)), 1) AS DOUBLE) FROM moods WHERE sentimento = 'negativo') AS pct_negativo"""
 
+THREE_YEARS = DIMS.replace("FROM named)", "FROM named WHERE year(data_internacao) BETWEEN 1996 AND 1998)")
+ORACLE["q_warehouse"] = f"""WITH {THREE_YEARS}, {TERMS}, places AS ({PLACES}), kinds AS ({KINDS})
+SELECT 'specialty' AS mart, especialidade_padrao AS label, total_internacoes AS measure FROM kinds
+UNION ALL SELECT 'profile', faixa_etaria || ' ' || sexo, CAST(sum(numero_internacoes) AS BIGINT) FROM stg GROUP BY faixa_etaria, sexo
+UNION ALL SELECT 'municipality', municipio_residencia, total_internacoes FROM places
+UNION ALL SELECT 'month', ano_mes, CAST(sum(numero_internacoes) AS BIGINT) FROM stg GROUP BY ano_mes
+UNION ALL SELECT 'sentiment', sentimento, count(*) FROM gold GROUP BY sentimento
+UNION ALL SELECT 'term', sentimento || ' ' || termo, CAST(score_tfidf AS BIGINT) FROM terms
+UNION ALL SELECT 'comment', comment_id, curtidas FROM gold
+UNION ALL SELECT 'leader', (SELECT especialidade_padrao FROM kinds ORDER BY total_internacoes DESC, especialidade_padrao LIMIT 1)
+    || ' ' || (SELECT municipio_residencia FROM places ORDER BY total_internacoes DESC, municipio_residencia LIMIT 1),
+    (SELECT CAST(sum(numero_internacoes) AS BIGINT) FROM stg)"""
+
 # --- Data quality --------------------------------------------------------------------
 
 REQUIRED = ("data_internacao", "especialidade_hospitalar", "municipio_residencia", "idade", "numero_internacoes")
@@ -396,8 +409,8 @@ ORACLE["q_check_not_null"] = f"WITH {ADM}, {RAW} " + " UNION ALL ".join(
 )
 ORACLE["q_check_unique"] = "SELECT text, count(*) AS n_rows FROM documents GROUP BY text HAVING count(*) > 1"
 ORACLE["q_check_unique_fact"] = f"""WITH {DIMS}
-SELECT id_tempo, id_especialidade, id_paciente, id_municipio, count(*) AS n_rows FROM fato
-GROUP BY id_tempo, id_especialidade, id_paciente, id_municipio HAVING count(*) > 1"""
+SELECT 'fact' AS layer, count(*) AS n_rows FROM fato UNION ALL SELECT 'repeated', count(*) FROM (SELECT count(*) FROM fato
+    GROUP BY id_tempo, id_especialidade, id_paciente, id_municipio HAVING count(*) > 1)"""
 ORACLE["q_check_conflicts"] = f"""{STAGING}, marked AS (
   SELECT municipio_residencia, CASE WHEN sexo = 'Não informado' AND length(codigo_municipio_ibge) = 1 THEN '0000000' ELSE codigo_municipio_ibge END AS code FROM stg)
 SELECT municipio_residencia, count(DISTINCT code) AS n_values, min(code) AS lowest_value, max(code) AS highest_value

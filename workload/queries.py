@@ -24,6 +24,7 @@ from wardlake.operators.terms import term_counts, term_ranks, tfidf_terms
 from wardlake.plans import admissions as adm
 from wardlake.plans import comments as com
 from wardlake.plans import marts, star
+from wardlake.plans.warehouse import build_warehouse
 from wardlake.sources import readers, writers
 from wardlake.sources.readers import spread
 from wardlake.sources.storage import new_path, publish
@@ -345,7 +346,7 @@ def _all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = a.table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text"
     )
-    return spread(docs.unionByName(turns)).select(
+    return spread(docs).unionByName(spread(turns)).select(
         "id", F.concat(F.lit("Veja@joão_1 ahttps://x.y/é?z "), "text", F.lit(" #saúde-já")).alias("text")
     )
 
@@ -549,6 +550,34 @@ def q_decision_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.decision_summary(_star(spark, sf_dir, store_fact=True), a.staged_comments(spark, sf_dir))
 
 
+@query
+def q_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole warehouse written to a folder; its views asked in SQL."""
+    build_warehouse(
+        a.admissions(spark, sf_dir),
+        a.comments(spark, sf_dir),
+        [F.asc("posicao")],
+        new_path(spark, "warehouse"),
+        years=(1996, 1997, 1998),
+        lexicon=a.LEXICON,
+        silver_options={
+            "names": a.SPECIALTY_NAMES, "groups": a.SPECIALTY_GROUPS, "capital_pattern": a.CAPITAL_PATTERN,
+        },
+    )
+    return spark.sql(
+        """
+        SELECT 'specialty' AS mart, especialidade_padrao AS label, total_internacoes AS measure FROM vw_top_especialidades
+        UNION ALL SELECT 'profile', faixa_etaria || ' ' || sexo, total_internacoes FROM vw_perfil_paciente
+        UNION ALL SELECT 'municipality', municipio_residencia, total_internacoes FROM vw_internacoes_municipio
+        UNION ALL SELECT 'month', ano_mes, total_internacoes FROM vw_sazonalidade_mensal
+        UNION ALL SELECT 'sentiment', sentimento, qtd_comentarios FROM vw_sentimento_distribuicao
+        UNION ALL SELECT 'term', sentimento || ' ' || termo, CAST(score_tfidf AS BIGINT) FROM vw_termos_frequentes
+        UNION ALL SELECT 'comment', comment_id, CAST(curtidas AS BIGINT) FROM vw_comentarios_amostra
+        UNION ALL SELECT 'leader', especialidade_lider || ' ' || municipio_lider, total_internacoes FROM vw_resumo_decisao
+        """
+    )
+
+
 # --- Data quality --------------------------------------------------------------------
 
 
@@ -568,8 +597,9 @@ def q_check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_check_unique_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated keys of the fact: none."""
-    return repeated_keys(_star(spark, sf_dir).fact, list(star.FACT_KEYS))
+    """How many fact rows there are, and how many of their keys repeat."""
+    fact = _star(spark, sf_dir, store_fact=True).fact
+    return layer_counts({"fact": fact, "repeated": repeated_keys(fact, star.FACT_KEYS)})
 
 
 def _conflicted(spark: SparkSession, sf_dir: str) -> DataFrame:
