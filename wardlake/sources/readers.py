@@ -81,7 +81,8 @@ def spread(df: DataFrame) -> DataFrame:
     """The frame over all cores, where its files give at most half as many splits.
 
     Files that cannot be split (one row group, or compressed text) leave all further work to
-    a few tasks. A source of many splits, such as any large one, is returned as it is.
+    a few tasks. A source of many splits, such as any large one, is returned as it is. For
+    frames straight from a source: on a frame with shuffles, looking would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
