@@ -75,9 +75,9 @@ def test_whole_number(spark):
 
 
 def test_dates(spark):
-    raw = ["2024-02-29", " 29/02/2024 ", "2023-02-29", "hoje", None, "", "31/12/1999"]
+    raw = ["2024-02-29", " 29/02/2024 ", "2023-02-29", "hoje", None, "", "31/12/1999", "2024-02-29 23:59:59", "2024-02-29T00:00:01", "2024-02-29 x"]
     leap = datetime.date(2024, 2, 29)
-    assert mapped(spark, c.date_or_null, raw) == [leap, leap, None, None, None, None, datetime.date(1999, 12, 31)]
+    assert mapped(spark, c.date_or_null, raw) == [leap, leap, None, None, None, None, datetime.date(1999, 12, 31), leap, leap, None]
 
 
 def test_timestamps_are_cut_to_dates(spark):

@@ -4,6 +4,7 @@ import datetime
 import hashlib
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,13 +92,32 @@ def test_provenance(spark, tmp_path):
     }
 
 
+TEXTS = ["a;b", 'c"d', 'quoted "all" of it', "é ç", None, "line\nbreak", "line\r\nbreak", " padded ", "back\\slash", 'end\\"', "'x'", ","]
+
+
 def test_delimited_roundtrip_keeps_text(spark, tmp_path):
-    values = ["a;b", 'c"d', "é ç", None, "line\nbreak", " padded "]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(TEXTS)], "i int, v string")
     path = str(tmp_path / "out")
     writers.write_delimited(df, path)
-    back = spark.read.csv(path, header=True, sep=";", multiLine=True).orderBy(F.col("i").cast("int"))
-    assert [r.v for r in back.collect()][:4] == values[:4]
+    back = readers.read_delimited(spark, path, multiline=True).orderBy(F.col("i").cast("int"))
+    assert [r.v for r in back.collect()] == TEXTS
+
+
+def test_delimited_files_of_other_tools(spark, tmp_path):
+    """Files as pandas writes them, and read as it reads them."""
+    frame = pd.DataFrame({"i": range(len(TEXTS)), "v": TEXTS})
+    path = tmp_path / "p.csv"
+    frame.to_csv(path, sep=";", index=False, encoding="utf-8-sig", lineterminator="\n")
+    back = readers.read_delimited(spark, str(path), multiline=True).orderBy(F.col("i").cast("int"))
+    assert [r.v for r in back.collect()] == TEXTS
+
+
+def test_markers_of_missing_values(spark, tmp_path):
+    path = tmp_path / "n.csv"
+    path.write_text("i;a.b\n1;NA\n2;null\n3;Na\n4;\n5;NaN\n6;\"\"\n")
+    assert [r[1] for r in readers.read_delimited(spark, str(path)).collect()] == [None, None, "Na", None, None, None]
+    kept = readers.read_delimited(spark, str(path), null_markers=()).collect()
+    assert [r[1] for r in kept] == ["NA", "null", "Na", None, "NaN", None]
 
 
 def test_parquet_copy_is_best_effort(spark, tmp_path):

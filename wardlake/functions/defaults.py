@@ -9,6 +9,12 @@ UNKNOWN_CODE = "0000000"
 OTHER_GROUP = "Outros"
 UNKNOWN_AGE_KEY = -1
 
+# --- Delimited files: texts that stand for a missing value ---------------------------
+NULL_MARKERS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 # --- Admission headers (compared without case and accents) ---------------------------
 ADMISSION_ALIASES = {
     "data_internacao": "data_internacao",
@@ -65,7 +71,7 @@ CAPITAL_PATTERN = "natal"
 CAPITAL, INTERIOR = "Capital", "Interior"
 STATE = "RN"
 STUDY_YEARS = (2024, 2025)
-DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy")
+DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss")
 MONTH_NAMES = (
     "Janeiro", "Fevereiro", "Março", "Abril", "Maio", "Junho",
     "Julho", "Agosto", "Setembro", "Outubro", "Novembro", "Dezembro",

@@ -7,10 +7,12 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlake.functions import defaults as d
+
 HEADER_READERS = 16
 
 
@@ -20,24 +22,35 @@ def read_delimited(
     sep: str = ";",
     encoding: str = "UTF-8",
     position: str | None = None,
+    multiline: bool = False,
+    null_markers: Sequence[str] = d.NULL_MARKERS,
 ) -> DataFrame:
     """Delimited text with a header, every column as text; a byte-order mark is tolerated.
 
-    All files must have the same header; ``read_delimited_dir`` takes mixed ones. With
+    Quotes are doubled inside quoted values, and the usual markers of a missing value are
+    null. All files must have the same header; ``read_delimited_dir`` takes mixed ones. With
     ``position``, adds a column that orders rows as they stand in the files: path, start of
-    the split, place within the split.
+    the split, place within the split. Values that hold line breaks need ``multiline``,
+    which makes each file one task, so it is off unless asked for.
     """
-    df = spark.read.csv([paths] if isinstance(paths, str) else list(paths), header=True, sep=sep, encoding=encoding)
-    if position:
-        df = df.select(
-            "*",
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("start"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias(position),
-        )
-    return df
+    df = spark.read.csv(
+        [paths] if isinstance(paths, str) else list(paths),
+        header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=multiline,
+    )
+    columns = [_null_if(name, null_markers).alias(name) for name in df.columns]
+    if not position:
+        return df.select(*columns)
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return df.select(*columns, place.alias(position))
+
+
+def _null_if(name: str, markers: Sequence[str]) -> Column:
+    value = F.col(f"`{name}`")
+    return F.when(~value.isin(*markers), value) if markers else value
 
 
 def read_delimited_dir(
@@ -46,6 +59,8 @@ def read_delimited_dir(
     sep: str = ";",
     encoding: str = "UTF-8",
     fallback: Callable[[], DataFrame] | None = None,
+    multiline: bool = False,
+    null_markers: Sequence[str] = d.NULL_MARKERS,
 ) -> DataFrame:
     """All files that match, aligned by column name; missing columns are null.
 
@@ -66,14 +81,17 @@ def read_delimited_dir(
         raise FileNotFoundError(f"no file matches {pattern}")
 
     def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.csv(path, header=True, sep=sep, encoding=encoding).columns)
+        return tuple(read_delimited(spark, path, sep, encoding).columns)
 
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = list(pool.map(header, files))
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, columns in zip(files, headers):
         groups.setdefault(columns, []).append(path)
-    parts = [read_delimited(spark, group, sep, encoding) for group in groups.values()]
+    parts = [
+        read_delimited(spark, group, sep, encoding, multiline=multiline, null_markers=null_markers)
+        for group in groups.values()
+    ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -12,7 +12,11 @@ from wardlake.operators.schema import nan_to_null
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = "UTF-8") -> None:
-    df.write.mode("overwrite").csv(path, header=True, sep=sep, encoding=encoding)
+    """Text with a header; quotes are doubled, blanks around values kept."""
+    df.write.mode("overwrite").csv(
+        path, header=True, sep=sep, encoding=encoding, quote='"', escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def write_parquet(

@@ -155,6 +155,7 @@ ORDERS = """
 SELECT o_orderkey, o_custkey, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice"""
 ORACLE["q_csv_roundtrip"] = f"{ORDERS} FROM orders"
+ORACLE["q_csv_text_roundtrip"] = "SELECT doc_id, text FROM documents"
 ORACLE["q_parquet_roundtrip"] = f"{ORDERS}, CAST(year(o_orderdate) AS BIGINT) AS ano FROM orders"
 ORACLE["q_partition_pruning"] = """
 SELECT CAST(1996 AS BIGINT) AS ano, o_orderpriority, count(*) AS n_orders

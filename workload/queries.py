@@ -76,6 +76,16 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema]))
 
 
+@query
+def q_csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with their quotes, separators, blanks and line breaks."""
+    docs = a.table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = new_path(spark, "documents_csv")
+    writers.write_delimited(spread(docs), path)
+    text = readers.read_delimited(spark, path, multiline=True)
+    return text.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 @query
 def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written by year and copied; read back from the copy."""
