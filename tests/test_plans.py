@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.plans import star
+from wardlake.plans import marts, star
 from wardlake.sources.storage import publish
 from workload import adapters as a
 from workload.queries import QUERIES
@@ -44,9 +44,18 @@ def test_duplicates_are_limited_before_the_shuffle(spark, sf_dir):
 
 
 def test_texts_are_cleaned_once(spark, sf_dir):
-    text = a.gold_comments(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert text.count("http[^") == 1
-    assert text.count("regexp_extract_all") == 1
+    for df in (a.gold_comments(spark, sf_dir), marts.sentiment_distribution(a.staged_comments(spark, sf_dir))):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert text.count("http[^") == 1
+        assert text.count("regexp_extract_all") == 1
+
+
+def test_totals_for_shares_reuse_the_groups(spark, sf_dir):
+    built = star.build_star(a.staged_admissions(spark, sf_dir), store_fact=True)
+    for mart in (marts.patient_profile, marts.municipality_totals):
+        final = plan(mart(built))
+        final = final[: final.index("Initial Plan")] + final[final.index("Subquery") :]
+        assert "ReusedExchange" in final
 
 
 @pytest.mark.parametrize(
