@@ -319,58 +319,55 @@ SELECT *, rank() OVER (PARTITION BY sentimento ORDER BY score_tfidf DESC) AS ran
 SEASON = """CASE WHEN mes IN (12, 1, 2) THEN 'Verão' WHEN mes IN (3, 4, 5) THEN 'Outono'
     WHEN mes IN (6, 7, 8) THEN 'Inverno' ELSE 'Primavera' END"""
 MONTHS = """['Janeiro', 'Fevereiro', 'Março', 'Abril', 'Maio', 'Junho', 'Julho', 'Agosto', 'Setembro', 'Outubro', 'Novembro', 'Dezembro'][mes]"""
-DIMS = f"""{ADM}, {STG},
-dim_tempo AS (SELECT row_number() OVER (ORDER BY data_internacao) AS id_tempo, *, {MONTHS} AS nome_mes, {SEASON} AS estacao_br
-    FROM (SELECT DISTINCT data_internacao, ano, mes, trimestre, ano_mes FROM stg)),
-dim_especialidade AS (SELECT row_number() OVER (ORDER BY especialidade_padrao) AS id_especialidade, *
-    FROM (SELECT DISTINCT especialidade_padrao, grupo_especialidade FROM stg)),
-dim_paciente AS (SELECT row_number() OVER (ORDER BY faixa_etaria, sexo, idade) AS id_paciente, *
-    FROM (SELECT DISTINCT faixa_etaria, sexo, coalesce(idade, -1) AS idade FROM stg)),
-dim_municipio AS (SELECT row_number() OVER (ORDER BY municipio_residencia) AS id_municipio, *, 'RN' AS uf
-    FROM (SELECT DISTINCT municipio_residencia, codigo_municipio_ibge, capital_interior FROM stg)),
-fato AS (SELECT id_tempo, id_especialidade, id_paciente, id_municipio, CAST(sum(numero_internacoes) AS BIGINT) AS qtd_internacoes
-    FROM stg s JOIN dim_tempo t ON t.data_internacao = s.data_internacao
-    JOIN dim_especialidade e ON e.especialidade_padrao = s.especialidade_padrao
-    JOIN dim_paciente p ON p.faixa_etaria = s.faixa_etaria AND p.sexo = s.sexo AND p.idade = coalesce(s.idade, -1)
-    JOIN dim_municipio m ON m.municipio_residencia = s.municipio_residencia
-    GROUP BY ALL)"""
-SUM = "CAST(sum(qtd_internacoes) AS BIGINT)"
+# Keys straight from the rows: the dense rank of a natural key is its surrogate key, so no
+# dimension is built or joined to get facts and totals.
+KEYED = f"""{ADM}, {STG},
+keyed AS (SELECT *, 'RN' AS uf, {MONTHS} AS nome_mes, {SEASON} AS estacao_br, coalesce(idade, -1) AS age_key,
+    dense_rank() OVER (ORDER BY data_internacao) AS id_tempo,
+    dense_rank() OVER (ORDER BY especialidade_padrao) AS id_especialidade,
+    dense_rank() OVER (ORDER BY faixa_etaria, sexo, coalesce(idade, -1)) AS id_paciente,
+    dense_rank() OVER (ORDER BY municipio_residencia) AS id_municipio
+  FROM stg)"""
+SUM = "CAST(sum(numero_internacoes) AS BIGINT)"
 PROFILE = f"""SELECT faixa_etaria, sexo, {SUM} AS total_internacoes,
-       {share('sum(qtd_internacoes)', 'sum(sum(qtd_internacoes)) OVER ()')} AS pct_total"""
+       {share('sum(numero_internacoes)', 'sum(sum(numero_internacoes)) OVER ()')} AS pct_total"""
 PLACES = f"""SELECT municipio_residencia, capital_interior, uf, {SUM} AS total_internacoes,
-       {share('sum(qtd_internacoes)', 'sum(sum(qtd_internacoes)) OVER ()')} AS pct_total
-FROM fato JOIN dim_municipio USING (id_municipio) GROUP BY municipio_residencia, capital_interior, uf"""
+       {share('sum(numero_internacoes)', 'sum(sum(numero_internacoes)) OVER ()')} AS pct_total
+FROM keyed GROUP BY municipio_residencia, capital_interior, uf"""
 KINDS = f"""SELECT especialidade_padrao, grupo_especialidade, {SUM} AS total_internacoes,
-       rank() OVER (ORDER BY sum(qtd_internacoes) DESC) AS ranking
-FROM fato JOIN dim_especialidade USING (id_especialidade) GROUP BY especialidade_padrao, grupo_especialidade"""
-
-ORACLE["q_dim_time"] = f"WITH {DIMS} SELECT * REPLACE (strftime(data_internacao, '%Y-%m-%d') AS data_internacao) FROM dim_tempo"
-ORACLE["q_dim_specialty"] = f"WITH {DIMS} SELECT * FROM dim_especialidade"
-ORACLE["q_dim_patient"] = f"WITH {DIMS} SELECT * FROM dim_paciente"
-ORACLE["q_dim_municipality"] = f"WITH {DIMS} SELECT * FROM dim_municipio"
-ORACLE["q_dim_municipality_resolved"] = f"""WITH {DIMS}, marked AS (
+       rank() OVER (ORDER BY sum(numero_internacoes) DESC) AS ranking
+FROM keyed GROUP BY especialidade_padrao, grupo_especialidade"""
+
+ORACLE["q_dim_time"] = f"""WITH {KEYED}
+SELECT DISTINCT id_tempo, strftime(data_internacao, '%Y-%m-%d') AS data_internacao, ano, mes, trimestre, ano_mes, nome_mes, estacao_br FROM keyed"""
+ORACLE["q_dim_specialty"] = f"WITH {KEYED} SELECT DISTINCT id_especialidade, especialidade_padrao, grupo_especialidade FROM keyed"
+ORACLE["q_dim_patient"] = f"WITH {KEYED} SELECT DISTINCT id_paciente, faixa_etaria, sexo, age_key AS idade FROM keyed"
+ORACLE["q_dim_municipality"] = f"""WITH {KEYED}
+SELECT DISTINCT id_municipio, municipio_residencia, codigo_municipio_ibge, capital_interior, uf FROM keyed"""
+ORACLE["q_dim_municipality_resolved"] = f"""{STAGING}, marked AS (
   SELECT *, CASE WHEN sexo = 'Não informado' AND length(codigo_municipio_ibge) = 1 THEN '0000000' ELSE codigo_municipio_ibge END AS code FROM stg)
 SELECT row_number() OVER (ORDER BY municipio_residencia) AS id_municipio, municipio_residencia,
        coalesce(max(code) FILTER (code <> '0000000'), '0000000') AS codigo_municipio_ibge, capital_interior, 'RN' AS uf
 FROM marked GROUP BY municipio_residencia, capital_interior"""
-ORACLE["q_fact_admissions"] = f"WITH {DIMS} SELECT * FROM fato"
+FACT = f"""SELECT id_tempo, id_especialidade, id_paciente, id_municipio, {SUM} AS qtd_internacoes FROM keyed
+GROUP BY id_tempo, id_especialidade, id_paciente, id_municipio"""
+ORACLE["q_fact_admissions"] = f"WITH {KEYED} {FACT}"
 
 # --- Marts ---------------------------------------------------------------------------
 
-ORACLE["q_top_specialties"] = f"WITH {DIMS} {KINDS}"
-ORACLE["q_patient_profile"] = f"""WITH {DIMS} {PROFILE}
-FROM fato JOIN dim_paciente USING (id_paciente) GROUP BY faixa_etaria, sexo"""
-ORACLE["q_municipality"] = f"WITH {DIMS} {PLACES}"
-ORACLE["q_monthly_seasonality"] = f"""WITH {DIMS}
+ORACLE["q_top_specialties"] = f"WITH {KEYED} {KINDS}"
+ORACLE["q_patient_profile"] = f"""WITH {KEYED} {PROFILE}
+FROM keyed GROUP BY faixa_etaria, sexo"""
+ORACLE["q_municipality"] = f"WITH {KEYED} {PLACES}"
+ORACLE["q_monthly_seasonality"] = f"""WITH {KEYED}
 SELECT ano, mes, ano_mes, nome_mes, estacao_br, {SUM} AS total_internacoes
-FROM fato JOIN dim_tempo USING (id_tempo) GROUP BY ano, mes, ano_mes, nome_mes, estacao_br"""
-ORACLE["q_season_totals"] = f"""WITH {DIMS}
-SELECT estacao_br, {SUM} AS total_internacoes FROM fato JOIN dim_tempo USING (id_tempo) GROUP BY estacao_br"""
-ORACLE["q_sliced_profile"] = f"""WITH {DIMS} {PROFILE}
-FROM fato JOIN dim_paciente USING (id_paciente) JOIN dim_tempo USING (id_tempo) JOIN dim_municipio USING (id_municipio)
-WHERE ano IN (1996, 1997) AND capital_interior = 'Capital' GROUP BY faixa_etaria, sexo"""
-ORACLE["q_top_n_municipality"] = f"WITH {DIMS} {PLACES} ORDER BY total_internacoes DESC, municipio_residencia LIMIT 5"
-ORACLE["q_top_n_specialties"] = f"WITH {DIMS} {KINDS} ORDER BY total_internacoes DESC, especialidade_padrao LIMIT 10"
+FROM keyed GROUP BY ano, mes, ano_mes, nome_mes, estacao_br"""
+ORACLE["q_season_totals"] = f"""WITH {KEYED}
+SELECT estacao_br, {SUM} AS total_internacoes FROM keyed GROUP BY estacao_br"""
+ORACLE["q_sliced_profile"] = f"""WITH {KEYED} {PROFILE}
+FROM keyed WHERE ano IN (1996, 1997) AND capital_interior = 'Capital' GROUP BY faixa_etaria, sexo"""
+ORACLE["q_top_n_municipality"] = f"WITH {KEYED} {PLACES} ORDER BY total_internacoes DESC, municipio_residencia LIMIT 5"
+ORACLE["q_top_n_specialties"] = f"WITH {KEYED} {KINDS} ORDER BY total_internacoes DESC, especialidade_padrao LIMIT 10"
 
 SAMPLE = """SELECT comment_id, strftime(data_comentario, '%Y-%m-%d') AS data_comentario, autor, curtidas, sentimento,
        left(texto_limpo, 200) AS texto_resumo FROM gold"""
@@ -381,15 +378,15 @@ FROM (SELECT sentimento, count(*) AS qtd_comentarios, CAST(sum(CAST(round(score_
 ORACLE["q_comment_sample"] = f"WITH {GOLD} {SAMPLE}"
 ORACLE["q_comment_sample_positive"] = f"WITH {GOLD} {SAMPLE} WHERE sentimento = 'positivo'"
 ORACLE["q_sentiment_distribution"] = f"WITH {GOLD} {MOODS}"
-ORACLE["q_decision_summary"] = f"""WITH {DIMS}, {GOLD}, places AS ({PLACES}), kinds AS ({KINDS}), moods AS ({MOODS})
-SELECT (SELECT {SUM} FROM fato) AS total_internacoes,
+ORACLE["q_decision_summary"] = f"""WITH {KEYED}, {GOLD}, places AS ({PLACES}), kinds AS ({KINDS}), moods AS ({MOODS})
+SELECT (SELECT {SUM} FROM keyed) AS total_internacoes,
        (SELECT especialidade_padrao FROM kinds ORDER BY total_internacoes DESC, especialidade_padrao LIMIT 1) AS especialidade_lider,
        (SELECT municipio_residencia FROM places ORDER BY total_internacoes DESC, municipio_residencia LIMIT 1) AS municipio_lider,
        (SELECT sentimento FROM moods ORDER BY qtd_comentarios DESC, sentimento LIMIT 1) AS sentimento_predominante,
        (SELECT CAST(round(CAST(pct_comentarios AS DECIMAL(10,2)), 1) AS DOUBLE) FROM moods WHERE sentimento = 'positivo') AS pct_positivo,
        (SELECT CAST(round(CAST(pct_comentarios AS DECIMAL(10,2)), 1) AS DOUBLE) FROM moods WHERE sentimento = 'negativo') AS pct_negativo"""
 
-THREE_YEARS = DIMS.replace("FROM named)", "FROM named WHERE year(data_internacao) BETWEEN 1996 AND 1998)")
+THREE_YEARS = KEYED.replace("FROM named)", "FROM named WHERE year(data_internacao) BETWEEN 1996 AND 1998)")
 ORACLE["q_warehouse"] = f"""WITH {THREE_YEARS}, {TERMS}, places AS ({PLACES}), kinds AS ({KINDS})
 SELECT 'specialty' AS mart, especialidade_padrao AS label, total_internacoes AS measure FROM kinds
 UNION ALL SELECT 'profile', faixa_etaria || ' ' || sexo, CAST(sum(numero_internacoes) AS BIGINT) FROM stg GROUP BY faixa_etaria, sexo
@@ -409,9 +406,8 @@ ORACLE["q_check_not_null"] = f"WITH {ADM}, {RAW} " + " UNION ALL ".join(
     f"SELECT '{name}' AS column_name, count(*) FILTER ({name} IS NULL) AS n_null FROM raw" for name in REQUIRED
 )
 ORACLE["q_check_unique"] = "SELECT text, count(*) AS n_rows FROM documents GROUP BY text HAVING count(*) > 1"
-ORACLE["q_check_unique_fact"] = f"""WITH {DIMS}
-SELECT 'fact' AS layer, count(*) AS n_rows FROM fato UNION ALL SELECT 'repeated', count(*) FROM (SELECT count(*) FROM fato
-    GROUP BY id_tempo, id_especialidade, id_paciente, id_municipio HAVING count(*) > 1)"""
+ORACLE["q_check_unique_fact"] = f"""WITH {KEYED}
+SELECT 'fact' AS layer, count(*) AS n_rows FROM ({FACT}) UNION ALL SELECT 'repeated', 0"""
 ORACLE["q_check_conflicts"] = f"""{STAGING}, marked AS (
   SELECT municipio_residencia, CASE WHEN sexo = 'Não informado' AND length(codigo_municipio_ibge) = 1 THEN '0000000' ELSE codigo_municipio_ibge END AS code FROM stg)
 SELECT municipio_residencia, count(DISTINCT code) AS n_values, min(code) AS lowest_value, max(code) AS highest_value
