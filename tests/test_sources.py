@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import json
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
@@ -79,6 +80,17 @@ def test_flatten_comments(spark, tmp_path):
     assert readers.flatten_comments(payloads, max_posts=None).count() == 12
 
 
+def test_payloads_without_data_and_broken_ones(spark, tmp_path):
+    (tmp_path / "error.json").write_text('{"error": {"code": 190}}\n{"data": [{"id": "p", "comments": {}}]}\n')
+    assert readers.flatten_comments(readers.read_payloads(spark, str(tmp_path / "error.json"))).count() == 0
+    (tmp_path / "pretty.json").write_text(json.dumps({"data": [{"id": 7, "comments": {"data": [{"id": 8}]}}]}, indent=2))
+    pretty = readers.read_payloads(spark, str(tmp_path / "pretty.json"), multiline=True)
+    assert [(r.post_id, r.comment_id) for r in readers.flatten_comments(pretty).collect()] == [("7", "8")]
+    (tmp_path / "broken.json").write_text('{"data": [')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        readers.read_payloads(spark, str(tmp_path / "broken.json")).collect()
+
+
 def test_provenance(spark, tmp_path):
     contents = {"a.csv": b"x\n1\n2\n", "b.csv": b"x\n"}
     for name, content in contents.items():
@@ -153,6 +165,18 @@ def test_publish_counts_and_uses_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, applicationId="app-1", getConf=lambda: {})
+        return SimpleNamespace(sparkContext=context, conf={"spark.checkpoint.dir": folder} if folder else {})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))
+    assert shared_dir(session("yarn", "hdfs://lake/tmp/")) == "hdfs://lake/tmp"
+    own = shared_dir(session("local[2]"))
+    assert own == shared_dir(session("local[2]")) and "wardlake-" in own
+
+
 def test_spread_leaves_many_splits_alone(spark):
     assert readers.spread(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 8
     many = spark.range(0, 100, 1, 20)

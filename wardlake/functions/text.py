@@ -31,11 +31,14 @@ def clean_text(c: Column) -> Column:
 
     Links go first, on their own, because a link may start inside a mention. Mentions and
     hashtags cannot create one another when removed, so one expression takes both; symbols
-    and white space both end as one blank, so one expression takes these too.
+    and white space both end as one blank, so one expression takes these too. Texts without
+    ``http``, ``@`` or ``#`` skip the expressions that need them.
     """
     text = F.coalesce(c.cast("string"), F.lit(""))
-    unlinked = F.regexp_replace(text, rf"http[^{d.SPACE}]++", "")
-    untagged = F.regexp_replace(unlinked, rf"[@#][{d.WORD}]++", "")
+    linked = F.contains(text, F.lit("http"))
+    tagged = F.contains(text, F.lit("@")) | F.contains(text, F.lit("#"))
+    unlinked = F.when(linked, F.regexp_replace(text, rf"http[^{d.SPACE}]++", "")).otherwise(text)
+    untagged = F.when(tagged, F.regexp_replace(unlinked, rf"[@#][{d.WORD}]++", "")).otherwise(unlinked)
     return F.trim(F.regexp_replace(untagged, rf"[^{d.WORD}.,!?]++", " "))
 
 

@@ -141,8 +141,10 @@ _POST = T.StructType(
 PAYLOAD_SCHEMA = T.StructType([T.StructField("data", T.ArrayType(_POST))])
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAYLOAD_SCHEMA).json(path)
+def read_payloads(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Landed responses, one per line, or one per file with ``multiline``. A response that is
+    not JSON is an error; one without ``data`` has no posts."""
+    return spark.read.schema(PAYLOAD_SCHEMA).json(path, mode="FAILFAST", multiLine=multiline)
 
 
 def flatten_comments(payloads: DataFrame, max_posts: int | None = 10) -> DataFrame:
