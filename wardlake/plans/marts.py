@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlake.functions import defaults as d
@@ -16,7 +16,7 @@ from wardlake.sources.storage import publish
 TOTAL = "total_internacoes"
 
 
-def _total() -> F.Column:
+def _total() -> Column:
     return F.sum("qtd_internacoes").alias(TOTAL)
 
 
@@ -114,11 +114,11 @@ def decision_summary(star: Star, comments: DataFrame) -> DataFrame:
     kinds = star.fact.join(star.specialty, "id_especialidade")
     moods = publish(sentiment_distribution(comments), "moods").frame  # read by three subqueries
 
-    def leader(df: DataFrame, name: str) -> F.Column:
+    def leader(df: DataFrame, name: str) -> Column:
         totals = df.groupBy(name).agg(_total())
         return totals.orderBy(F.desc(TOTAL), name).limit(1).select(name).scalar()
 
-    def share(mood: str) -> F.Column:
+    def share(mood: str) -> Column:
         value = moods.filter(F.col("sentimento") == mood).select(half_up(F.col("pct_comentarios"), 1))
         return value.scalar()
 
