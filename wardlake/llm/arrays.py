@@ -61,9 +61,10 @@ class _Powers:
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, SLICE + (SLICE >> 1))
-            with np.errstate(over="ignore"):
-                self.up = np.cumprod(np.concatenate([[1], np.full(size, _BASE, _U64)]).astype(_U64), dtype=_U64)
-                self.down = np.cumprod(np.concatenate([[1], np.full(size, _INVERSE, _U64)]).astype(_U64), dtype=_U64)
+            for name, base in (("up", _BASE), ("down", _INVERSE)):
+                factors = np.full(size, base, _U64)
+                factors[0] = 1
+                setattr(self, name, np.cumprod(factors, dtype=_U64))
         return self.up, self.down
 
 
