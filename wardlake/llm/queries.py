@@ -6,6 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlake.llm.bpe import tokenize
+from wardlake.llm.licenses import license_scan
+from wardlake.llm.perplexity import quality_rules
+from wardlake.llm.secrets import BASE_RULES, RULES, digests, scan_versions
+from wardlake.llm.toxicity import toxicity
+from wardlake.sources.storage import new_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -14,6 +19,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op5_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = new_path(spark, "ledger")
+    return digests(scan_versions(table(spark, sf_dir, "documents"), ledger))
+
+
+def _secret_sql() -> str:
+    rules = " UNION ALL ".join(
+        "SELECT doc_id, {k} AS rank, '{kind}' AS kind, {least} AS least, string_split_regex(t, '{p}') AS pieces,"
+        " regexp_extract_all(t, '{p}', 0) AS wholes, regexp_extract_all(t, '{p}', {g}) AS found FROM d"
+        " WHERE regexp_matches(t, '{p}')".format(k=k, kind=r.kind, least=r.least, p=r.pattern.replace("'", "''"), g=r.group)
+        for k, r in enumerate(RULES)
+    )
+    line = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank){}, '')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({rules}),
+n AS (SELECT *, unnest(range(1, len(wholes) + 1)) AS i FROM m),
+p AS (
+  SELECT doc_id, rank, kind, length(found[i]) AS size, least,
+    CAST(list_sum(list_transform(pieces[1:i], lambda x: length(x))) AS BIGINT)
+      + CAST(coalesce(list_sum(list_transform(wholes[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s,
+    length(wholes[i]) AS w
+  FROM n
+),
+f AS (SELECT doc_id, rank, kind, s, s + w AS e FROM p WHERE size >= least)
+SELECT d.doc_id,
+  {", ".join(f"count(*) FILTER (WHERE rank = {k}) AS n_{r.kind}" for k, r in enumerate(BASE_RULES))},
+  sha256({line.format(f" FILTER (WHERE rank < {len(BASE_RULES)})")}) AS base_sha256,
+  {line.format("")} AS spans
+FROM d LEFT JOIN f ON d.doc_id = f.doc_id
+GROUP BY d.doc_id
+"""
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokenize(
@@ -25,7 +76,13 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity_cnn": op1_toxicity_cnn,
+    "op4_license_notices": op4_license_notices,
+    "op5_perplexity_bands": op5_perplexity_bands,
+    "op6_secret_ledger": op6_secret_ledger,
     "op8_byte_bpe": op8_byte_bpe,
 }
 #: SQL for the operators that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_secret_ledger": _secret_sql(),
+}
