@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardlake.llm.bpe import tokenize
 from wardlake.llm.licenses import license_scan
 from wardlake.llm.perplexity import quality_rules
+from wardlake.llm.quality import quality
 from wardlake.llm.secrets import BASE_RULES, RULES, digests, scan_versions
 from wardlake.llm.toxicity import toxicity
 from wardlake.sources.storage import new_path
@@ -23,6 +24,10 @@ def op1_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_quality_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -77,6 +82,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity_cnn": op1_toxicity_cnn,
+    "op2_quality_kernel": op2_quality_kernel,
     "op4_license_notices": op4_license_notices,
     "op5_perplexity_bands": op5_perplexity_bands,
     "op6_secret_ledger": op6_secret_ledger,
