@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlake.llm.bpe import tokenize
+from wardlake.llm.decontaminate import leaks
+from wardlake.llm.jaccard import Join, near_duplicates
 from wardlake.llm.licenses import license_scan
 from wardlake.llm.perplexity import quality_rules
 from wardlake.llm.quality import quality
@@ -28,6 +30,10 @@ def op2_quality_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), Join(3, 90)).drop("cls")
+
+
 def op4_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -80,13 +86,19 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_toxicity_cnn": op1_toxicity_cnn,
     "op2_quality_kernel": op2_quality_kernel,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_license_notices": op4_license_notices,
     "op5_perplexity_bands": op5_perplexity_bands,
     "op6_secret_ledger": op6_secret_ledger,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_benchmark_leaks": op9_benchmark_leaks,
 }
 #: SQL for the operators that SQL can express.
 ORACLE: dict[str, str] = {
