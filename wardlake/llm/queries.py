@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardlake.llm.bpe import tokenize
 from wardlake.llm.decontaminate import leaks
@@ -12,6 +13,7 @@ from wardlake.llm.licenses import license_scan
 from wardlake.llm.perplexity import quality_rules
 from wardlake.llm.quality import quality
 from wardlake.llm.secrets import BASE_RULES, RULES, digests, scan_versions
+from wardlake.llm.suffixes import without_repeats
 from wardlake.llm.toxicity import toxicity
 from wardlake.sources.storage import new_path
 
@@ -90,6 +92,16 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity_cnn": op1_toxicity_cnn,
     "op2_quality_kernel": op2_quality_kernel,
@@ -99,6 +111,7 @@ QUERIES = {
     "op6_secret_ledger": op6_secret_ledger,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_benchmark_leaks": op9_benchmark_leaks,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 #: SQL for the operators that SQL can express.
 ORACLE: dict[str, str] = {
