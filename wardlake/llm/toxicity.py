@@ -147,25 +147,25 @@ def fit(texts: pa.Array, labels: np.ndarray, langs: list[str | None], weights: n
     order = rng.permutation(len(labels))
     held, trained = np.sort(order[: len(order) // 5]), np.sort(order[len(order) // 5 :])
 
-    # layout of every text, texts end to end
-    parts, at = [], [0]
-    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-    for _, data, bounds in slices(batch):
-        hashes, first = word_hashes(data, bounds)
-        parts.append(hashes)
-        at.extend(first[1:] + at[-1])
-    hashes, at = np.concatenate(parts), np.array(at)
-
-    # rows with each hash, by label; only hashes in enough rows get a vector
-    row = np.repeat(np.arange(len(labels)), np.diff(at) * BLOCK)
+    # rows of the sample with each hash, by label; only hashes in enough rows get a vector
     is_trained = np.zeros(len(labels), bool)
     is_trained[trained] = True
-    used = is_trained[row]
-    pairs = np.unique((hashes[used].astype(np.int64) << 32 | row[used, None]).ravel())
-    pairs = pairs[pairs >> 32 > 0]
-    active, where, df = np.unique(pairs >> 32, return_inverse=True, return_counts=True)
-    toxic = labels[pairs & 0xFFFFFFFF] > 0
-    df1 = np.bincount(where[toxic], minlength=len(active))
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    in_rows = np.zeros((2, 1 << HASH_BITS), np.int32)
+    low = 0
+    for part, data, bounds in slices(batch):
+        hashes, first = word_hashes(data, bounds)
+        row = low + np.repeat(np.arange(len(part)), np.diff(first) * BLOCK)
+        low += len(part)
+        used = is_trained[row]
+        pairs = np.unique((hashes[used].astype(np.int64) << 32 | row[used, None]).ravel())
+        toxic = labels[pairs & 0xFFFFFFFF] > 0
+        for k, mine in enumerate((pairs[~toxic], pairs[toxic])):
+            np.add.at(in_rows[k], mine >> 32, 1)
+    in_rows[:, 0] = 0
+    active = np.flatnonzero(in_rows.any(axis=0))
+    df, df1 = in_rows[:, active].sum(axis=0), in_rows[1, active]
+    del in_rows
     keep = df >= LEAST_ROWS
     active, df, df1 = active[keep], df[keep], df1[keep]
     n1 = int(labels[trained].sum())
@@ -186,7 +186,14 @@ def fit(texts: pa.Array, labels: np.ndarray, langs: list[str | None], weights: n
     out = rng.normal(0, 0.05, 3 * len(bias) + 1).astype(np.float32)
     offset = np.array([start.offset], np.float32)
     model = Model(rows, vectors, filters, bias, out, 0.0, {})
-    numbers = rows[hashes]
+    # layout of every text, texts end to end
+    laid, at = [], [0]
+    for _, data, bounds in slices(batch):
+        hashes, first = word_hashes(data, bounds)
+        laid.append(rows[hashes])
+        at.extend(first[1:] + at[-1])
+    numbers, at = np.concatenate(laid), np.array(at)
+    del laid
     adam = _Adam(vectors, *filters, bias, out, offset)
     m = len(bias)
 
