@@ -53,11 +53,12 @@ class Model(NamedTuple):
     thresholds: dict[str | None, float]
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of words and their first bytes in a padded layout, and the first block of each row.
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of words and their first bytes in a padded layout, the first block of each row, and
+    which places hold a word.
 
-    Every row starts a block and ends with at least two empty places, so that no filter reaches
-    into the next row. Hash 0 stands for nothing.
+    Every row starts a block and ends with at least two empty places, so that no filter at a word
+    reaches into the next row. Hash 0 stands for nothing.
     """
     low = LOWER[data]
     words = Words(low, bounds, ALNUM)
@@ -73,10 +74,12 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
             long = words.end - words.start > n
             start = words.start[long]
             out[place[long], k] = (rolling(start, start + n) ^ np.uint64(n << 60)) >> shift
-    return out, first
+    real = np.zeros(len(out), bool)
+    real[place] = True
+    return out, first, real
 
 
-def _pool(model: Model, numbers: np.ndarray, first: np.ndarray):
+def _pool(model: Model, numbers: np.ndarray, first: np.ndarray, real: np.ndarray):
     """Inputs of the last layer for each row, with what the training needs to go back."""
     x = model.vectors[numbers[:, 0]]
     for k in range(1, numbers.shape[1]):
@@ -87,7 +90,7 @@ def _pool(model: Model, numbers: np.ndarray, first: np.ndarray):
         for j in range(1, width):
             y[:-j] += x[j:] @ own[j]
         made.append(y)
-    y = np.concatenate(made, axis=1) + model.bias
+    y = (np.concatenate(made, axis=1) + model.bias) * real[:, None]
     y = y.reshape(-1, BLOCK, y.shape[1])
     best = np.maximum(y.max(axis=1), 0)
     n = np.diff(first)[:, None]
@@ -101,8 +104,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def score_slice(model: Model, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    hashes, first = word_hashes(data, bounds)
-    pooled, _ = _pool(model, model.rows[hashes], first)
+    hashes, first, real = word_hashes(data, bounds)
+    pooled, _ = _pool(model, model.rows[hashes], first, real)
     return _sigmoid(pooled @ model.weights + model.offset)
 
 
@@ -154,7 +157,7 @@ def fit(texts: pa.Array, labels: np.ndarray, langs: list[str | None], weights: n
     in_rows = np.zeros((2, 1 << HASH_BITS), np.int32)
     low = 0
     for part, data, bounds in slices(batch):
-        hashes, first = word_hashes(data, bounds)
+        hashes, first, _ = word_hashes(data, bounds)
         row = low + np.repeat(np.arange(len(part)), np.diff(first) * BLOCK)
         low += len(part)
         used = is_trained[row]
@@ -187,26 +190,28 @@ def fit(texts: pa.Array, labels: np.ndarray, langs: list[str | None], weights: n
     offset = np.array([start.offset], np.float32)
     model = Model(rows, vectors, filters, bias, out, 0.0, {})
     # layout of every text, texts end to end
-    laid, at = [], [0]
+    laid, words, at = [], [], [0]
     for _, data, bounds in slices(batch):
-        hashes, first = word_hashes(data, bounds)
+        hashes, first, real = word_hashes(data, bounds)
         laid.append(rows[hashes])
+        words.append(real)
         at.extend(first[1:] + at[-1])
-    numbers, at = np.concatenate(laid), np.array(at)
+    numbers, words, at = np.concatenate(laid), np.concatenate(words), np.array(at)
     del laid
     adam = _Adam(vectors, *filters, bias, out, offset)
     m = len(bias)
 
-    def batch_of(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def batch_of(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         first = np.concatenate([[0], np.cumsum(at[chosen + 1] - at[chosen])])
         take = np.repeat(at[chosen] - first[:-1], np.diff(first)) + np.arange(first[-1])
-        return numbers.reshape(-1, BLOCK, numbers.shape[1])[take].reshape(-1, numbers.shape[1]), first
+        own = numbers.reshape(-1, BLOCK, numbers.shape[1])[take].reshape(-1, numbers.shape[1])
+        return own, first, words.reshape(-1, BLOCK)[take].ravel()
 
     for _ in range(EPOCHS):
         mixed = rng.permutation(trained)
         for chosen in np.array_split(mixed, max(1, len(mixed) // 64)):
-            own, first = batch_of(chosen)
-            pooled, (x, y, best, total, n) = _pool(model, own, first)
+            own, first, real = batch_of(chosen)
+            pooled, (x, y, best, total, n) = _pool(model, own, first, real)
             p = _sigmoid(pooled @ out + offset[0])
             d = (weights[chosen] * (p - labels[chosen]) / weights[chosen].sum()).astype(np.float32)
             d_out = pooled.T @ d + 1e-4 * out
