@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.llm.bpe import tokenize
+from wardlake.llm.conversations import CLOSING, OPENING, collapsed
 from wardlake.llm.decontaminate import leaks
 from wardlake.llm.jaccard import Join, near_duplicates
 from wardlake.llm.licenses import license_scan
@@ -78,6 +79,34 @@ GROUP BY d.doc_id
 """
 
 
+def op7_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapsed(table(spark, sf_dir, "conversations"))
+
+
+def _conversation_sql() -> str:
+    """Prefixes as whole texts; a part has 512 turns, as the query's."""
+    line = f"'{OPENING}' || coalesce(role, '') || chr(10) || coalesce(text, '') || '{CLOSING.strip()}' || chr(10)"
+    same = "coalesce('r' || length(role) || ':' || role, 'n') || coalesce('t' || length(text) || ':' || text, 'n')"
+    return f"""
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+placed AS (
+  SELECT *, {line} AS line, {same} AS same,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place,
+    count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM turns
+),
+rolled AS (
+  SELECT *, sha256(string_agg(same, '') OVER (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING)) AS prefix
+  FROM placed
+),
+wholes AS (SELECT prefix, n_turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM rolled WHERE place = n_turns GROUP BY ALL),
+kept AS (SELECT * FROM wholes WHERE (prefix, n_turns) NOT IN (SELECT prefix, place FROM rolled WHERE place < n_turns))
+SELECT k.conv_id, (p.place - 1) // 512 AS part, k.n_turns, k.n_copies, string_agg(p.line, '' ORDER BY p.place) AS rendered
+FROM kept k JOIN placed p ON p.conv_id IS NOT DISTINCT FROM k.conv_id
+GROUP BY ALL
+"""
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokenize(
@@ -109,6 +138,7 @@ QUERIES = {
     "op4_license_notices": op4_license_notices,
     "op5_perplexity_bands": op5_perplexity_bands,
     "op6_secret_ledger": op6_secret_ledger,
+    "op7_snapshot_collapse": op7_snapshot_collapse,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_suffix_dedup": op10_suffix_dedup,
@@ -116,4 +146,5 @@ QUERIES = {
 #: SQL for the operators that SQL can express.
 ORACLE: dict[str, str] = {
     "op6_secret_ledger": _secret_sql(),
+    "op7_snapshot_collapse": _conversation_sql(),
 }
