@@ -209,6 +209,21 @@ def score(measured: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)
     return measured.select(*keep, "stats").mapInArrow(run, schema)
 
 
+def good(df: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows whose text scores ``least`` or more; all columns stay, and no text is shuffled.
+
+    Labels are learned from as in ``quality``.
+    """
+    model = train(stored(measure(df), "statistics"), labels.where(~is_held_out(3, 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, bounds in slices(batch):
+                yield part.filter(pa.array(model(statistics(data, bounds)) >= least))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def quality(df: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores of all documents; rows whose crc32 leaves 1 on division by 3 are never learned from."""
     measured = stored(measure(df), "statistics")
