@@ -14,7 +14,7 @@ from wardlake.functions import text as t
 from wardlake.operators.schema import (
     lookup_join, nan_to_null, normalize_columns, period, with_missing,
 )
-from wardlake.plans.admissions import admissions_silver, dated
+from wardlake.plans.admissions import admissions_silver, dated, rejected_dates
 
 
 def mapped(spark, expression, values, kind="string"):
@@ -80,6 +80,26 @@ def test_dates(spark):
     assert mapped(spark, c.date_or_null, raw) == [leap, leap, None, None, None, None, datetime.date(1999, 12, 31), leap, leap, None]
 
 
+def test_date_forms(spark):
+    day = datetime.date(2024, 1, 5)
+    good = ["2024-01-05", "05/01/2024", "2024-01-05 10:30", "2024/01/05", "2024-01-05T10:00:00Z", "2024-01-05 10:00:00.123", "20240105",
+            "2024-01-05T23:59:59+05:30", "2024-01-05 23:59:59 -0300", "05/01/2024 08:00"]
+    bad = ["2024-01-05 24:00", "2024-13-05", "2024-01-05 10", "202401051", "x2024-01-05"]
+    assert mapped(spark, c.date_or_null, good) == [day] * len(good)
+    assert mapped(spark, c.date_or_null, bad) == [None] * len(bad)
+    assert mapped(spark, c.date_problem, [*good[:1], *bad[:1], "", " \t", None]) == [None, "unreadable", "blank", "blank", "missing"]
+
+
+def test_rejected_dates_are_the_dropped_rows(spark):
+    df = spark.createDataFrame([("2024-01-05", "a"), ("??", "b"), (None, "c")], ["Data da Internação", "especialidade"])
+    assert {(r.especialidade_hospitalar, r.problema) for r in rejected_dates(df).collect()} == {("b", "unreadable"), ("c", "missing")}
+
+
+def test_headers_are_spelled_in_ascii(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], ["Data – Internação", "Straße", "Ørsted  Æble", "ﬁm"])
+    assert normalize_columns(df).columns == ["data_-_internacao", "strasse", "orsted_aeble", "fim"]
+
+
 def test_timestamps_are_cut_to_dates(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-05-01 23:59:59' AS x")
     assert df.select(dated(df, "x")).first()[0] == datetime.date(2024, 5, 1)

@@ -1,7 +1,6 @@
 """Text rules, comment layers and terms."""
 
 import math
-import os
 import re
 from collections import Counter
 
@@ -12,9 +11,8 @@ from test_cleaning import mapped
 from wardlake.functions import defaults as d
 from wardlake.functions import text as t
 from wardlake.operators.dedup import keep_first
-from wardlake.operators.terms import term_counts, term_ranks, tfidf_terms
+from wardlake.operators.terms import most_frequent, term_counts, term_ranks, tfidf_terms
 from wardlake.plans.comments import comments_silver, comments_staging, sentiment_gold
-from wardlake.sources.readers import read_delimited
 
 STOPWORDS = (*t.Lexicon().words, *d.TFIDF_EXTRA_STOPWORDS)
 
@@ -153,15 +151,35 @@ def test_tfidf_without_any_term(spark):
 
 
 def test_term_counts_and_ranks(spark):
-    rows = [("positivo", "equipe equipe para casa abc"), ("positivo", "Equipe"), ("negativo", "fila fila casa"), ("neutro", " "), ("neutro", None)]
-    counts = term_counts(spark.createDataFrame(rows, "sentimento string, tokens string"))
+    rows = [("positivo", "equipe equipe, para casa abc"), ("positivo", "Equipe!"), ("negativo", "fila fila casa"), ("neutro", " "), ("neutro", None)]
+    counts = term_counts(spark.createDataFrame(rows, "sentimento string, texto_limpo string"))
     assert [(r.sentimento, r.termo, float(r.score_tfidf)) for r in term_ranks(counts).collect()] == [
         ("negativo", "fila", 2.0), ("negativo", "casa", 1.0), ("positivo", "equipe", 3.0), ("positivo", "casa", 1.0),
     ]
-    cut = term_counts(spark.createDataFrame(rows, "sentimento string, tokens string"), top=3)
+    cut = term_counts(spark.createDataFrame(rows, "sentimento string, texto_limpo string"), top=3)
     assert {(r.sentimento, r.termo) for r in cut.collect()} == {("positivo", "equipe"), ("negativo", "fila"), ("negativo", "casa")}
 
 
+def test_term_counts_take_every_word(spark):
+    long_text = " ".join(f"palavra{k:03}" for k in range(200)) + " palavra150"
+    counts = term_counts(spark.createDataFrame([("neutro", long_text)], "sentimento string, texto_limpo string"), top=1000)
+    assert {r.termo: int(r.score_tfidf) for r in counts.collect()} == {f"palavra{k:03}": 1 + (k == 150) for k in range(200)}
+
+
+def test_most_frequent_terms_of_a_class(spark):
+    rows = [("c", f"t{k:05}", 1 + k % 50, 1) for k in range(8000)]
+    counts = spark.createDataFrame(rows, "_class string, _term string, _occurrences int, _df int")
+    want = [r[1] for r in sorted(rows, key=lambda r: (-r[2], r[1]))[:1500]]
+    assert sorted(r._term for r in most_frequent(counts, 1500).collect()) == sorted(want)
+
+
+def test_tfidf_joins_the_vocabulary(spark):
+    """No broadcast is asked for, and no row carries the vocabulary."""
+    df = spark.createDataFrame([("positivo", "bom dia"), ("positivo", "bom")], "sentimento string, texto_limpo string")
+    text = tfidf_terms(df, top=5000)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in text and "array_agg" not in text and "collect_list" not in text
+
+
 def test_comment_staging_types(spark):
     df = spark.createDataFrame([("1", "p", "a", "2024-01-02", "5", "excelente equipe aqui", 1)], COMMENT)
     staged = comments_staging(sentiment_gold(comments_silver(df, [F.asc("pos")])))
@@ -169,19 +187,25 @@ def test_comment_staging_types(spark):
     assert str(staged.first().score_sentimento) == "0.333"
 
 
-@pytest.mark.skipif(
-    not (os.environ.get("GOLDEN_COMMENTS") and os.environ.get("GOLDEN_TERMS")),
-    reason="GOLDEN_COMMENTS and GOLDEN_TERMS name no published files",
-)
-def test_published_results(spark):
-    """Published comments give the published label split and all published term scores."""
-    raw = read_delimited(spark, os.environ["GOLDEN_COMMENTS"], position="pos")
-    gold = sentiment_gold(comments_silver(raw, [F.asc("pos")])).cache()
-    split = {r.sentimento: r["count"] for r in gold.groupBy("sentimento").count().collect()}
-    assert split == {"positivo": 11, "neutro": 8, "negativo": 6}
-    published = read_delimited(spark, os.environ["GOLDEN_TERMS"])
-    want = {(r.sentimento, r.termo): float(r.score_tfidf) for r in published.collect()}
-    terms = tfidf_terms(gold, stopwords=STOPWORDS, vocabulary=published.select("sentimento", "termo"))
-    got = {(r.sentimento, r.termo): r.score_tfidf for r in terms.collect()}
-    assert len(want) == 45 and got.keys() == want.keys()
-    assert max(abs(got[k] - want[k]) for k in want) < 1e-12
+def test_hand_worked_results(spark):
+    """Labels, scores and term weights worked out by hand from the definitions."""
+    texts = [
+        ("1", "Excelente equipe, muito bom", "positivo", 0.5),  # 2 of 4
+        ("2", "Equipe excelente", "positivo", 0.5),  # 1 of 2
+        ("3", "Fila enorme", "negativo", -1.0),
+        ("4", "fila, fila e demora", "negativo", -1.0),
+        ("5", "Não gostei do atendimento", "negativo", -0.667),  # two of three
+        ("6", "nem bom nem ruim, normal", "neutro", 0.0),
+        ("7", "Consulta marcada para segunda", "neutro", 0.0),
+    ]
+    df = spark.createDataFrame([(i, "p", "a", None, None, t, int(i)) for i, t, *_ in texts], COMMENT)
+    gold = sentiment_gold(comments_silver(df, [F.asc("pos")]))
+    got = {r.comment_id: (r.sentimento, float(r.score_sentimento)) for r in gold.collect()}
+    assert got == {i: (label, score) for i, _, label, score in texts}
+    # positive: both texts hold "equipe" and "excelente" (idf 1); only the first holds "muito" and
+    # "bom" (idf ln(3/2) + 1).
+    rare = math.log(3 / 2) + 1
+    norm = math.sqrt(2 + 2 * rare * rare)
+    want = {"equipe": 1 / norm + 1 / math.sqrt(2), "excelente": 1 / norm + 1 / math.sqrt(2), "muito": rare / norm, "bom": rare / norm}
+    terms = {r.termo: r.score_tfidf for r in tfidf_terms(gold).collect() if r.sentimento == "positivo"}
+    assert terms.keys() == want.keys() and max(abs(terms[k] - want[k]) for k in want) < 1e-12

@@ -22,13 +22,15 @@ def test_small_dimensions_are_broadcast_large_ones_are_not(spark, sf_dir):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" not in plan(built.fact.filter("qtd_internacoes > 0"))
+        lines = plan(built.fact.filter("qtd_internacoes > 0")).splitlines()
+        # Only the offsets of the numbering stay: one row per written partition.
+        assert all("[_part" in line for line in lines if "BroadcastHashJoin" in line)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_comment_rows_never_meet_in_one_partition(spark, sf_dir):
-    fact = star.fact_comments(a.stored_comments(spark, sf_dir))
+    fact = star.fact_comments(a.staged_comments(spark, sf_dir))
     text = fact._jdf.queryExecution().executedPlan().toString()
     # The only one-partition exchange carries one row per written partition.
     assert text.count("Exchange SinglePartition") == 1
@@ -60,7 +62,7 @@ def test_totals_for_shares_reuse_the_groups(spark, sf_dir):
 
 @pytest.mark.parametrize(
     "name, pushed",
-    [("q_period_filter", "GreaterThanOrEqual(l_shipdate,1996-01-01"), ("q_tfidf_given_vocabulary", "In(lang, [de,en,fr])")],
+    [("q_period_filter", "GreaterThanOrEqual(l_shipdate,1996-01-01"), ("q_tfidf_given_vocabulary", "In(lang, [de,en,es,fr])")],
 )
 def test_filters_reach_the_scan(spark, sf_dir, name, pushed):
     text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

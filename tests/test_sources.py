@@ -74,10 +74,10 @@ def test_flatten_comments(spark, tmp_path):
     path = tmp_path / "p.json"
     path.write_text(json.dumps(payload) + "\n" + json.dumps({"data": []}) + "\n")
     payloads = readers.read_payloads(spark, str(path))
-    rows = readers.flatten_comments(payloads).collect()
+    rows = readers.flatten_comments(payloads, max_posts=10).collect()
     assert [tuple(r) for r in rows[:2]] == [("c1", "p0", "ana", "2024-03-02", 4, "oi"), ("c2", "p0", "", "", 0, "")]
     assert [r.comment_id for r in rows[2:]] == [f"d{i}" for i in range(2, 10)]  # the first ten posts
-    assert readers.flatten_comments(payloads, max_posts=None).count() == 12
+    assert readers.flatten_comments(payloads).count() == 12
 
 
 def test_payloads_without_data_and_broken_ones(spark, tmp_path):
@@ -165,19 +165,37 @@ def test_publish_counts_and_uses_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    def session(master, folder=None):
-        context = SimpleNamespace(master=master, applicationId="app-1", getConf=lambda: {})
-        return SimpleNamespace(sparkContext=context, conf={"spark.checkpoint.dir": folder} if folder else {})
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(session("yarn"))
-    assert shared_dir(session("yarn", "hdfs://lake/tmp/")) == "hdfs://lake/tmp"
-    own = shared_dir(session("local[2]"))
-    assert own == shared_dir(session("local[2]")) and "wardlake-" in own
-
-
-def test_spread_leaves_many_splits_alone(spark):
-    assert readers.spread(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 8
-    many = spark.range(0, 100, 1, 20)
-    assert readers.spread(many) is many
+def test_the_session_names_the_shared_folder():
+    def session(folder=None):
+        context = SimpleNamespace(getConf=lambda: {})
+        conf = {"spark.sql.warehouse.dir": "hdfs://lake/warehouse/"} | ({"spark.checkpoint.dir": folder} if folder else {})
+        return SimpleNamespace(sparkContext=context, conf=conf)
+
+    assert shared_dir(session("hdfs://lake/tmp/")) == "hdfs://lake/tmp"
+    assert shared_dir(session()) == "hdfs://lake/warehouse/_steps"
+
+
+def test_headers_take_one_job_for_any_number_of_files(spark, tmp_path):
+    for k in range(60):
+        names = ("nome", "cidade") if k % 3 else ("cidade", "nome", "extra")
+        (tmp_path / f"{k:02}.csv").write_text(";".join(names) + "\n" + "\n".join(f"{n}{k}" for n in [";".join(names)]) + "\n")
+    files = sorted(spark.read.text(str(tmp_path / "*.csv")).inputFiles())
+    context = spark.sparkContext
+    jobs = {}
+    for n in (36, 60):  # Spark lists more than 32 paths in a job of its own
+        context.setJobGroup(f"headers{n}", "headers")
+        groups = readers.header_groups(spark, files[:n], "UTF-8")
+        jobs[n] = len(context.statusTracker().getJobIdsForGroup(f"headers{n}"))
+        context._jsc.clearJobGroup()
+        assert sorted(map(len, groups)) == [n // 3, n - n // 3]
+    assert jobs[36] == jobs[60]
+
+
+def test_load_goes_by_column_name(spark, tmp_path):
+    one = spark.createDataFrame([(1, 2)], "a int, b int")
+    writers.load_table(one, "stg_names", {"a": "int", "b": "int"}, str(tmp_path / "names"))
+    loaded = writers.load_table(one, "stg_names", {"b": "int", "a": "int"})
+    assert loaded.first().asDict() == {"a": 1, "b": 2}
+    with pytest.raises(ValueError, match="stg_names"):
+        writers.load_table(one, "stg_names", {"a": "int"})
+    spark.sql("DROP TABLE stg_names")

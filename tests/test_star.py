@@ -41,6 +41,7 @@ def test_conflicting_codes_are_reported_and_resolved(staging, built):
 def test_fact_loses_and_doubles_nothing(staging, built):
     row = quality.reconcile(staging, "numero_internacoes", built.fact, "qtd_internacoes").first()
     assert (row.detail_total, row.summary_total, row.difference) == (9, 9, 0)
+    assert tuple(quality.reconcile_total(built.admissions, built.fact, "qtd_internacoes").first()) == (9, 9, 0)
     assert quality.repeated_keys(built.fact, star.FACT_KEYS).count() == 0
 
 
@@ -56,7 +57,7 @@ def test_dimension_keys_are_dense_in_order(built):
         assert [r[key] for r in rows] == list(range(1, len(rows) + 1))
         naturals = [tuple(r[c] for c in order) for r in rows]
         assert naturals == sorted(naturals)
-    assert built.rows == {"time": 3, "specialty": 3, "patient": 5, "municipality": 3}
+    assert [df.count() for df, *_ in dims] == [3, 3, 5, 3]
 
 
 def test_time_attributes(built):
@@ -128,18 +129,46 @@ def test_dense_id_is_row_number(spark):
     assert got.count() == 20000
 
 
-def test_large_frames_take_the_distributed_way(spark, monkeypatch):
-    monkeypatch.setattr(keys, "ONE_TASK_ROWS", 0)
+def test_ranks_share_places(spark):
     df = spark.range(5000).select(F.col("id").alias("k"), F.floor(F.sqrt("id")).alias("m"))
-    got = keys.rank_descending(df, "m", ["k"], "r", rows_at_most=5000)
+    got = keys.rank_descending(df, "m", ["k"], "r")
     want = df.withColumn("w", F.rank().over(Window.orderBy(F.desc("m"))))
     assert got.columns == ["k", "m", "r"]
     assert got.join(want, "k").filter("r <> w").count() == 0
-    staging = admissions_staging(admissions_silver(spark.createDataFrame(ROWS, HEADER)))
-    large = star.build_star(staging)
-    assert [tuple(r)[-2:] for r in marts.top_specialties(large).collect()] == [(5, 1), (3, 2), (1, 3)]
-    rows = large.municipality.orderBy("id_municipio").collect()
-    assert [(r.id_municipio, r.municipio_residencia) for r in rows] == [(1, "Caicó"), (2, "Natal"), (3, "Não informado")]
+
+
+@pytest.mark.parametrize("rows", [3, 5000])
+def test_numbering_is_the_same_for_any_size(spark, rows):
+    """The only one-partition exchange carries one row per written partition."""
+    df = spark.range(rows).select(F.col("id").alias("k"), (F.col("id") % 7).alias("m"))
+    for numbered in (keys.dense_id(df, [F.asc("k")], "n"), keys.rank_descending(df, "m", ["k"], "r")):
+        text = numbered._jdf.queryExecution().executedPlan().toString()
+        for before in text.split("Exchange SinglePartition")[:-1]:
+            assert "_rows" in before[before.rindex("Window") :]
+
+
+def test_a_specialty_with_two_groups_doubles_nothing(spark):
+    rows = [*ROWS, ("2024-03-01", "UTI", "Natal", "2408102", "70", "M", "4")]
+    staged = admissions_staging(admissions_silver(spark.createDataFrame(rows, HEADER))).withColumn(
+        "grupo_especialidade", F.when(F.col("mes") == 3, "Outro").otherwise(F.col("grupo_especialidade"))
+    )
+    two = star.build_star(staged)
+    assert two.admissions == 13 and two.fact.agg(F.sum("qtd_internacoes")).first()[0] == 13
+    assert two.specialty.filter("especialidade_padrao = 'UTI'").count() == 1
+    conflicts = quality.conflicting_attributes(staged, "especialidade_padrao", "grupo_especialidade").collect()
+    assert [tuple(r) for r in conflicts] == [("UTI", 2, "Outro", "Terapia Intensiva")]
+
+
+def test_null_against_a_value_is_a_conflict(spark):
+    df = spark.createDataFrame([("m", None), ("m", "1"), ("n", None), ("o", "2")], "k string, v string")
+    assert [tuple(r) for r in quality.conflicting_attributes(df, "k", "v").collect()] == [("m", 2, "1", "1")]
+
+
+def test_repeated_comment_ids_are_numbered_row_by_row(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z"), (None, "n")], "comment_id string, t string")
+    rows = star.fact_comments(df).collect()
+    assert sorted(r.id_comentario for r in rows) == [1, 2, 3, 4]
+    assert {r.t: r.id_comentario for r in rows}["z"] == 3 and {r.t: r.id_comentario for r in rows}["n"] == 4
 
 
 def test_fact_comments_numbers_in_id_order(comments):

@@ -25,11 +25,24 @@ def or_sentinel(c: Column, sentinel: str = d.UNKNOWN) -> Column:
 
 
 def date_or_null(c: Column, formats: Sequence[str] = d.DATE_FORMATS) -> Column:
-    """First declared format that parses, as a date; null if none does."""
-    text = stripped(c)
+    """First declared format that parses, as a date; null if none does.
+
+    A time of day behind the date is cut off, with its offset: the date is the one written.
+    """
+    text = F.regexp_replace(stripped(c), f"(?<=[0-9]){d.TIME_OF_DAY}$", "")
     return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in formats])
 
 
+def date_problem(c: Column, formats: Sequence[str] = d.DATE_FORMATS) -> Column:
+    """Why a text gives no date: ``missing``, ``blank`` or ``unreadable``; null if it gives one."""
+    text = stripped(c)
+    return (
+        F.when(c.isNull(), "missing")
+        .when(text == "", "blank")
+        .when(date_or_null(c, formats).isNull(), "unreadable")
+    )
+
+
 def whole_number(c: Column, from_text: bool = True) -> Column:
     """Number cut to an integer toward zero; null for anything that is not one.
 

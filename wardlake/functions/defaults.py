@@ -15,6 +15,13 @@ NULL_MARKERS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# --- Spelling of letters and signs that have no ASCII part ----------------------------
+SPELLINGS = {
+    "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "ħ": "h", "ı": "i", "ł": "l",
+    "þ": "th", "ŋ": "ng", "–": "-", "—": "-", "‐": "-", "‑": "-", "−": "-", "‘": "'", "’": "'",
+    "“": '"', "”": '"', "«": "<<", "»": ">>", "…": "...", "ª": "a", "º": "o", "°": "deg", "€": "EUR",
+}
+
 # --- Admission headers (compared without case and accents) ---------------------------
 ADMISSION_ALIASES = {
     "data_internacao": "data_internacao",
@@ -71,7 +78,9 @@ CAPITAL_PATTERN = "natal"
 CAPITAL, INTERIOR = "Capital", "Interior"
 STATE = "RN"
 STUDY_YEARS = (2024, 2025)
-DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss")
+DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy/MM/dd", "yyyyMMdd")
+# A time of day after a date, with or without seconds, fraction and offset.
+TIME_OF_DAY = r"[T ]([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9]([.,][0-9]{1,9})?)?( ?(Z|[+-][0-9]{2}(:?[0-9]{2})?))?"
 MONTH_NAMES = (
     "Janeiro", "Fevereiro", "Março", "Abril", "Maio", "Junho",
     "Julho", "Agosto", "Setembro", "Outubro", "Novembro", "Dezembro",
@@ -79,6 +88,38 @@ MONTH_NAMES = (
 SEASONS = {"Verão": (12, 1, 2), "Outono": (3, 4, 5), "Inverno": (6, 7, 8)}
 LAST_SEASON = "Primavera"
 
+# --- The staging tables: column, type, and whether a value is required ------------------
+ADMISSION_TABLE = (
+    ("data_internacao", "date", True),
+    ("especialidade_hospitalar", "string", False),
+    ("especialidade_padrao", "string", True),
+    ("grupo_especialidade", "string", False),
+    ("numero_internacoes", "int", True),
+    ("municipio_residencia", "string", True),
+    ("codigo_municipio_ibge", "string", False),
+    ("idade", "int", False),
+    ("faixa_etaria", "string", True),
+    ("sexo", "string", True),
+    ("ano", "int", True),
+    ("mes", "int", True),
+    ("ano_mes", "string", True),
+    ("trimestre", "int", True),
+    ("capital_interior", "string", True),
+)
+COMMENT_TABLE = (
+    ("comment_id", "string", True),
+    ("post_id", "string", False),
+    ("autor", "string", False),
+    ("data_comentario", "date", False),
+    ("curtidas", "int", False),
+    ("texto_original", "string", False),
+    ("texto_limpo", "string", False),
+    ("sentimento", "string", True),
+    ("score_sentimento", "decimal(6,3)", False),
+    ("tokens", "string", False),
+    ("qtd_tokens", "int", False),
+)
+
 # --- Sentiment -----------------------------------------------------------------------
 POSITIVE_WORDS = (
     "excelente", "bom", "boa", "otimo", "ótimo", "parabens", "parabéns", "obrigada", "obrigado",

@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlake.sources.storage import Stored, publish
-
-#: Above this many rows, a whole-frame window (which runs in one task) is not used.
-ONE_TASK_ROWS = 1_000_000
+from wardlake.sources.storage import publish
 
 _PLACE_BITS = 33  # documented layout of monotonically_increasing_id
 
@@ -40,22 +37,12 @@ def dense_id(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     )
 
 
-def surrogate_key(stored: Stored, order: Sequence[Column], name: str) -> DataFrame:
-    """Dense key of a dimension: one window when its counted size is small, else dense_id."""
-    if stored.rows <= ONE_TASK_ROWS:
-        return stored.frame.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    return dense_id(stored.frame, order, name)
-
-
-def rank_descending(df: DataFrame, measure: str, ties: Sequence[str], name: str, rows_at_most: int) -> DataFrame:
+def rank_descending(df: DataFrame, measure: str, ties: Sequence[str], name: str) -> DataFrame:
     """SQL ``RANK`` by descending measure over the whole frame; equal values share a rank.
 
-    ``rows_at_most`` is a known bound of the frame's size, such as the counted size of the
-    dimension it was grouped by. Above the limit, the rank of a value is the smallest dense
-    id that bears it; ``ties`` makes that order total.
+    The rank of a value is the smallest dense id that bears it; ``ties`` makes that order
+    total. No window takes the whole frame into one task.
     """
-    if rows_at_most <= ONE_TASK_ROWS:
-        return df.withColumn(name, F.rank().over(Window.orderBy(F.desc(measure))).cast("long"))
     numbered = dense_id(df, [F.desc(measure), *map(F.asc, ties)], "_id")
     ranks = numbered.groupBy(F.col(measure).alias("_measure")).agg(F.min("_id").alias(name))
     joined = numbered.join(ranks, numbered[measure].eqNullSafe(ranks["_measure"]))

@@ -22,14 +22,15 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def conflicting_attributes(df: DataFrame, key: str, attribute: str) -> DataFrame:
     """Keys with several values of an attribute that should depend on the key alone.
 
-    Reduced to distinct pairs before grouping, so a hot key costs no more than its number of
-    values, and reported by count and extremes rather than by a list of unknown length.
+    Null is a value like any other. Reduced to distinct pairs before grouping, so a hot key
+    costs no more than its number of values, and reported by count and extremes (of the
+    values that are not null) rather than by a list of unknown length.
     """
     pairs = df.select(key, attribute).distinct()
     return (
         pairs.groupBy(key)
         .agg(
-            F.count(attribute).alias("n_values"),
+            F.count(F.lit(1)).alias("n_values"),
             F.min(attribute).alias("lowest_value"),
             F.max(attribute).alias("highest_value"),
         )
@@ -48,6 +49,15 @@ def reconcile(detail: DataFrame, detail_measure: str, summary: DataFrame, summar
     return totals.withColumn("difference", F.col("summary_total") - F.col("detail_total"))
 
 
+def reconcile_total(total: int, summary: DataFrame, measure: str) -> DataFrame:
+    """The same row where the detail's total is known, such as one observed during a write."""
+    after = summary.agg(F.coalesce(F.sum(measure), F.lit(0)).alias("summary_total"))
+    detail = F.lit(total).cast("long")
+    return after.select(
+        detail.alias("detail_total"), "summary_total", (F.col("summary_total") - detail).alias("difference")
+    )
+
+
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per named layer."""
     counts = [

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import re
 import unicodedata
 from collections.abc import Iterable, Mapping
 from typing import Any
@@ -15,27 +14,28 @@ from pyspark.sql import types as T
 from wardlake.functions import defaults as d
 
 
-def unaccented(name: str) -> str:
-    """Stripped, lower-case, without accents."""
-    split = unicodedata.normalize("NFKD", name.strip().lower())
-    return "".join(c for c in split if not unicodedata.combining(c))
+def plain_name(header: str) -> str:
+    """Lower case, other Latin letters and signs spelled in ASCII, one blank between words."""
+    spelled = header.lower().translate(str.maketrans(d.SPELLINGS))
+    letters = (c for c in unicodedata.normalize("NFKD", spelled) if unicodedata.category(c) != "Mn")
+    return " ".join("".join(letters).split())
 
 
 def normalize_columns(df: DataFrame, aliases: Mapping[str, str] = d.ADMISSION_ALIASES) -> DataFrame:
-    """Rename columns by alias, and otherwise join their unaccented words with underscores.
+    """Rename the columns: the name an alias stands for, or else the words of the header.
 
-    Aliases and headers are compared in the same unaccented form. Two headers that end with
-    the same name are an error. Only the schema is touched.
+    Aliases and headers are compared as plain names. Two headers that end with the same name
+    are an error. Only the schema is touched.
     """
-    known = {unaccented(alias): name for alias, name in aliases.items()}
-    names = []
+    renamed: dict[str, str] = {}
+    standard = {plain_name(alias): name for alias, name in aliases.items()}
     for header in df.columns:
-        key = unaccented(header)
-        names.append(known.get(key, re.sub(r"\s+", "_", key)))
-    repeated = sorted({n for n in names if names.count(n) > 1})
-    if repeated:
-        raise ValueError(f"several headers stand for: {', '.join(repeated)}")
-    return df.toDF(*names)
+        words = plain_name(header)
+        name = standard.get(words) or "_".join(words.split(" "))
+        if name in renamed:
+            raise ValueError(f"{renamed[name]!r} and {header!r} both stand for {name}")
+        renamed[name] = header
+    return df.toDF(*renamed)
 
 
 def with_missing(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
@@ -63,12 +63,12 @@ def is_text(df: DataFrame, name: str) -> bool:
 def lookup_join(df: DataFrame, key: str, lookup: DataFrame, out: str, default: str) -> DataFrame:
     """Add ``out`` from a two-column lookup frame (key, value), or the default.
 
-    For lookups too long for an expression. A left join on unique keys, so no row is lost or
-    doubled; Spark broadcasts the lookup if its size allows and shuffles both sides if not.
+    For lookups too long for an expression. Of a repeated key the smallest value counts. A
+    left join on unique keys, so no row is lost or doubled; Spark broadcasts the lookup if its size allows and shuffles both sides if not.
     A hot key only ever meets one lookup row, which adaptive skew joins split.
     """
     source, value = lookup.columns
-    unique = lookup.select(F.col(source).alias("_key"), F.col(value).alias("_value")).dropDuplicates(["_key"])
+    unique = lookup.groupBy(F.col(source).alias("_key")).agg(F.min(value).alias("_value"))
     joined = df.join(unique, df[key] == unique["_key"], "left")
     return joined.withColumn(out, F.coalesce("_value", F.lit(default))).drop("_key", "_value")
 

@@ -14,21 +14,17 @@ from wardlake.functions.text import words
 def term_counts(
     comments: DataFrame,
     label: str = "sentimento",
-    digest: str = "tokens",
+    text: str = "texto_limpo",
     longer_than: int = 3,
     stopwords: Sequence[str] = d.COUNT_STOPWORDS,
     top: int = d.COUNT_TERMS,
 ) -> DataFrame:
-    """The most frequent (class, term) pairs of the stored token digests.
+    """The most frequent (class, term) pairs of all words of the texts.
 
     Ties at the cut are broken by class and term.
     """
-    term = (
-        comments.filter(F.length(F.trim(digest)) > 0)
-        .select(label, F.explode(F.split(F.lower(digest), " ")).alias("termo"))
-        .filter((F.length("termo") > longer_than) & ~F.col("termo").isin(*stopwords))
-    )
-    counted = term.groupBy(label, "termo").agg(F.count(F.lit(1)).alias("_n"))
+    term = comments.select(label, F.explode(words(F.lower(text), longer_than + 1)).alias("termo"))
+    counted = term.filter(~F.col("termo").isin(*stopwords)).groupBy(label, "termo").agg(F.count(F.lit(1)).alias("_n"))
     first = counted.orderBy(F.desc("_n"), label, "termo").limit(top)
     return first.select(label, "termo", F.col("_n").cast("decimal(12,6)").alias("score_tfidf"))
 
@@ -57,13 +53,14 @@ def tfidf_terms(
     ``ln((1 + N) / (1 + df)) + 1`` over all its documents; each document's weights are
     normalized over the vocabulary.
 
-    The frame is read three times, so pass a stored one. Only the first pass unfolds the
-    texts into terms, and these are counted before they are shuffled. Weighting needs no
-    shuffle of documents: the whole vocabulary (``top`` terms for each listed class) comes
-    to them as one array, and every document is normalized where it is read.
+    The frame is read three times, so pass a stored one. The first pass counts terms. The
+    second joins the words of each document with the vocabulary, a frame like any other, and
+    only the pairs that match go on: their counts, weights and norms need one shuffle by
+    document. Neither the vocabulary nor ``top`` is bounded by a task's memory.
     """
     chosen = docs.filter(F.col(label).isin(*classes)).select(F.col(label).alias("_class"), F.col(text).alias("_text"))
     sizes = chosen.groupBy("_class").agg(F.count(F.lit(1)).alias("_docs")).filter("_docs >= 2")
+    listed = None if vocabulary is None else vocabulary.toDF("_class", "_term").distinct()
 
     # One pass counts both: each word of a text, then each distinct word of it once more.
     bags = chosen.select("_class", words(F.lower("_text"), 2).alias("_words"))
@@ -74,48 +71,42 @@ def tfidf_terms(
     )
     if stopwords:
         unfolded = unfolded.filter(~F.col("_term").isin(*stopwords))
-    if vocabulary is not None:
-        listed = vocabulary.toDF("_class", "_term")
+    if listed is not None:
         unfolded = unfolded.join(listed, ["_class", "_term"], "left_semi")
     counts = unfolded.groupBy("_class", "_term").agg(
         F.count_if(F.col("_at") < F.col("_n")).alias("_occurrences"),
         F.count_if(F.col("_at") >= F.col("_n")).alias("_df"),
     )
-    if vocabulary is None:
-        by_count = Window.partitionBy("_class").orderBy(F.desc("_occurrences"), "_term")
-        kept = counts.withColumn("_place", F.row_number().over(by_count)).filter(F.col("_place") <= top)
-    else:
-        kept = counts
+    kept = counts if listed is not None else most_frequent(counts, top)
     idf = F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1
-    weights = (
-        kept.join(sizes, "_class")
-        .groupBy("_class")
-        .agg(F.array_agg(F.struct("_term", idf.alias("_idf"))).alias("_vocabulary"))
+    weighted = kept.join(sizes, "_class").select("_class", "_term", idf.alias("_idf"))
+
+    found = (
+        chosen.select("_class", F.monotonically_increasing_id().alias("_doc"), words(F.lower("_text"), 2).alias("_words"))
+        .select("_class", "_doc", F.explode("_words").alias("_term"))
+        .join(weighted, ["_class", "_term"])
+        .repartition("_class", "_doc")  # serves the counts, and the norms after them
+        .groupBy("_class", "_doc", "_term")
+        .agg((F.count(F.lit(1)) * F.first("_idf")).alias("_weight"))
     )
-
-    # Every word stands between its own two blanks, so a term's frequency is what removing
-    # " term " shortens the text by.
-    spaced = F.concat(
-        F.lit(" "), F.regexp_replace(F.lower("_text"), rf"[^{d.WORD}]+", "  "), F.lit(" ")
-    )
-
-    def weighted(entry):
-        padded = F.concat(F.lit(" "), entry["_term"], F.lit(" "))
-        removed = F.octet_length("_spaced") - F.octet_length(F.replace(F.col("_spaced"), padded, F.lit("")))
-        return F.struct(
-            entry["_term"].alias("term"),
-            (entry["_idf"] * removed / F.octet_length(padded)).alias("weight"),
-        )
-
-    documents = chosen.select("_class", spaced.alias("_spaced")).join(F.broadcast(weights), "_class")
-    weighed = documents.select("_class", F.transform("_vocabulary", weighted).alias("_weights"))
-    norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda total, w: total + w["weight"] * w["weight"]))
-    # No filter on the norm, and the outer form of inline, which Spark adds no filter for: a
-    # filter would be pushed below the weighting and repeat it.
-    normed = weighed.select("_class", "_weights", norm.alias("_norm"))
-    shares = normed.select("_class", "_norm", F.inline_outer("_weights"))
+    norm = F.sqrt(F.sum(F.col("_weight") * F.col("_weight")).over(Window.partitionBy("_class", "_doc")))
     return (
-        shares.groupBy(F.col("_class").alias(label), F.col("term").alias("termo"))
-        .agg(F.sum(F.col("weight") / F.nullif("_norm", F.lit(0.0))).alias("score_tfidf"))
+        found.select(F.col("_class").alias(label), F.col("_term").alias("termo"), (F.col("_weight") / norm).alias("_share"))
+        .groupBy(label, "termo")
+        .agg(F.sum("_share").alias("score_tfidf"))
         .orderBy(label, F.desc("score_tfidf"), "termo")
     )
+
+
+def most_frequent(counts: DataFrame, top: int, shards: int = 64) -> DataFrame:
+    """The ``top`` terms of each class by occurrences, ties by term.
+
+    First within shards of a class, then over what these keep, so that no task ever sorts
+    more than ``shards * top`` terms of a class, however large its vocabulary.
+    """
+    order = (F.desc("_occurrences"), F.col("_term"))
+    shard = F.pmod(F.xxhash64("_term"), F.lit(shards))
+    within = Window.partitionBy("_class", "_shard").orderBy(*order)
+    over = Window.partitionBy("_class").orderBy(*order)
+    first = counts.withColumn("_shard", shard).withColumn("_place", F.row_number().over(within)).filter(F.col("_place") <= top)
+    return first.withColumn("_place", F.row_number().over(over)).filter(F.col("_place") <= top).drop("_shard", "_place")

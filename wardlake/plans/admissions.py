@@ -11,21 +11,9 @@ from wardlake.functions import cleaning as c
 from wardlake.functions import defaults as d
 from wardlake.operators.schema import is_text, normalize_columns, with_missing
 
-GRAIN_COLUMNS = (
-    "data_internacao", "ano", "mes", "ano_mes", "trimestre", "especialidade_padrao",
-    "grupo_especialidade", "municipio_residencia", "codigo_municipio_ibge", "capital_interior",
-    "idade", "faixa_etaria", "sexo", "numero_internacoes",
-)
-STAGING_TYPES = {
-    "data_internacao": "date", "especialidade_hospitalar": "string", "especialidade_padrao": "string",
-    "grupo_especialidade": "string", "numero_internacoes": "int", "municipio_residencia": "string",
-    "codigo_municipio_ibge": "string", "idade": "int", "faixa_etaria": "string", "sexo": "string",
-    "ano": "int", "mes": "int", "ano_mes": "string", "trimestre": "int", "capital_interior": "string",
-}
-STAGING_REQUIRED = (
-    "data_internacao", "especialidade_padrao", "numero_internacoes", "municipio_residencia",
-    "faixa_etaria", "sexo", "ano", "mes", "ano_mes", "trimestre", "capital_interior",
-)
+STAGING_TYPES = {name: kind for name, kind, _ in d.ADMISSION_TABLE}
+STAGING_REQUIRED = tuple(name for name, _, required in d.ADMISSION_TABLE if required)
+GRAIN_COLUMNS = tuple(name for name in STAGING_TYPES if name != "especialidade_hospitalar")
 MONTHLY_KEYS = (
     "ano_mes", "especialidade_padrao", "municipio_residencia", "faixa_etaria", "sexo", "capital_interior",
 )
@@ -86,6 +74,18 @@ def admissions_silver(
     )
 
 
+def rejected_dates(
+    df: DataFrame, aliases: Mapping[str, str] = d.ADMISSION_ALIASES, formats: Sequence[str] = d.DATE_FORMATS
+) -> DataFrame:
+    """The rows that ``admissions_silver`` drops, with the reason in ``problema``."""
+    df = normalize_columns(df, aliases)
+    if is_text(df, "data_internacao"):
+        problem = c.date_problem(F.col("data_internacao"), formats)
+    else:
+        problem = F.when(F.col("data_internacao").isNull(), "missing")
+    return df.withColumn("problema", problem).filter(F.col("problema").isNotNull())
+
+
 def fact_grain(silver: DataFrame) -> DataFrame:
     return silver.select(*GRAIN_COLUMNS)
 

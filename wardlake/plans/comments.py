@@ -14,12 +14,9 @@ from wardlake.operators.dedup import keep_first
 from wardlake.operators.schema import is_text, with_missing
 from wardlake.plans.admissions import dated
 
-COMMENT_COLUMNS = ("comment_id", "post_id", "autor", "data_comentario", "curtidas", "texto_comentario")
-STAGING_TYPES = {
-    "comment_id": "string", "post_id": "string", "autor": "string", "data_comentario": "date",
-    "curtidas": "int", "texto_original": "string", "texto_limpo": "string", "sentimento": "string",
-    "score_sentimento": "decimal(6,3)", "tokens": "string", "qtd_tokens": "int",
-}
+STAGING_TYPES = {name: kind for name, kind, _ in d.COMMENT_TABLE}
+STAGING_REQUIRED = tuple(name for name, _, required in d.COMMENT_TABLE if required)
+COMMENT_COLUMNS = (*list(STAGING_TYPES)[:5], "texto_comentario")
 
 
 def comments_silver(

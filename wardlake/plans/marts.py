@@ -43,9 +43,7 @@ def top_specialties(star: Star, fact: DataFrame | None = None) -> DataFrame:
     """Question 1: admissions by specialty, ranked."""
     joined = (star.fact if fact is None else fact).join(star.specialty, "id_especialidade")
     totals = joined.groupBy("especialidade_padrao", "grupo_especialidade").agg(_total())
-    ranked = rank_descending(
-        totals, TOTAL, ["especialidade_padrao", "grupo_especialidade"], "ranking", star.rows["specialty"]
-    )
+    ranked = rank_descending(totals, TOTAL, ["especialidade_padrao", "grupo_especialidade"], "ranking")
     return ranked.orderBy(F.desc(TOTAL), "especialidade_padrao")
 
 
@@ -75,16 +73,21 @@ def season_totals(star: Star, fact: DataFrame | None = None) -> DataFrame:
 
 
 def comment_sample(comments: DataFrame, sentiment: str | None = None) -> DataFrame:
-    """Question 5: comments with a short text, newest first; undated ones lead."""
+    """Question 5: comments with a short text, newest first; undated ones lead.
+
+    The short rows are written before they are sorted, since a global sort reads its input
+    twice and they are far smaller than the texts.
+    """
     listed = comments if sentiment is None else comments.filter(F.col("sentimento") == sentiment)
-    return listed.select(
+    short = listed.select(
         "comment_id",
         "data_comentario",
         "autor",
         "curtidas",
         "sentimento",
         F.left("texto_limpo", F.lit(d.SUMMARY_LENGTH)).alias("texto_resumo"),
-    ).orderBy(F.desc_nulls_first("data_comentario"), F.desc_nulls_first("curtidas"), "comment_id")
+    )
+    return publish(short, "listing").frame.orderBy(F.desc_nulls_first("data_comentario"), F.desc_nulls_first("curtidas"), "comment_id")
 
 
 def sentiment_distribution(comments: DataFrame) -> DataFrame:

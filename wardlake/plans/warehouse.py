@@ -26,23 +26,29 @@ def build_warehouse(
     years: Sequence[int] | None = None,
     lexicon: Lexicon = Lexicon(),
     silver_options: Mapping[str, Any] | None = None,
+    sources: DataFrame | None = None,
+    copy_to: str | None = None,
 ) -> dict[str, DataFrame]:
     """Write every layer below ``folder`` and register tables and marts as temporary views.
 
     Each layer is computed from the written one before it, so no step is run twice. Returns
-    the registered frames by view name. ``folder`` is any URI the cluster can write to.
+    the registered frames by view name. ``folder`` is any URI the cluster can write to; the
+    silver admissions are also written below ``copy_to``, and ``sources``, the provenance of
+    the files read, is kept with the layers.
     """
     spark = admissions.sparkSession
 
-    def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def stored(df: DataFrame, name: str, partition_by: str | None = None, copy: bool = False) -> DataFrame:
         path = f"{folder}/{name}"
-        write_parquet(df, path, partition_by)
+        write_parquet(df, path, partition_by, f"{copy_to}/{name}" if copy and copy_to else None)
         return spark.read.schema(df.schema).parquet(path)
 
     cleaned = adm.admissions_silver(admissions, **(silver_options or {}))
     if years is not None:
         cleaned = period(cleaned, "data_internacao", years)
-    silver = stored(cleaned, "silver/internacoes", partition_by="ano")
+    if sources is not None:
+        stored(sources, "bronze/procedencia")
+    silver = stored(cleaned, "silver/internacoes", partition_by="ano", copy=True)
     stored(adm.gold_monthly(silver), "gold/agregado_mensal")
     stored(adm.fact_grain(silver), "gold/fato_grao", partition_by="ano")
     staging = stored(adm.admissions_staging(silver), "staging/internacoes", partition_by="ano")
@@ -71,7 +77,7 @@ def build_warehouse(
         patient=tables["dim_paciente"],
         municipality=tables["dim_municipio"],
         fact=tables["fato_internacao"],
-        rows=built.rows,
+        admissions=built.admissions,
     )
     views = {
         "stg_internacoes": staging,

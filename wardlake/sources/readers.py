@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -13,8 +12,6 @@ from pyspark.sql import types as T
 
 from wardlake.functions import defaults as d
 
-HEADER_READERS = 16
-
 
 def read_delimited(
     spark: SparkSession,
@@ -66,8 +63,7 @@ def read_delimited_dir(
 
     One multi-file read takes the header of one file for all and would swap columns where
     others order them differently. So files are read together only with files of the same
-    header: the plan has one scan per distinct header, not per file. Only header lines are
-    read here.
+    header: the plan has one scan per distinct header, not per file.
     """
     try:
         files = sorted(spark.read.text(pattern).inputFiles())
@@ -80,30 +76,30 @@ def read_delimited_dir(
             return fallback()
         raise FileNotFoundError(f"no file matches {pattern}")
 
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(read_delimited(spark, path, sep, encoding).columns)
-
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        headers = list(pool.map(header, files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, columns in zip(files, headers):
-        groups.setdefault(columns, []).append(path)
+    groups = header_groups(spark, files, encoding)
     parts = [
         read_delimited(spark, group, sep, encoding, multiline=multiline, null_markers=null_markers)
-        for group in groups.values()
+        for group in groups
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The frame over all cores, where its files give at most half as many splits.
+def header_groups(spark: SparkSession, files: Sequence[str], encoding: str) -> list[list[str]]:
+    """The files by their first line, in one job for any number of files.
 
-    Files that cannot be split (one row group, or compressed text) leave all further work to
-    a few tasks. A source of many splits, such as any large one, is returned as it is. For
-    frames straight from a source: on a frame with shuffles, looking would run them.
+    Lines are read whole (no separator and no quote occurs in them), so that this works for
+    any number of columns. A file without lines is left out.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+    lines = spark.read.schema("line string").csv(
+        list(files), sep="\u0001", quote="", encoding=encoding,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+    starts = lines.where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), "line", F.monotonically_increasing_id().alias("at")
+    )
+    first = starts.groupBy("file").agg(F.min_by("line", "at").alias("header"))
+    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return sorted(list(r.files) for r in rows)
 
 
 def first_available(sources: Sequence[tuple[str, Callable[[], DataFrame]]]) -> tuple[str, DataFrame]:
@@ -147,8 +143,8 @@ def read_payloads(spark: SparkSession, path: str, multiline: bool = False) -> Da
     return spark.read.schema(PAYLOAD_SCHEMA).json(path, mode="FAILFAST", multiLine=multiline)
 
 
-def flatten_comments(payloads: DataFrame, max_posts: int | None = 10) -> DataFrame:
-    """One row per comment of the first ``max_posts`` posts of each response.
+def flatten_comments(payloads: DataFrame, max_posts: int | None = None) -> DataFrame:
+    """One row per comment of all posts of each response, or of its first ``max_posts``.
 
     A post whose comments could not be fetched has none in the payload and gives no row.
     Nothing is shuffled: both arrays unfold where they are read.

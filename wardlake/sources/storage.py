@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import NamedTuple
 
@@ -10,9 +9,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-_own_folders: dict[str, str] = {}
-
-
 class Stored(NamedTuple):
     """A written table and the number of rows counted while it was written."""
 
@@ -21,26 +17,25 @@ class Stored(NamedTuple):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
-
-    Where none is set, a single-machine session gets a temporary folder of its own. A
-    cluster session must name one: a folder of one machine is out of reach for the others.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        if context.applicationId not in _own_folders:
-            _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="wardlake-")
-        folder = _own_folders[context.applicationId]
-    return folder.rstrip("/")
+    """The folder the session names in ``spark.checkpoint.dir``; where none is set, one below
+    the session's warehouse, which all its machines share as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_steps").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nobody has used yet."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/wardlake/{app}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nobody has used yet.
+
+    All paths of an application lie in one folder, which is deleted when the session's file
+    systems close, at the end of the application.
+    """
+    base = f"{shared_dir(spark)}/wardlake/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def publish(df: DataFrame, name: str) -> Stored:

@@ -47,12 +47,16 @@ def load_table(df: DataFrame, table: str, columns: Mapping[str, str], path: str
     """Replace the contents of a table by the named columns, cast to the named types.
 
     The first load creates the table, at ``path`` if given; later loads keep the table and
-    overwrite its rows. NaN is stored as null.
+    overwrite its rows, column by column name, whatever the order of ``columns``. A load that
+    names other columns than the table has is an error. NaN is stored as null.
     """
     spark = df.sparkSession
     typed = nan_to_null(df).select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])
     if spark.catalog.tableExists(table):
-        typed.write.insertInto(table, overwrite=True)
+        known = spark.table(table).columns
+        if set(known) != set(typed.columns):
+            raise ValueError(f"{table} has the columns {sorted(known)}, the load {sorted(typed.columns)}")
+        typed.select(*known).write.insertInto(table, overwrite=True)
     else:
         writer = typed.write.format("parquet")
         (writer.option("path", path) if path else writer).saveAsTable(table)

@@ -17,7 +17,7 @@ from wardlake.functions import defaults as d
 from wardlake.functions import text as t
 from wardlake.operators.dedup import keep_first
 from wardlake.operators.quality import (
-    conflicting_attributes, layer_counts, null_counts, reconcile, repeated_keys,
+    conflicting_attributes, layer_counts, null_counts, reconcile_total, repeated_keys,
 )
 from wardlake.operators.schema import lookup_join, nan_to_null, normalize_columns, period, with_missing
 from wardlake.operators.terms import term_counts, term_ranks, tfidf_terms
@@ -26,12 +26,12 @@ from wardlake.plans import comments as com
 from wardlake.plans import marts, star
 from wardlake.plans.warehouse import build_warehouse
 from wardlake.sources import readers, writers
-from wardlake.sources.readers import spread
 from wardlake.sources.storage import new_path, publish
 from workload import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+LANGUAGES = ("de", "en", "es", "fr")
 
 
 def query(fn: Query) -> Query:
@@ -81,7 +81,7 @@ def q_csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts with their quotes, separators, blanks and line breaks."""
     docs = a.table(spark, sf_dir, "documents").select("doc_id", "text")
     path = new_path(spark, "documents_csv")
-    writers.write_delimited(spread(docs), path)
+    writers.write_delimited(docs, path)
     text = readers.read_delimited(spark, path, multiline=True)
     return text.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
@@ -171,14 +171,14 @@ def _payload_path(spark: SparkSession, sf_dir: str) -> str:
 def q_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every comment of every post."""
     payloads = readers.read_payloads(spark, _payload_path(spark, sf_dir))
-    return readers.flatten_comments(payloads, max_posts=None)
+    return readers.flatten_comments(payloads)
 
 
 @query
 def q_json_flatten_first_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comments of the first ten posts of each response, the limit of the collection step."""
+    """Comments of the first ten posts of each response."""
     payloads = readers.read_payloads(spark, _payload_path(spark, sf_dir))
-    return readers.flatten_comments(payloads)
+    return readers.flatten_comments(payloads, max_posts=10)
 
 
 @query
@@ -193,19 +193,27 @@ def q_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _loaded_twice(df: DataFrame, columns: dict[str, str], name: str) -> DataFrame:
+    """The table after two loads: half of the rows, then all of them with the columns named in
+    another order. The rows are read where they lie; the table itself is dropped."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = f"{name}_{path[-32:]}"
+    writers.load_table(df.filter("mes <= 6" if "mes" in columns else "qtd_tokens > 100"), table, columns, path)
+    loaded = writers.load_table(df, table, dict(reversed(columns.items())))
+    schema = loaded.schema
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(schema).parquet(path)
+
+
 @query
 def q_staging_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = a.silver_admissions(spark, sf_dir)
-    path = new_path(spark, "stg_internacoes")
-    return plain(writers.load_table(silver, "stg_internacoes_" + path[-32:], adm.STAGING_TYPES, path))
+    return plain(_loaded_twice(a.silver_admissions(spark, sf_dir), adm.STAGING_TYPES, "stg_internacoes"))
 
 
 @query
 def q_staging_comments_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = a.gold_comments(spark, sf_dir)
-    path = new_path(spark, "stg_comentarios")
-    loaded = writers.load_table(gold, "stg_comentarios_" + path[-32:], com.STAGING_TYPES, path)
-    return plain(loaded)
+    return plain(_loaded_twice(a.gold_comments(spark, sf_dir), com.STAGING_TYPES, "stg_comentarios"))
 
 
 # --- Cleaning of admissions ----------------------------------------------------------
@@ -224,14 +232,25 @@ def q_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates in seven forms, and in some that give no date."""
     date = F.to_date("o_orderdate")
-    return a.table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        F.when(F.col("o_orderstatus") == "F", date.cast("string"))
-        .when(F.col("o_orderstatus") == "O", F.date_format(date, "dd/MM/yyyy"))
-        .otherwise("31/02/1995")
-        .alias("texto"),
+    iso, slashed, compact = (F.date_format(date, p) for p in ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd"))
+    forms = (
+        iso,
+        F.date_format(date, "dd/MM/yyyy"),
+        F.concat(iso, F.lit(" 10:30")),
+        slashed,
+        F.concat(iso, F.lit("T23:00:00Z")),
+        F.concat(iso, F.lit(" 10:00:00.123")),
+        compact,
+        F.concat(F.lit("\t"), iso, F.lit("T01:02:03-03:00 ")),
+        F.lit("31/02/1995"),
+        F.lit("  "),
+        F.lit(None).cast("string"),
+        F.concat(iso, F.lit(" 25:00")),
     )
+    text = F.element_at(F.array(*forms), (F.col("o_orderkey") % len(forms) + 1).cast("int"))
+    return a.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("texto"))
 
 
 @query
@@ -240,6 +259,13 @@ def q_date_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(df.filter(F.col("data").isNotNull()))
 
 
+@query
+def q_date_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows without a usable date and why, as the silver layer would drop them."""
+    rejected = adm.rejected_dates(_text_dates(spark, sf_dir).withColumnRenamed("texto", "Data da Internação"))
+    return rejected.select("o_orderkey", F.col("data_internacao").alias("texto"), "problema")
+
+
 @query
 def q_numeric_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event values as text with blanks, bad and oversized ones; counts default to one."""
@@ -356,7 +382,7 @@ def _all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = a.table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text"
     )
-    return spread(docs).unionByName(spread(turns)).select(
+    return docs.unionByName(turns).select(
         "id", F.concat(F.lit("Veja@joão_1 ahttps://x.y/é?z "), "text", F.lit(" #saúde-já")).alias("text")
     )
 
@@ -392,7 +418,8 @@ def q_lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = a.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    return keep_first(docs, ["text"], [F.asc("doc_id")])
+    keyed = docs.withColumn("_digest", F.sha2("text", 256))
+    return keep_first(keyed, ["_digest"], [F.asc("doc_id")]).drop("_digest")
 
 
 @query
@@ -420,10 +447,7 @@ def q_sentiment_default_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("Atendimento eficiente, mas lento.")
     )
     silver = a.silver_comments(spark, sf_dir)
-    long_text = F.char_length("texto_limpo") > 400
-    texts = silver.withColumn(
-        "texto_limpo", F.when(long_text, F.concat("texto_limpo", F.lit(" "), phrase)).otherwise(phrase)
-    )
+    texts = silver.withColumn("texto_limpo", F.concat("texto_limpo", F.lit(" "), phrase))
     gold = com.sentiment_gold(texts)
     return plain(gold.select("comment_id", "sentimento", "score_sentimento", "qtd_tokens"))
 
@@ -438,10 +462,27 @@ def q_tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_tfidf_given_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TF-IDF over a stated vocabulary: the languages' classes and the words of one list."""
-    docs = spread(a.table(spark, sf_dir, "documents").select("lang", "text"))
-    listed = [(lang, word) for lang in ("en", "fr", "de") for word in ("the", "que", "der", "et", "und", "la", "of")]
+    docs = a.table(spark, sf_dir, "documents").select("lang", "text")
+    listed = [(lang, word) for lang in LANGUAGES for word in ("the", "que", "der", "et", "und", "la", "of", "los")]
     vocabulary = spark.createDataFrame(listed, "classe string, termo string")
-    terms = tfidf_terms(docs, "lang", "text", classes=("en", "fr", "de"), vocabulary=vocabulary)
+    terms = tfidf_terms(docs, "lang", "text", classes=LANGUAGES, vocabulary=vocabulary)
+    return terms.withColumn("score_tfidf", F.round("score_tfidf", 6))
+
+
+@query
+def q_tfidf_large_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TF-IDF over thousands of terms: the names of all documents' own words of eight letters."""
+    docs = publish(a.table(spark, sf_dir, "documents").select("lang", "text"), "texts").frame
+    vocabulary = docs.select("lang", F.explode(t.tokens(F.col("text"))).alias("termo")).where("length(termo) = 8").distinct()
+    terms = tfidf_terms(docs, "lang", "text", classes=LANGUAGES, vocabulary=vocabulary)
+    return terms.withColumn("score_tfidf", F.round("score_tfidf", 6))
+
+
+@query
+def q_tfidf_many_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two thousand most frequent terms of each language."""
+    docs = publish(a.table(spark, sf_dir, "documents").select("lang", "text"), "texts").frame
+    terms = tfidf_terms(docs, "lang", "text", classes=LANGUAGES, top=2000)
     return terms.withColumn("score_tfidf", F.round("score_tfidf", 6))
 
 
@@ -468,22 +509,22 @@ def _star(spark: SparkSession, sf_dir: str, store_fact: bool = False) -> star.St
 
 @query
 def q_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(star.dim_time(_grain(spark, sf_dir)).frame)
+    return plain(star.dim_time(_grain(spark, sf_dir)))
 
 
 @query
 def q_dim_specialty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_specialty(_grain(spark, sf_dir)).frame
+    return star.dim_specialty(_grain(spark, sf_dir))
 
 
 @query
 def q_dim_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(star.dim_patient(_grain(spark, sf_dir)).frame)
+    return plain(star.dim_patient(_grain(spark, sf_dir)))
 
 
 @query
 def q_dim_municipality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_municipality(_grain(spark, sf_dir)).frame
+    return star.dim_municipality(_grain(spark, sf_dir))
 
 
 @query
@@ -493,7 +534,38 @@ def q_fact_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_fact_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(star.fact_comments(a.stored_comments(spark, sf_dir)))
+    return plain(star.fact_comments(a.staged_comments(spark, sf_dir)))
+
+
+@query
+def q_fact_comments_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that repeat: every row has a number of its own; the numbers of an id follow each other."""
+    staged = a.staged_comments(spark, sf_dir).withColumn("comment_id", F.col("post_id"))
+    fact = star.fact_comments(staged)
+    return fact.groupBy("comment_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("id_comentario").alias("n_keys"),
+        F.min("id_comentario").alias("first_key"),
+        F.max("id_comentario").alias("last_key"),
+    )
+
+
+def _two_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged admissions whose specialties have another group in the second half of a year."""
+    return a.staged_admissions(spark, sf_dir).withColumn(
+        "grupo_especialidade", F.when(F.col("mes") > 6, F.lit("Segundo")).otherwise(F.col("grupo_especialidade"))
+    )
+
+
+@query
+def q_fact_two_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by specialty where a specialty has two groups: one row each, nothing doubled."""
+    return marts.top_specialties(star.build_star(_two_groups(spark, sf_dir)))
+
+
+@query
+def q_check_two_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conflicting_attributes(_two_groups(spark, sf_dir), "especialidade_padrao", "grupo_especialidade")
 
 
 # --- Marts ---------------------------------------------------------------------------
@@ -542,12 +614,12 @@ def q_top_n_specialties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_comment_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(marts.comment_sample(a.stored_comments(spark, sf_dir)))
+    return plain(marts.comment_sample(a.staged_comments(spark, sf_dir)))
 
 
 @query
 def q_comment_sample_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(marts.comment_sample(a.stored_comments(spark, sf_dir), d.POSITIVE))
+    return plain(marts.comment_sample(a.staged_comments(spark, sf_dir), d.POSITIVE))
 
 
 @query
@@ -568,7 +640,6 @@ def q_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
         a.comments(spark, sf_dir),
         [F.asc("posicao")],
         new_path(spark, "warehouse"),
-        years=(1996, 1997, 1998),
         lexicon=a.LEXICON,
         silver_options={
             "names": a.SPECIALTY_NAMES, "groups": a.SPECIALTY_GROUPS, "capital_pattern": a.CAPITAL_PATTERN,
@@ -599,6 +670,17 @@ def q_check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_counts(raw, required)
 
 
+@query
+def q_check_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The required columns of both staging tables, over rows that lack some of them."""
+    silver = adm.admissions_silver(a.raw_admissions(spark, sf_dir))
+    thinned = adm.admissions_staging(silver).withColumn("sexo", F.when(F.col("idade") > 20, F.col("sexo")))
+    staged = a.staged_comments(spark, sf_dir).withColumn("sentimento", F.nullif("sentimento", F.lit(d.NEUTRAL)))
+    checks = {"internacoes": (thinned, adm.STAGING_REQUIRED), "comentarios": (staged, com.STAGING_REQUIRED)}
+    parts = [null_counts(df, required).withColumn("tabela", F.lit(name)) for name, (df, required) in checks.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def q_check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that several documents share, with their number."""
@@ -629,25 +711,33 @@ def q_check_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_dim_municipality_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension built from conflicting codes: one row each, the real code kept."""
-    return star.dim_municipality(_conflicted(spark, sf_dir)).frame
+    return star.dim_municipality(_conflicted(spark, sf_dir))
+
+
+@query
+def q_check_null_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders' customers against their order status, which is missing at times: a null is a value."""
+    orders = a.table(spark, sf_dir, "orders").select("o_custkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"))
+    return conflicting_attributes(orders, "o_custkey", "status")
 
 
 @query
 def q_check_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging against the fact when codes conflict: no row lost, none doubled."""
-    staging = _conflicted(spark, sf_dir)
-    return reconcile(staging, "numero_internacoes", star.build_star(staging).fact, "qtd_internacoes")
+    """Staging, totalled while the star was built from it, against the fact when codes
+    conflict: no row lost, none doubled."""
+    built = star.build_star(_conflicted(spark, sf_dir))
+    return reconcile_total(built.admissions, built.fact, "qtd_internacoes")
 
 
 @query
 def q_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = publish(a.raw_admissions(spark, sf_dir), "bronze").frame
-    silver = publish(adm.admissions_silver(raw), "silver").frame
+    raw = a.raw_admissions(spark, sf_dir)
+    silver = adm.admissions_silver(raw)
     return layer_counts(
         {
             "bronze": raw,
             "silver": silver,
-            "gold": silver.groupBy(*adm.MONTHLY_KEYS).agg(F.sum("numero_internacoes").alias("n")),
+            "gold": silver.select(*adm.MONTHLY_KEYS).distinct(),
             "comments": a.silver_comments(spark, sf_dir),
         }
     )
