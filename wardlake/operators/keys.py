@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.sources.storage import publish
@@ -15,20 +16,18 @@ _PLACE_BITS = 33  # documented layout of monotonically_increasing_id
 def dense_id(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Add 1, 2, 3, ... in the given total order, for frames of any size.
 
-    The range-sorted frame is written once with its place (partition, row in partition);
-    the number of rows in the partitions before is then added. The offsets have one row per
-    written partition, hence their broadcast and their window in one task are bounded by
-    the partition count, whatever the data.
+    The range-sorted frame is written once with its place (partition, row in partition); the
+    number of rows in the partitions before is then added. The offsets have one row per
+    written partition, whatever the data: they are counted once, and go into the plan as
+    values, so that readers of the result only scan and project.
     """
+    spark = df.sparkSession
     placed = df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id())
-    stored = publish(placed, "dense").frame
-    stored = stored.withColumn("_part", F.shiftright("_place", _PLACE_BITS))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        stored.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    )
+    stored = publish(placed, "dense").frame.withColumn("_part", F.shiftright("_place", _PLACE_BITS))
+    counts = sorted(map(tuple, stored.groupBy("_part").agg(F.count(F.lit(1))).collect()))
+    before = [0, *accumulate(rows for _, rows in counts)]
+    values = ", ".join(f"({part}L, {rows}L)" for (part, _), rows in zip(counts, before)) or "(0L, 0L)"
+    offsets = spark.sql(f"SELECT * FROM VALUES {values} AS t(_part, _before)")
     place = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     return (
         stored.join(F.broadcast(offsets), "_part")
