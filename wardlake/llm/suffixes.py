@@ -40,11 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.llm.arrays import Rolling, mix, slices
+from wardlake.llm.bitmaps import is_marked, marked_bits
 from wardlake.llm.stored import drop_stored, stored
 
 LENGTH = 200
 FILTER_BITS = 28
-SEGMENT_BITS = 20
 #: Bytes of records that a task sorts at a time, and that a part aims at.
 RUN_BYTES = 24 << 20
 PART_BYTES = 6 << 20
@@ -55,7 +55,8 @@ ROW_RECORDS = 256
 SAMPLES = 8
 
 _U64 = np.uint64
-_PLACE = _U64((1 << 26) - 1)
+#: The low bits of a marked gram, for its place: as many as the longest string of Spark needs.
+_PLACE = _U64((1 << 31) - 1)
 
 
 class Blocks(NamedTuple):
@@ -73,8 +74,6 @@ def blocks_of(data: np.ndarray, bounds: np.ndarray, length: int, rolling: Rollin
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return Blocks(none, none, none, none.view(_U64))
-    if len(data) > int(_PLACE):
-        raise ValueError("a text of 64 MB or more")
     at = np.arange(len(data) - size + 1)
     grams = rolling(at, at + size)
     marked = (grams & ~_PLACE) | at.astype(_U64)  # least by hash, then by place
@@ -99,7 +98,6 @@ def blocks_of(data: np.ndarray, bounds: np.ndarray, length: int, rolling: Rollin
 
 def repeated_grams(texts: DataFrame, length: int, bits: int = FILTER_BITS) -> np.ndarray:
     """The bitmap of anchor grams that stand in the texts twice or more."""
-    segment_bits = min(SEGMENT_BITS, bits - 2)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,26 +106,7 @@ def repeated_grams(texts: DataFrame, length: int, bits: int = FILTER_BITS) -> np
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int32))], names=["gram", "n"])
 
     counts = texts.select("text").mapInArrow(count, "gram bigint, n int").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
-    bit = F.shiftrightunsigned("gram", 64 - bits)
-    place = bit.bitwiseAND(F.lit((1 << segment_bits) - 1)).cast("int")
-    marks = counts.select(F.shiftright(bit, segment_bits).cast("int").alias("segment"), place.alias("bit")).distinct()
-
-    def pack(key: tuple, table: pa.Table) -> pa.Table:
-        flags = np.zeros(1 << segment_bits, bool)
-        flags[table.column("bit").to_numpy()] = True
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
-
-    out = np.zeros(1 << (bits - 3), np.uint8)
-    size = 1 << (segment_bits - 3)
-    # at most 2**(bits - segment_bits) rows of a fixed size
-    for row in marks.groupBy("segment").applyInArrow(pack, "segment int, bits binary").toLocalIterator():
-        out[row.segment * size : (row.segment + 1) * size] = np.frombuffer(bytes(row.bits), np.uint8)
-    return out
-
-
-def is_marked(bitmap: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    bit = (grams >> _U64(61 - (len(bitmap).bit_length() - 1))).astype(np.int64)
-    return (bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+    return marked_bits(counts.select("gram"), bits)
 
 
 # ---- 2. sorted, front-coded runs ---------------------------------------------------------------
