@@ -10,11 +10,17 @@ cost of candidates is estimated, and the class picks the k of the least cost: a
 more required matches where partners are many. Classes with fewer than k published shingles that
 others also have need no comparison at all.
 
-Candidates are verified on whole sets. Large groups of near copies are not expanded: first, every
-class is compared with a few leaders of its shingles, and components are formed; then only classes
-of different components are compared, and for each shingle those outside its largest component
-with the others. So all links that could join two components are tried, which makes the components
-exact, and the work at a shingle that one large component fills stays linear.
+Pairs first meet a parity sketch: a bit for each of ``SKETCH_BITS`` buckets says whether an odd
+number of shingles fell there. Every shingle that only one of two sets has changes one bit at most,
+so sketches that differ in more bits than the sets may differ in shingles rule the pair out, and
+no linked pair is ever ruled out. What is left is verified on whole sets.
+
+Large groups of near copies are not expanded: every class is compared with a few leaders of its
+shingles, in rounds, and pairs that pass the sketch stand as links for the choice of the next
+leaders. All of them are verified, and true components are formed. Then only classes of different
+components are compared, for each shingle those outside its largest component with the others. So
+all pairs that could join two components are tried, which makes the components exact, and the work
+at a shingle that one large component fills stays linear.
 
 Shingles are compared by 64-bit hashes and sets by 128-bit digests.
 
@@ -34,16 +40,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.llm.arrays import LOWER, NOT_SPACE, Rolling, Words, mix, slices, windows
+from wardlake.llm.bitmaps import is_marked, marked_bits
 from wardlake.llm.graph import components
-from wardlake.llm.stored import stored
+from wardlake.llm.stored import drop_stored, stored
 
 ORDER_BITS = 18
 MOST_MATCHES = 8
 MATCHES = (1, 2, 4, 8)
 #: Cost of a verification in units of the cost of one shared shingle.
 VERIFY_COST = 50
+#: Bits of the sketch of a set, and of the filters for shared shingles and chosen documents.
+SKETCH_BITS = 1024
+TOKEN_BITS = 27
+CHOICE_BITS = 24
 #: Leaders tried by a class in each round; more rounds follow while they still find links.
-LEADERS = (1, 6, 6, 6, 6)
+LEADERS = (2, 8, 8, 8)
 
 
 class Join(NamedTuple):
@@ -122,9 +133,17 @@ def need(n: np.ndarray, percent: int) -> np.ndarray:
     return (percent * n + 99) // 100
 
 
+def _sketches(sets: Sets) -> pa.Array:
+    """Parities of the buckets of each set, as ``SKETCH_BITS // 64`` numbers."""
+    bits = np.bincount(sets.row * SKETCH_BITS + (sets.hashes >> np.uint64(7)).astype(np.int64) % SKETCH_BITS, minlength=len(sets.counts) * SKETCH_BITS)
+    words = np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
+    ends = np.arange(0, len(words) + 1, SKETCH_BITS // 64, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(words))
+
+
 def published(docs: DataFrame, join: Join, order: np.ndarray) -> DataFrame:
-    """(doc_id, n, cls, prefix): size and digest of the set of each text (doc_id, text), and its first
-    shingles in the global order, as many as ``MOST_MATCHES`` matches ask for.
+    """(doc_id, n, cls, sketch, prefix): size, digest and sketch of the set of each text (doc_id, text),
+    and its first shingles in the global order, as many as ``MOST_MATCHES`` matches ask for.
 
     Sets so small that no other set can link with them publish nothing.
     """
@@ -148,68 +167,100 @@ def published(docs: DataFrame, join: Join, order: np.ndarray) -> DataFrame:
                         part.column(0),
                         pa.array(n),
                         pa.array(_digests(sets), pa.binary()),
+                        _sketches(sets),
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(tokens)),
                     ],
-                    names=["doc_id", "n", "cls", "prefix"],
+                    names=["doc_id", "n", "cls", "sketch", "prefix"],
                 )
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n bigint, cls binary, prefix array<bigint>")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {id_type}, n bigint, cls binary, sketch array<bigint>, prefix array<bigint>")
 
 
 def sets_of(docs: DataFrame, chosen: DataFrame, join: Join) -> DataFrame:
-    """(cls, n, members) of the chosen classes (cls, doc_id), from the texts (doc_id, text)."""
+    """(k, members) of the chosen classes (k, cls, doc_id), from the texts (doc_id, text)."""
     size = join.size
+    wanted = docs.sparkSession.sparkContext.broadcast(marked_bits(chosen.select(F.xxhash64("doc_id").alias("hash")), CHOICE_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, bounds in slices(batch):
+            hashes = batch.column(2).to_numpy().view(np.uint64)
+            for part, data, bounds in slices(batch.filter(pa.array(is_marked(wanted.value, hashes)))):
                 sets = shingles(data, bounds, size)
                 ends = np.concatenate([[0], np.cumsum(sets.counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_digests(sets), pa.binary()), pa.array(sets.counts), pa.ListArray.from_arrays(pa.array(ends), pa.array(sets.hashes.view(np.int64)))],
-                    names=["cls", "n", "members"],
+                    [part.column(0), pa.array(_digests(sets), pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(sets.hashes.view(np.int64)))],
+                    names=["doc_id", "cls", "members"],
                 )
 
-    ids = chosen.select(F.col("doc_id").alias("_id")).distinct().hint("shuffle_hash")
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    found = texts.mapInArrow(run, "cls binary, n bigint, members array<bigint>")
-    return found.join(chosen.select("cls").hint("shuffle_hash"), "cls", "left_semi").dropDuplicates(["cls"])
-
-
-def _prefix_length(n: Column, join: Join, matches: Column) -> Column:
-    return n - F.floor((join.percent * n + 99) / 100) + matches
+    texts = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("hash"))
+    found = texts.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, cls binary, members array<bigint>")
+    own = chosen.select(F.col("cls").alias("_cls"), F.col("doc_id").alias("_id"), "k").hint("shuffle_hash")
+    joined = found.join(own, (F.col("cls") == F.col("_cls")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    return joined.dropDuplicates(["cls", "doc_id"]).select("k", "members")
 
 
 def postings(classes: DataFrame, join: Join) -> DataFrame:
-    """(token, cls, n, level, matches): published shingles that several classes have.
+    """(token, k, n, level, matches): published shingles that several classes have.
 
     ``level`` is the number of required matches from which on the shingle belongs to the prefix,
     ``matches`` what the class asks for; shingles beyond its prefix are left out, and so are
     classes that cannot reach their matches.
     """
-    rows = classes.select("cls", "n", F.posexplode("prefix").alias("at", "token"))
-    level = F.greatest(F.lit(1), F.col("at") + 1 - _prefix_length(F.col("n"), join, F.lit(0)))
-    rows = rows.select("token", "cls", F.col("n").cast("int").alias("n"), level.cast("tinyint").alias("level"))
-    common = rows.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
-    rows = stored(rows.join(common.hint("shuffle_hash"), "token"), "shared")
+    percent = join.percent
+    several = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    marks = classes.sparkSession.sparkContext.broadcast(marked_bits(several.select("token"), TOKEN_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 2_000):
+                part = batch.slice(low, 2_000)
+                tokens = part.column(2).flatten().to_numpy()
+                sizes = part.column(2).value_lengths().to_numpy()
+                row = np.repeat(np.arange(len(part)), sizes)
+                n = part.column(1).to_numpy()[row]
+                place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                level = np.maximum(1, place + 1 - (n - need(n, percent)))
+                kept = np.flatnonzero(is_marked(marks.value, tokens.view(np.uint64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens[kept]), part.column(0).take(pa.array(row[kept])), pa.array(n[kept].astype(np.int32)), pa.array(level[kept].astype(np.int8))],
+                    names=["token", "k", "n", "level"],
+                )
+
+    rows = classes.select("k", "n", "prefix").mapInArrow(run, "token bigint, k bigint, n int, level tinyint")
+    times = rows.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
+    rows = stored(rows.join(times.hint("shuffle_hash"), "token"), "shared")
     # estimated cost for each number of matches, and the cheapest
     costs, counts = [], []
-    for k in MATCHES:
-        inside = F.col("level") <= k
+    for m in MATCHES:
+        inside = F.col("level") <= m
         scanned = F.sum(F.when(inside, F.col("times") - 1).otherwise(0))
-        possible = F.max(F.floor((join.percent * F.col("n") + 99) / 100) >= k)
-        costs.append(F.when(possible, scanned + scanned * VERIFY_COST / (k * k)).otherwise(float("inf")))
+        possible = F.max(F.floor((percent * F.col("n") + 99) / 100) >= m)
+        costs.append(F.when(possible, scanned + scanned * VERIFY_COST / (m * m)).otherwise(float("inf")))
         counts.append(F.sum(inside.cast("int")))
-    options = F.array_sort(F.array(*(F.struct(c.alias("cost"), F.lit(k).alias("k"), m.alias("m")) for c, k, m in zip(costs, MATCHES, counts))))
-    chosen = rows.groupBy("cls").agg(options[0].alias("best")).select("cls", F.col("best.k").alias("matches"), F.col("best.m").alias("m"))
-    chosen = chosen.where("m >= matches").drop("m")
-    return rows.drop("times").join(chosen, "cls").where("level <= matches")
+    options = F.array_sort(F.array(*(F.struct(c.alias("cost"), F.lit(m).alias("m"), k.alias("held")) for c, m, k in zip(costs, MATCHES, counts))))
+    chosen = rows.groupBy("k").agg(options[0].alias("best")).select("k", F.col("best.m").alias("matches"), F.col("best.held").alias("held"))
+    chosen = chosen.where("held >= matches").drop("held")
+    return rows.drop("times").join(chosen, "k").where("level <= matches")
+
+
+def sketched(pairs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
+    """The pairs (a, b) that their sketches do not rule out.
+
+    A link asks for a symmetric difference of (100 - percent) / (100 + percent) of both sizes at most.
+    """
+    own = classes.select("k", "n", "sketch")
+    a = own.select(F.col("k").alias("a"), F.col("n").alias("_na"), F.col("sketch").alias("_sa"))
+    b = own.select(F.col("k").alias("b"), F.col("n").alias("_nb"), F.col("sketch").alias("_sb"))
+    differing = F.aggregate(F.zip_with("_sa", "_sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    allowed = (100 - join.percent) * (F.col("_na") + F.col("_nb"))
+    return pairs.join(a, "a").join(b, "b").where((100 + join.percent) * differing <= allowed).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     """The pairs (a, b) whose sets are as similar as asked."""
-    a = sets.select(F.col("cls").alias("a"), F.col("members").alias("_a"))
-    b = sets.select(F.col("cls").alias("b"), F.col("members").alias("_b"))
+    a = sets.select(F.col("k").alias("a"), F.col("members").alias("_a"))
+    b = sets.select(F.col("k").alias("b"), F.col("members").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
     union = F.size("_a") + F.size("_b") - both
     return pairs.select("a", "b").join(a, "a").join(b, "b").where(100 * both >= join.percent * union).select("a", "b")
@@ -222,39 +273,36 @@ def _sizes_fit(join: Join) -> Column:
 def leader_pairs(rows: DataFrame, join: Join, seed: int, tries: int) -> DataFrame:
     """Pairs of a class and a leader of one of its shingles in another component; each class tries
     the leaders with the most shingles in common."""
-    rank = F.xxhash64("cls", F.lit(seed))
-    leader = F.min(F.struct(rank.alias("r"), F.col("cls"), F.col("root"), F.col("n"))).alias("leader")
+    rank = F.xxhash64("k", F.lit(seed))
+    leader = F.min(F.struct(rank.alias("r"), "k", "root", "n")).alias("leader")
     leaders = rows.groupBy("token").agg(leader).select(
-        "token", F.col("leader.cls").alias("other"), F.col("leader.root").alias("other_root"), F.col("leader.n").alias("n_other")
+        "token", F.col("leader.k").alias("other"), F.col("leader.root").alias("other_root"), F.col("leader.n").alias("n_other")
     )
     met = rows.join(leaders, "token").where((F.col("root") != F.col("other_root")) & _sizes_fit(join))
-    met = met.groupBy("cls", "other").agg(F.count("*").alias("common"))
-    best = F.max(F.struct("common", F.col("other"))) if tries == 1 else None
-    if best is not None:
-        tried = met.groupBy("cls").agg(best.alias("best")).select("cls", F.col("best.other").alias("other"))
-    else:
-        places = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("common", "other")))), 1, tries)
-        tried = met.groupBy("cls").agg(places.alias("best")).select("cls", F.explode("best").alias("best")).select("cls", "best.other")
-    return tried.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
+    met = met.groupBy("k", "other").agg(F.count("*").alias("common"))
+    # as many leaders as the class has shingles at most
+    places = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("common", "other")))), 1, tries)
+    tried = met.groupBy("k").agg(places.alias("best")).select("k", F.explode("best").alias("best")).select("k", "best.other")
+    return tried.select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b")).distinct()
 
 
 def crossing_pairs(rows: DataFrame, join: Join) -> DataFrame:
     """All pairs of different components with as many common prefix shingles as the less demanding
     of the two asks for."""
-    sizes = rows.groupBy("token", "root").agg(F.count("*").alias("k"))
-    largest = sizes.groupBy("token").agg(F.max(F.struct("k", "root"))["root"].alias("main"))
+    sizes = rows.groupBy("token", "root").agg(F.count("*").alias("held"))
+    largest = sizes.groupBy("token").agg(F.max(F.struct("held", "root"))["root"].alias("main"))
     few = rows.join(largest, "token").where("root <> main")
     others = rows.join(largest, "token").select(
-        "token", F.col("cls").alias("other"), F.col("root").alias("other_root"), F.col("n").alias("n_other"),
+        "token", F.col("k").alias("other"), F.col("root").alias("other_root"), F.col("n").alias("n_other"),
         F.col("level").alias("level_other"), F.col("matches").alias("matches_other"), (F.col("root") == F.col("main")).alias("is_main"),
     )
     met = few.join(others, "token").where(
         (F.col("root") != F.col("other_root"))
-        & (F.col("is_main") | (F.col("cls") < F.col("other")))
+        & (F.col("is_main") | (F.col("k") < F.col("other")))
         & (F.greatest("level", "level_other") <= F.least("matches", "matches_other"))
         & _sizes_fit(join)
     )
-    pair = (F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
+    pair = (F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b"))
     return met.groupBy(*pair).agg(F.count("*").alias("common"), F.min(F.least("matches", "matches_other")).alias("asked")).where("common >= asked").select("a", "b")
 
 
@@ -271,34 +319,53 @@ def _rerooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rows.join(new, "root", "left").withColumn("root", F.coalesce("_root", "root")).drop("_root")
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame | None:
-    """(node, root): components of classes (cls, n, prefix, doc_id) with a link; None without links."""
-    rows = stored(postings(classes, join).withColumn("root", F.col("cls")), "postings")
-    chosen = stored(rows.select("cls").distinct().join(classes.select("cls", "doc_id"), "cls"), "candidates")
-    sets = stored(sets_of(docs, chosen, join), "sets")
-    links = None
-
-    def grow(pairs: DataFrame, rows: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-        """The rows under new roots, and what was linked."""
-        found = stored(verified(pairs, sets, join), "verified")
-        roots = components(_between_roots(found, rows))
-        return (None, rows) if roots is None else (found, stored(_crossing(_rerooted(rows, roots)), "postings"))
+def _between_roots(links: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The links between the components that their classes belong to so far."""
+    if roots is None:
+        return links
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("_a"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("_b"))
+    joined = links.join(a, "a", "left").join(b, "b", "left")
+    return joined.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
 
-    def _between_roots(found: DataFrame, rows: DataFrame) -> DataFrame:
-        root = rows.select("cls", "root").distinct()
-        a = root.select(F.col("cls").alias("a"), F.col("root").alias("_a"))
-        b = root.select(F.col("cls").alias("b"), F.col("root").alias("_b"))
-        return found.join(a, "a").join(b, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
 
+def linked_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame | None:
+    """(node, root): components of classes (k, cls, n, sketch, prefix, doc_id) with a link; None
+    without links."""
+    every = stored(postings(classes, join).withColumn("root", F.col("k")), "postings")
+    sketches = stored(classes.select("k", "cls", "n", "sketch", "doc_id").join(every.select("k").distinct(), "k", "left_semi"), "sketches")
+
+    def fetched(pairs: DataFrame) -> DataFrame:
+        """The sets of the classes in the pairs."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
+        return stored(sets_of(docs, stored(sketches.join(ends, "k", "left_semi").select("k", "cls", "doc_id"), "chosen"), join), "sets")
+
+    # pairs with leaders, in rounds, by their sketches
+    rows, tried = every, None
     for seed, tries in enumerate(LEADERS):
-        found, rows = grow(leader_pairs(rows, join, seed, tries), rows)
-        if found is None:
+        found = stored(sketched(leader_pairs(rows, join, seed, tries), sketches, join), "tried")
+        roots = components(_between_roots(found, rows.select(F.col("k").alias("node"), "root").distinct()))
+        if roots is None:
             break
-        links = found if links is None else links.union(found)
-    found, _ = grow(crossing_pairs(rows, join), rows)
-    if found is not None:
-        links = found if links is None else links.union(found)
-    return None if links is None else components(links)
+        tried = found if tried is None else tried.union(found)
+        rows = stored(_crossing(_rerooted(rows, roots)), "open")
+    links = None
+    if tried is not None:
+        sets = fetched(tried)
+        links = stored(verified(tried.distinct(), sets, join), "linked")
+        drop_stored(sets)
+    # what could still join two true components
+    roots = None if links is None else components(links)
+    rows = _crossing(_rerooted(every, roots))
+    left = sketched(crossing_pairs(rows, join), sketches, join)
+    if tried is not None:
+        left = left.join(tried.distinct(), ["a", "b"], "left_anti")
+    left = stored(left, "crossing")
+    if not left.isEmpty():
+        more = stored(verified(left, fetched(left), join), "linked")
+        links = more if links is None else links.union(more)
+        roots = components(links)
+    return roots
 
 
 def near_duplicates(df: DataFrame, join: Join) -> DataFrame:
@@ -309,9 +376,10 @@ def near_duplicates(df: DataFrame, join: Join) -> DataFrame:
     inked = texts.where("n > 0")
     firsts = inked.groupBy("cls").agg(F.min("doc_id").alias("first"))
     classes = inked.where(F.size("prefix") > 0).dropDuplicates(["cls"])
+    classes = stored(classes.withColumn("k", F.monotonically_increasing_id()), "classes")
     roots = linked_classes(docs, classes, join)
     if roots is not None:
-        own = roots.withColumnRenamed("node", "cls")
+        own = roots.join(classes.select(F.col("k").alias("node"), "cls"), "node").select("cls", "root")
         least = own.join(firsts, "cls").groupBy("root").agg(F.min("first").alias("least"))
         firsts = firsts.join(own.join(least, "root"), "cls", "left").select("cls", F.least("first", "least").alias("first"))
     firsts = firsts.select(F.col("cls").alias("_cls"), "first")
