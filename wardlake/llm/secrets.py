@@ -143,7 +143,7 @@ def redact(versions: DataFrame, ledger: str, path: str = "doc_id", mark: str = "
     """
     findings = scan_versions(versions, ledger, path).where("spans is not null")
     by_blob = findings.groupBy("blob").agg(F.max("spans").alias("_spans")).withColumnRenamed("blob", "_blob")
-    rows = versions.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256)).join(by_blob, F.col("_digest") == F.col("_blob"), "left")
+    rows = versions.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256)).join(by_blob.hint("shuffle_hash"), F.col("_digest") == F.col("_blob"), "left")
 
     def step(state, span):
         start = F.greatest(state["at"], span["start"].cast("int"))
