@@ -48,9 +48,11 @@ ORDER_BITS = 18
 MOST_MATCHES = 8
 MATCHES = (1, 2, 4, 8)
 #: Cost of a verification in units of the cost of one shared shingle.
-VERIFY_COST = 50
-#: Bits of the sketch of a set, and of the filters for shared shingles and chosen documents.
+VERIFY_COST = 8
+#: Bits of the sketch of a set, words of its folded form, and bits of the filters for shared shingles
+#: and chosen documents.
 SKETCH_BITS = 1024
+FOLDED = 4
 TOKEN_BITS = 27
 CHOICE_BITS = 24
 #: Leaders tried by a class in each round; more rounds follow while they still find links.
@@ -201,11 +203,11 @@ def sets_of(docs: DataFrame, chosen: DataFrame, join: Join) -> DataFrame:
 
 
 def postings(classes: DataFrame, join: Join) -> DataFrame:
-    """(token, k, n, level, matches): published shingles that several classes have.
+    """(token, k, n, at, level, matches): published shingles that several classes have.
 
-    ``level`` is the number of required matches from which on the shingle belongs to the prefix,
-    ``matches`` what the class asks for; shingles beyond its prefix are left out, and so are
-    classes that cannot reach their matches.
+    ``at`` is the place in the order of the class, ``level`` the number of required matches from
+    which on the shingle belongs to the prefix, ``matches`` what the class asks for; shingles
+    beyond its prefix are left out, and so are classes that cannot reach their matches.
     """
     percent = join.percent
     several = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
@@ -223,11 +225,11 @@ def postings(classes: DataFrame, join: Join) -> DataFrame:
                 level = np.maximum(1, place + 1 - (n - need(n, percent)))
                 kept = np.flatnonzero(is_marked(marks.value, tokens.view(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens[kept]), part.column(0).take(pa.array(row[kept])), pa.array(n[kept].astype(np.int32)), pa.array(level[kept].astype(np.int8))],
-                    names=["token", "k", "n", "level"],
+                    [pa.array(tokens[kept]), part.column(0).take(pa.array(row[kept])), pa.array(n[kept].astype(np.int32)), pa.array(place[kept].astype(np.int32)), pa.array(level[kept].astype(np.int8))],
+                    names=["token", "k", "n", "at", "level"],
                 )
 
-    rows = classes.select("k", "n", "prefix").mapInArrow(run, "token bigint, k bigint, n int, level tinyint")
+    rows = classes.select("k", "n", "prefix").mapInArrow(run, "token bigint, k bigint, n int, at int, level tinyint")
     times = rows.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
     rows = stored(rows.join(times.hint("shuffle_hash"), "token"), "shared")
     # estimated cost for each number of matches, and the cheapest
@@ -286,23 +288,33 @@ def leader_pairs(rows: DataFrame, join: Join, seed: int, tries: int) -> DataFram
     return tried.select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b")).distinct()
 
 
-def crossing_pairs(rows: DataFrame, join: Join) -> DataFrame:
+def crossing_pairs(rows: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
     """All pairs of different components with as many common prefix shingles as the less demanding
-    of the two asks for."""
+    of the two asks for.
+
+    The sizes of a pair tell the intersection it needs, which is more than either class needs in
+    general, so only the shorter prefixes for that intersection count. Folded sketches drop pairs
+    where they meet, whatever number of shingles they meet at.
+    """
+    folded = classes.select("k", *(F.expr(" ^ ".join(f"sketch[{j}]" for j in range(i, SKETCH_BITS // 64, FOLDED))).alias(f"f{i}") for i in range(FOLDED)))
     sizes = rows.groupBy("token", "root").agg(F.count("*").alias("held"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("held", "root"))["root"].alias("main"))
-    few = rows.join(largest, "token").where("root <> main")
-    others = rows.join(largest, "token").select(
-        "token", F.col("k").alias("other"), F.col("root").alias("other_root"), F.col("n").alias("n_other"),
-        F.col("level").alias("level_other"), F.col("matches").alias("matches_other"), (F.col("root") == F.col("main")).alias("is_main"),
-    )
+    marked = rows.join(folded, "k").join(largest, "token")
+    few = marked.where("root <> main")
+    others = marked.select("token", (F.col("root") == F.col("main")).alias("is_main"), *(F.col(c).alias(f"{c}_other") for c in ("k", "root", "n", "at", "matches")), *(F.col(f"f{i}").alias(f"g{i}") for i in range(FOLDED)))
+    both = F.col("n") + F.col("n_other")
+    shared = F.floor((join.percent * both + 99 + join.percent) / (100 + join.percent))
+    reach = F.least("matches", "matches_other") - shared
+    differing = sum((F.bit_count(F.col(f"f{i}").bitwiseXOR(F.col(f"g{i}"))) for i in range(FOLDED)), F.lit(0))
     met = few.join(others, "token").where(
-        (F.col("root") != F.col("other_root"))
-        & (F.col("is_main") | (F.col("k") < F.col("other")))
-        & (F.greatest("level", "level_other") <= F.least("matches", "matches_other"))
+        (F.col("root") != F.col("root_other"))
+        & (F.col("is_main") | (F.col("k") < F.col("k_other")))
+        & (F.col("at") < F.col("n") + reach)
+        & (F.col("at_other") < F.col("n_other") + reach)
         & _sizes_fit(join)
+        & ((100 + join.percent) * differing <= (100 - join.percent) * both)
     )
-    pair = (F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b"))
+    pair = (F.least("k", "k_other").alias("a"), F.greatest("k", "k_other").alias("b"))
     return met.groupBy(*pair).agg(F.count("*").alias("common"), F.min(F.least("matches", "matches_other")).alias("asked")).where("common >= asked").select("a", "b")
 
 
@@ -357,7 +369,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame
     # what could still join two true components
     roots = None if links is None else components(links)
     rows = _crossing(_rerooted(every, roots))
-    left = sketched(crossing_pairs(rows, join), sketches, join)
+    left = sketched(crossing_pairs(rows, sketches, join), sketches, join)
     if tried is not None:
         left = left.join(tried.distinct(), ["a", "b"], "left_anti")
     left = stored(left, "crossing")
