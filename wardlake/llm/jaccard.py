@@ -49,10 +49,8 @@ MOST_MATCHES = 8
 MATCHES = (1, 2, 4, 8)
 #: Cost of a verification in units of the cost of one shared shingle.
 VERIFY_COST = 8
-#: Bits of the sketch of a set, words of its folded form, and bits of the filters for shared shingles
-#: and chosen documents.
+#: Bits of the sketch of a set, and of the filters for shared shingles and chosen documents.
 SKETCH_BITS = 1024
-FOLDED = 4
 TOKEN_BITS = 27
 CHOICE_BITS = 24
 #: Leaders tried by a class in each round; more rounds follow while they still find links.
@@ -293,19 +291,20 @@ def crossing_pairs(rows: DataFrame, classes: DataFrame, join: Join) -> DataFrame
     of the two asks for.
 
     The sizes of a pair tell the intersection it needs, which is more than either class needs in
-    general, so only the shorter prefixes for that intersection count. Folded sketches drop pairs
-    where they meet, whatever number of shingles they meet at.
+    general, so only the shorter prefixes for that intersection count. Sketches drop pairs where
+    they meet, however many shingles they meet at.
     """
-    folded = classes.select("k", *(F.expr(" ^ ".join(f"sketch[{j}]" for j in range(i, SKETCH_BITS // 64, FOLDED))).alias(f"f{i}") for i in range(FOLDED)))
+    parts = range(SKETCH_BITS // 64)
+    own = classes.select("k", *(F.col("sketch")[i].alias(f"f{i}") for i in parts))
     sizes = rows.groupBy("token", "root").agg(F.count("*").alias("held"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("held", "root"))["root"].alias("main"))
-    marked = rows.join(folded, "k").join(largest, "token")
+    marked = rows.join(own, "k").join(largest, "token")
     few = marked.where("root <> main")
-    others = marked.select("token", (F.col("root") == F.col("main")).alias("is_main"), *(F.col(c).alias(f"{c}_other") for c in ("k", "root", "n", "at", "matches")), *(F.col(f"f{i}").alias(f"g{i}") for i in range(FOLDED)))
+    others = marked.select("token", (F.col("root") == F.col("main")).alias("is_main"), *(F.col(c).alias(f"{c}_other") for c in ("k", "root", "n", "at", "matches")), *(F.col(f"f{i}").alias(f"g{i}") for i in parts))
     both = F.col("n") + F.col("n_other")
     shared = F.floor((join.percent * both + 99 + join.percent) / (100 + join.percent))
     reach = F.least("matches", "matches_other") - shared
-    differing = sum((F.bit_count(F.col(f"f{i}").bitwiseXOR(F.col(f"g{i}"))) for i in range(FOLDED)), F.lit(0))
+    differing = sum((F.bit_count(F.col(f"f{i}").bitwiseXOR(F.col(f"g{i}"))) for i in parts), F.lit(0))
     met = few.join(others, "token").where(
         (F.col("root") != F.col("root_other"))
         & (F.col("is_main") | (F.col("k") < F.col("k_other")))
@@ -369,7 +368,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame
     # what could still join two true components
     roots = None if links is None else components(links)
     rows = _crossing(_rerooted(every, roots))
-    left = sketched(crossing_pairs(rows, sketches, join), sketches, join)
+    left = crossing_pairs(rows, sketches, join)
     if tried is not None:
         left = left.join(tried.distinct(), ["a", "b"], "left_anti")
     left = stored(left, "crossing")
