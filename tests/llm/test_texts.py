@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -176,6 +177,15 @@ def test_perplexity_rejects_other_text(spark):
     assert not out[1000] and all(out[k] for k in range(300))
 
 
+def test_perplexity_of_slices_shorter_than_an_ngram(spark):
+    for n in range(6):
+        data = np.frombuffer(b"abcde"[:n], np.uint8)
+        assert len(perplexity.ngrams(data, np.array([0, n]))[0]) == n
+    rows = [(1, "abc", "en"), (2, "many words " * 100_000, "en")]
+    out = perplexity.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(1)).collect()
+    assert {r.doc_id: r.n_words for r in out} == {1: 1, 2: 200_000}
+
+
 def test_quality_rules_edges(spark):
     assert perplexity.quality_rules(nothing(spark)).count() == 0
     assert perplexity.quality_rules(edge(spark)).count() == len(edge_rows())

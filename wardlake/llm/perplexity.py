@@ -68,7 +68,7 @@ def ngrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     n = len(points)
     depth = np.arange(n) - np.repeat(starts[:-1], np.diff(starts))
     keys = points.copy()
-    for k in range(1, ORDER):
+    for k in range(1, min(ORDER, n)):
         keys[k:] |= np.where(depth[k:] >= k, points[: n - k], 0) << (SYMBOL_BITS * k)
     return keys, starts
 
