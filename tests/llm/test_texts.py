@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import string
 from collections import Counter
 
 import duckdb
@@ -177,6 +178,28 @@ def test_perplexity_rejects_other_text(spark):
     assert not out[1000] and all(out[k] for k in range(300))
 
 
+def random_texts():
+    """Words of random characters, marked 'en'."""
+    rng = np.random.default_rng(11)
+    alphabets = ["".join(map(chr, range(33, 127))), string.ascii_letters + string.digits + "+/", string.ascii_lowercase]
+    random = ["".join(rng.choice(list(a), rng.integers(300, 3000))) for a in alphabets for _ in range(8)]
+    return [(10**7 + k, " ".join(r[k : k + 6] for k in range(0, len(r), 6)), "en") for k, r in enumerate(random)]
+
+
+def kept_of(spark, rows):
+    out = perplexity.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    return {r.doc_id: r.kept for r in out if not r.base_failed}
+
+
+def test_perplexity_rejects_planted_texts(spark, sf_dir):
+    docs = sample(f"{sf_dir}/../sf0.01")
+    planted = random_texts()
+    kept = kept_of(spark, docs + planted)
+    assert not any(kept[k] for k, _, _ in planted)
+    given = [kept[k] for k, _, _ in docs if k in kept]
+    assert sum(given) > 0.9 * len(given)
+
+
 def test_perplexity_of_slices_shorter_than_an_ngram(spark):
     for n in range(6):
         data = np.frombuffer(b"abcde"[:n], np.uint8)

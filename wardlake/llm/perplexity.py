@@ -1,19 +1,21 @@
 """Quality rules: counts of each text and bands on its n-gram perplexity.
 
-The model is a modified Kneser-Ney model over characters. Python tasks turn texts into packed
-n-grams and sum them within the task; Spark sums them over the corpus, derives continuation
+The models are modified Kneser-Ney models over characters. Texts are dealt into two folds by
+their hash, each language has one model for each fold, and a model counts the other fold only: no
+text is scored by counts of its own, nor by those of equal texts. Python tasks turn texts into
+packed n-grams and sum them within the task; Spark sums them over the corpus, derives continuation
 counts, discounts and interpolated probabilities by grouping and joining, and folds the highest
 order into at most ``2**SLOT_BITS`` hash slots (a slot that several n-grams share holds their mean
-by count). The slots are two sorted arrays, so what is broadcast to the scoring tasks has a fixed
-bound, while what is gathered from the corpus grows with it. Since the texts scored are the texts
-counted, the highest order holds every n-gram; others get the lowest probability of the model.
+by count). The slots are sorted arrays, so what is broadcast to the scoring tasks has a fixed
+bound, while what is gathered from the corpus grows with it. The tables hold the n-grams of both
+folds, so each has a probability in either model, by lower orders where a model has not counted it.
 
 A text is rejected if its mean log probability leaves the band of its language: median plus or
 minus ``SPREAD`` times the distance of the quartiles (at least ``LEAST_SPREAD``).
 
 Defined results: a null or empty text has no words, fails the base rules and no band; texts of one
-character are scored as any other; null languages form a language of their own; repeated rows
-give repeated results; other columns are dropped; an empty table gives an empty result.
+character are scored as any other; null languages form a language of their own; a language with
+texts in one fold only is scored by uniform probabilities; repeated rows give repeated results; other columns are dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.llm.arrays import NOT_SPACE, Rolling, Words, byte_class, mix, row_sums, slices, windows
@@ -35,6 +37,8 @@ ORDER = 5
 SYMBOL_BITS = 12
 SYMBOLS = 1 << SYMBOL_BITS
 SLOT_BITS = 22
+#: The folds of the texts; the model of a fold counts all others.
+FOLDS = ("0", "1")
 SPREAD = 5.0
 LEAST_SPREAD = 0.1
 #: N-grams that a counting task holds before it sums them up.
@@ -45,11 +49,10 @@ REPEAT_WINDOW = 8
 
 
 class Model(NamedTuple):
-    """Sorted slot numbers with the log probability of each, and that of an unknown slot."""
+    """Sorted slot numbers with the log probabilities of each for the texts of either fold."""
 
     slots: np.ndarray
     log_p: np.ndarray
-    floor: float
 
 
 def symbols(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,8 +76,9 @@ def ngrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys, starts
 
 
-def slot_of(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys.astype(np.uint64)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+def slot_of(lang: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    hashes = mix(mix(lang.astype(np.uint64)) + keys.astype(np.uint64))
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
 
 
 def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -87,103 +91,132 @@ def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
     size = 0
     for batch in batches:
-        for _, data, bounds in slices(batch):
+        for part, data, bounds in slices(batch):
             if not len(data):
                 continue
-            keys, counts = np.unique(ngrams(data, bounds)[0], return_counts=True)
-            held.append((keys, counts))
-            size += len(keys)
+            grams, starts = ngrams(data, bounds)
+            rows: dict[tuple[int, int], list[int]] = {}
+            for r, of in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
+                if starts[r + 1] > starts[r]:
+                    rows.setdefault(of, []).append(r)
+            for of, mine in rows.items():
+                keys, counts = np.unique(np.concatenate([grams[starts[r] : starts[r + 1]] for r in mine]), return_counts=True)
+                held.setdefault(of, []).append((keys, counts))
+                size += len(keys)
             if size > HELD:
-                held = [_summed(held)]
+                held = {of: [_summed(parts)] for of, parts in held.items()}
                 size = 0
-    if held:
-        keys, counts = _summed(held)
+    for (lang, fold), parts in held.items():
+        keys, counts = _summed(parts)
         for low in range(0, len(keys), 100_000):
             part = slice(low, low + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(counts[part].astype(np.int64))], names=["gram", "n"])
+            n = len(keys[part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, lang)), pa.array(np.full(n, fold, np.int32)), pa.array(keys[part]), pa.array(counts[part].astype(np.int64))],
+                names=["lang", "fold", "gram", "n"],
+            )
 
 
-def count_ngrams(df: DataFrame, text: str = "text") -> DataFrame:
-    """(gram, n): how often each n-gram of the highest order stands in the texts."""
+def count_ngrams(df: DataFrame, text: str = "text", lang: Column | None = None, folds: tuple[str, ...] = ("",)) -> DataFrame:
+    """(lang, gram, n of each fold): how often each n-gram of the highest order stands in the texts
+    of a language (by its hash) outside the fold; a single fold stands for all texts."""
+    one = len(folds) == 1
     return (
-        df.select(F.col(text).alias("text"))
-        .mapInArrow(_count, "gram bigint, n bigint")
-        .groupBy("gram")
-        .agg(F.sum("n").alias("n"))
+        df.select(
+            (F.lit(0).cast("bigint") if lang is None else F.xxhash64(lang)).alias("lang"),
+            (F.lit(-1) if one else fold_of(F.col(text))).alias("fold"),
+            F.col(text).alias("text"),
+        )
+        .mapInArrow(_count, "lang bigint, fold int, gram bigint, n bigint")
+        .groupBy("lang", "gram")
+        .agg(*(F.sum(F.when(F.col("fold") != k, F.col("n")).otherwise(0)).alias(f"n{m}") for k, m in enumerate(folds)))
     )
 
 
-def _discounts(table: DataFrame) -> list[float]:
-    """Discounts for counts of 1, 2, and 3 or more, from the counts of counts."""
-    found = {r["n"]: r["times"] for r in table.where("n <= 4").groupBy("n").agg(F.count("*").alias("times")).collect()}
-    n1, n2, n3, n4 = (found.get(k, 0) for k in (1, 2, 3, 4))
-    if not n1 or not n2:
-        return [0.5, 0.75, 0.9]
-    y = n1 / (n1 + 2 * n2)
-    raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return [min(max(d, 0.05), k - 0.05) for d, k in zip(raw, (1, 2, 3))]
+def fold_of(text: Column) -> Column:
+    """Equal texts share their fold."""
+    return F.pmod(F.xxhash64(text), F.lit(len(FOLDS))).cast("int")
+
+
+def _discounts(table: DataFrame, folds: tuple[str, ...]) -> DataFrame:
+    """By language, discounts for counts of 1, 2, and 3 or more, from the counts of counts."""
+    times = [F.sum((F.col(f"n{m}") == k).cast("bigint")).alias(f"t{k}{m}") for m in folds for k in (1, 2, 3, 4)]
+    made = []
+    for m in folds:
+        n1, n2, n3, n4 = (F.col(f"t{k}{m}") for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, F.when(n3 > 0, 3 - 4 * y * n4 / n3).otherwise(1.5)]
+        for k, (d, plain) in enumerate(zip(raw, (0.5, 0.75, 0.9)), start=1):
+            bound = F.least(F.greatest(d, F.lit(0.05)), F.lit(k - 0.05))
+            made.append(F.when((n1 > 0) & (n2 > 0), bound).otherwise(plain).alias(f"d{k}{m}"))
+    return table.groupBy("lang").agg(*times).select("lang", *made)
 
 
-def probabilities(counts: DataFrame) -> DataFrame:
-    """(gram, n, p): interpolated modified Kneser-Ney probability of the last symbol of each n-gram.
+def probabilities(counts: DataFrame, folds: tuple[str, ...] = ("",)) -> DataFrame:
+    """(lang, gram, n, p of each fold): interpolated modified Kneser-Ney probability of the last
+    symbol of each n-gram, for each fold by the counts ``n`` outside it.
 
-    Below the highest order, the count of a gram is the number of different symbols before it.
+    Below the highest order, the count of a gram is the number of different symbols before it. A
+    gram or context that a model has not counted is left to the next lower order.
     """
     tables = [counts]
     for n in range(ORDER - 1, 0, -1):
         mask = (1 << (SYMBOL_BITS * n)) - 1
-        lower = tables[0].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count("*").alias("n"))
+        lower = tables[0].groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(
+            *(F.sum((F.col(f"n{m}") > 0).cast("bigint")).alias(f"n{m}") for m in folds)
+        )
         tables.insert(0, stored(lower, f"grams{n}"))
     p = None
     for order, table in enumerate(tables, start=1):
-        d1, d2, d3 = _discounts(table)
-        discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        context = F.shiftright("gram", SYMBOL_BITS)
-        contexts = table.groupBy(context.alias("context")).agg(
-            F.sum("n").alias("total"), (F.sum(discount) / F.sum("n")).alias("rest")
+        rows = table.join(F.broadcast(_discounts(table, folds)), "lang").withColumn("context", F.shiftright("gram", SYMBOL_BITS))
+        for m in folds:
+            n = F.col(f"n{m}")
+            discount = F.when(n == 0, 0.0).when(n == 1, F.col(f"d1{m}")).when(n == 2, F.col(f"d2{m}")).otherwise(F.col(f"d3{m}"))
+            rows = rows.withColumn(f"off{m}", discount)
+        contexts = rows.groupBy("lang", "context").agg(
+            *(F.sum(f"n{m}").alias(f"total{m}") for m in folds), *(F.sum(f"off{m}").alias(f"rest{m}") for m in folds)
         )
-        rows = table.withColumn("context", context).join(contexts, "context")
-        own = (F.col("n") - discount) / F.col("total")
-        if p is None:
-            rows = rows.select("gram", "n", (own + F.col("rest") / SYMBOLS).alias("p"))
-        else:
+        rows = rows.join(contexts, ["lang", "context"])
+        if p is not None:
             mask = (1 << (SYMBOL_BITS * (order - 1))) - 1
-            back = p.select(F.col("gram").alias("suffix"), F.col("p").alias("p_back"))
-            rows = rows.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(mask))).join(back, "suffix")
-            rows = rows.select("gram", "n", (own + F.col("rest") * F.col("p_back")).alias("p"))
-        p = rows
+            back = p.select("lang", F.col("gram").alias("suffix"), *(F.col(f"p{m}").alias(f"back{m}") for m in folds))
+            rows = rows.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(mask))).join(back, ["lang", "suffix"])
+        made = []
+        for m in folds:
+            n, off, total, rest = (F.col(f"{c}{m}") for c in ("n", "off", "total", "rest"))
+            lower_p = F.lit(1 / SYMBOLS) if p is None else F.col(f"back{m}")
+            made += [n, F.when(total > 0, (n - off) / total + rest / total * lower_p).otherwise(lower_p).alias(f"p{m}")]
+        p = rows.select("lang", "gram", *made)
     return p
 
 
 def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pd.DataFrame({"slot": slot_of(pdf["gram"].to_numpy()), "weight": pdf["n"] * np.log(pdf["p"]), "n": pdf["n"]})
+        n = sum(pdf[f"n{m}"] for m in FOLDS)
+        logs = {f"w{m}": n * np.log(pdf[f"p{m}"]) for m in FOLDS}
+        yield pd.DataFrame({"slot": slot_of(pdf["lang"].to_numpy(), pdf["gram"].to_numpy()), "n": n, **logs})
 
 
-def train(df: DataFrame, text: str = "text") -> Model:
-    """The model of all texts; at most ``2**SLOT_BITS`` slots come to the driver."""
-    table = probabilities(stored(count_ngrams(df, text), "grams"))
+def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """The models of all languages; at most ``2**SLOT_BITS`` slots come to the driver."""
+    table = probabilities(stored(count_ngrams(df, text, F.col(lang), FOLDS), "grams"), FOLDS)
     slots = (
-        table.mapInPandas(_fold, "slot int, weight double, n bigint")
+        table.mapInPandas(_fold, ", ".join(["slot int, n bigint", *(f"w{m} double" for m in FOLDS)]))
         .groupBy("slot")
-        .agg((F.sum("weight") / F.sum("n")).cast("float").alias("log_p"))
+        .agg(*((F.sum(f"w{m}") / F.sum("n")).cast("float").alias(f"log_p{m}") for m in FOLDS))
         .toArrow()
     )
-    slot, log_p = (slots.column(c).to_numpy() for c in ("slot", "log_p"))
+    slot = slots.column("slot").to_numpy().astype(np.int32)
     order = np.argsort(slot)
-    log_p = log_p[order].astype(np.float32)
-    return Model(slot[order].astype(np.int32), log_p, float(log_p.min()) if len(log_p) else -math.log(SYMBOLS))
+    return Model(slot[order], np.stack([slots.column(f"log_p{m}").to_numpy()[order].astype(np.float32) for m in FOLDS], axis=1))
 
 
-def log_probabilities(model: Model, keys: np.ndarray) -> np.ndarray:
-    if not len(model.slots):
-        return np.full(len(keys), model.floor, np.float32)
-    slots = slot_of(keys)
-    at = np.minimum(np.searchsorted(model.slots, slots), len(model.slots) - 1)
-    return np.where(model.slots[at] == slots, model.log_p[at], np.float32(model.floor))
+def log_probabilities(model: Model, lang: np.ndarray, fold: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Those of n-grams of the counted texts, of which every one has a slot."""
+    return model.log_p[np.searchsorted(model.slots, slot_of(lang, keys)), fold]
 
 
 def base_counts(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
@@ -230,27 +263,31 @@ def base_counts(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(df: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "lang"), text: str = "text") -> DataFrame:
-    """The counts of each text and its mean log probability (null without characters)."""
+def measure(df: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "lang"), text: str = "text", lang: str = "lang") -> DataFrame:
+    """The counts of each text, its hash and its mean log probability (null without characters)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(
-        [*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), *(f"{c} bigint" for c in COUNTS), "log_p double"]
-    )
+    kinds = [*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), "text_hash bigint"]
+    schema = ", ".join([*kinds, *(f"{c} bigint" for c in COUNTS), "log_p double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, bounds in slices(batch, "_text"):
                 counts = base_counts(data, bounds)
                 keys, starts = ngrams(data, bounds)
-                sums = np.concatenate([[0.0], np.cumsum(log_probabilities(shared.value, keys), dtype=np.float64)])
                 n = np.diff(starts)
-                mean = (sums[starts[1:]] - sums[starts[:-1]]) / np.maximum(n, 1)
+                lang, fold = (np.repeat(part.column(c).to_numpy(), n) for c in ("_lang", "_fold"))
+                sums = np.concatenate([[0.0], np.cumsum(log_probabilities(shared.value, lang, fold, keys), dtype=np.float64)])
+                # rounded, so that equal texts have equal means wherever they stand
+                mean = np.round((sums[starts[1:]] - sums[starts[:-1]]) / np.maximum(n, 1), 6)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], *(pa.array(counts[c]) for c in COUNTS), pa.array(mean, mask=n == 0)],
-                    names=[*keep, *COUNTS, "log_p"],
+                    [*part.columns[:-3], *(pa.array(counts[c]) for c in COUNTS), pa.array(mean, mask=n == 0)],
+                    names=[*keep, "text_hash", *COUNTS, "log_p"],
                 )
 
-    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    key, fold = F.xxhash64(lang), fold_of(F.col(text))
+    return df.select(
+        *keep, F.xxhash64(text).alias("text_hash"), key.alias("_lang"), fold.alias("_fold"), F.col(text).alias("_text")
+    ).mapInArrow(run, schema)
 
 
 def bands(measured: DataFrame, spread: float = SPREAD, least: float = LEAST_SPREAD) -> DataFrame:
