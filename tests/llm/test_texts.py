@@ -200,6 +200,18 @@ def test_perplexity_rejects_planted_texts(spark, sf_dir):
     assert sum(given) > 0.9 * len(given)
 
 
+def test_perplexity_keeps_every_ngram_at_any_size(spark, sf_dir, monkeypatch):
+    rows = sample(sf_dir) + random_texts()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    one = {r.doc_id: r.perplexity for r in perplexity.quality_rules(docs).collect()}
+    counts = perplexity.count_ngrams(docs, "text", F.col("lang"), perplexity.FOLDS)
+    n = counts.count()
+    monkeypatch.setattr(perplexity, "RANGE", n // 3 + 1)
+    table, ranges = perplexity.train(docs)
+    assert ranges == 3 and sum(len(perplexity.load(table, k).hashes) for k in range(ranges)) == n
+    assert {r.doc_id: r.perplexity for r in perplexity.quality_rules(docs).collect()} == pytest.approx(one, rel=3e-6)
+
+
 def test_perplexity_of_slices_shorter_than_an_ngram(spark):
     for n in range(6):
         data = np.frombuffer(b"abcde"[:n], np.uint8)

@@ -4,11 +4,15 @@ The models are modified Kneser-Ney models over characters. Texts are dealt into
 their hash, each language has one model for each fold, and a model counts the other fold only: no
 text is scored by counts of its own, nor by those of equal texts. Python tasks turn texts into
 packed n-grams and sum them within the task; Spark sums them over the corpus, derives continuation
-counts, discounts and interpolated probabilities by grouping and joining, and folds the highest
-order into at most ``2**SLOT_BITS`` hash slots (a slot that several n-grams share holds their mean
-by count). The slots are sorted arrays, so what is broadcast to the scoring tasks has a fixed
-bound, while what is gathered from the corpus grows with it. The tables hold the n-grams of both
-folds, so each has a probability in either model, by lower orders where a model has not counted it.
+counts, discounts and interpolated probabilities by grouping and joining. The tables hold the
+n-grams of both folds, so each has a probability in either model, by lower orders where a model has
+not counted it.
+
+Every n-gram of a language keeps an entry of its own, known by 64 bits. The entries are dealt by
+these into ranges of about ``RANGE``; one range after another is broadcast as sorted arrays, and a
+pass over the texts adds what it holds to their sums. So a task needs the same memory at any size,
+and a corpus with more n-grams takes more passes; between passes the texts are stored with their
+sums.
 
 A text is rejected if its mean log probability leaves the band of its language: median plus or
 minus ``SPREAD`` times the distance of the quartiles (at least ``LEAST_SPREAD``).
@@ -20,23 +24,22 @@ texts in one fold only is scored by uniform probabilities; repeated rows give re
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.llm.arrays import NOT_SPACE, Rolling, Words, byte_class, mix, row_sums, slices, windows
-from wardlake.llm.stored import stored
+from wardlake.llm.stored import drop_stored, stored
 
 ORDER = 5
 SYMBOL_BITS = 12
 SYMBOLS = 1 << SYMBOL_BITS
-SLOT_BITS = 22
+#: N-grams that are broadcast at once (16 bytes each).
+RANGE = 1 << 22
 #: The folds of the texts; the model of a fold counts all others.
 FOLDS = ("0", "1")
 SPREAD = 5.0
@@ -49,9 +52,10 @@ REPEAT_WINDOW = 8
 
 
 class Model(NamedTuple):
-    """Sorted slot numbers with the log probabilities of each for the texts of either fold."""
+    """One range of n-grams: sorted hashes, and the log probabilities of each for the texts of
+    either fold."""
 
-    slots: np.ndarray
+    hashes: np.ndarray
     log_p: np.ndarray
 
 
@@ -76,9 +80,8 @@ def ngrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys, starts
 
 
-def slot_of(lang: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    hashes = mix(mix(lang.astype(np.uint64)) + keys.astype(np.uint64))
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+def gram_hashes(lang: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return mix(mix(lang.astype(np.uint64)) + keys.astype(np.uint64))
 
 
 def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -193,30 +196,45 @@ def probabilities(counts: DataFrame, folds: tuple[str, ...] = ("",)) -> DataFram
     return p
 
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        n = sum(pdf[f"n{m}"] for m in FOLDS)
-        logs = {f"w{m}": n * np.log(pdf[f"p{m}"]) for m in FOLDS}
-        yield pd.DataFrame({"slot": slot_of(pdf["lang"].to_numpy(), pdf["gram"].to_numpy()), "n": n, **logs})
+def entries(table: DataFrame, ranges: int) -> DataFrame:
+    """(part, hash, log probability of each fold) of every n-gram, dealt into ranges."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, gram, *p = (batch.column(k).to_numpy() for k in range(2 + len(FOLDS)))
+            hashes = gram_hashes(lang, gram)
+            logs = [pa.array(np.log(x).astype(np.float32)) for x in p]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((hashes % np.uint64(ranges)).astype(np.int32)), pa.array(hashes.view(np.int64)), *logs],
+                names=["part", "hash", *(f"log_p{m}" for m in FOLDS)],
+            )
+
+    schema = ", ".join(["part int, hash bigint", *(f"log_p{m} float" for m in FOLDS)])
+    return table.select("lang", "gram", *(f"p{m}" for m in FOLDS)).mapInArrow(run, schema)
 
-def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """The models of all languages; at most ``2**SLOT_BITS`` slots come to the driver."""
-    table = probabilities(stored(count_ngrams(df, text, F.col(lang), FOLDS), "grams"), FOLDS)
-    slots = (
-        table.mapInPandas(_fold, ", ".join(["slot int, n bigint", *(f"w{m} double" for m in FOLDS)]))
-        .groupBy("slot")
-        .agg(*((F.sum(f"w{m}") / F.sum("n")).cast("float").alias(f"log_p{m}") for m in FOLDS))
-        .toArrow()
-    )
-    slot = slots.column("slot").to_numpy().astype(np.int32)
-    order = np.argsort(slot)
-    return Model(slot[order], np.stack([slots.column(f"log_p{m}").to_numpy()[order].astype(np.float32) for m in FOLDS], axis=1))
+
+def train(df: DataFrame, text: str = "text", lang: str = "lang") -> tuple[DataFrame, int]:
+    """The entries of the models of all languages, and the number of their ranges."""
+    counts = stored(count_ngrams(df, text, F.col(lang), FOLDS), "grams")
+    ranges = max(1, -(-counts.count() // RANGE))
+    return stored(entries(probabilities(counts, FOLDS), ranges), "entries"), ranges
+
+
+def load(table: DataFrame, part: int) -> Model:
+    """One range of the entries."""
+    rows = table.where(F.col("part") == part).drop("part").toArrow()
+    hashes = rows.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return Model(hashes[order], np.stack([rows.column(f"log_p{m}").to_numpy()[order].astype(np.float32) for m in FOLDS], axis=1))
 
 
 def log_probabilities(model: Model, lang: np.ndarray, fold: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Those of n-grams of the counted texts, of which every one has a slot."""
-    return model.log_p[np.searchsorted(model.slots, slot_of(lang, keys)), fold]
+    """Those of the n-grams in this range, and 0 for those of other ranges."""
+    if not len(model.hashes):
+        return np.zeros(len(keys), np.float32)
+    hashes = gram_hashes(lang, keys)
+    at = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
+    return np.where(model.hashes[at] == hashes, model.log_p[at, fold], np.float32(0))
 
 
 def base_counts(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
@@ -263,31 +281,54 @@ def base_counts(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(df: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "lang"), text: str = "text", lang: str = "lang") -> DataFrame:
-    """The counts of each text, its hash and its mean log probability (null without characters)."""
+def add_range(df: DataFrame, model: Model) -> DataFrame:
+    """The frame with what a range holds of each text added to ``_sum``."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kinds = [*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), "text_hash bigint"]
-    schema = ", ".join([*kinds, *(f"{c} bigint" for c in COUNTS), "log_p double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, bounds in slices(batch, "_text"):
-                counts = base_counts(data, bounds)
                 keys, starts = ngrams(data, bounds)
                 n = np.diff(starts)
                 lang, fold = (np.repeat(part.column(c).to_numpy(), n) for c in ("_lang", "_fold"))
                 sums = np.concatenate([[0.0], np.cumsum(log_probabilities(shared.value, lang, fold, keys), dtype=np.float64)])
+                made = {"_sum": pa.array(part.column("_sum").to_numpy() + sums[starts[1:]] - sums[starts[:-1]]), "_length": pa.array(n.astype(np.int64))}
+                yield pa.RecordBatch.from_arrays([made.get(c, part.column(c)) for c in part.schema.names], names=part.schema.names)
+
+    return df.mapInArrow(run, df.schema)
+
+
+def measure(df: DataFrame, model: tuple[DataFrame, int], keep: tuple[str, ...] = ("doc_id", "lang"), text: str = "text", lang: str = "lang") -> DataFrame:
+    """The counts of each text, its hash and its mean log probability (null without characters)."""
+    kinds = [*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), "text_hash bigint"]
+    schema = ", ".join([*kinds, *(f"{c} bigint" for c in COUNTS), "log_p double"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, bounds in slices(batch, "_text"):
+                counts = base_counts(data, bounds)
+                total, n = (part.column(c).to_numpy() for c in ("_sum", "_length"))
                 # rounded, so that equal texts have equal means wherever they stand
-                mean = np.round((sums[starts[1:]] - sums[starts[:-1]]) / np.maximum(n, 1), 6)
+                mean = np.round(total / np.maximum(n, 1), 6)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-3], *(pa.array(counts[c]) for c in COUNTS), pa.array(mean, mask=n == 0)],
+                    [*part.columns[: len(keep) + 1], *(pa.array(counts[c]) for c in COUNTS), pa.array(mean, mask=n == 0)],
                     names=[*keep, "text_hash", *COUNTS, "log_p"],
                 )
 
-    key, fold = F.xxhash64(lang), fold_of(F.col(text))
-    return df.select(
-        *keep, F.xxhash64(text).alias("text_hash"), key.alias("_lang"), fold.alias("_fold"), F.col(text).alias("_text")
-    ).mapInArrow(run, schema)
+    summed = df.select(
+        *keep, F.xxhash64(text).alias("text_hash"), F.xxhash64(lang).alias("_lang"), fold_of(F.col(text)).alias("_fold"),
+        F.lit(0.0).alias("_sum"), F.lit(0).cast("bigint").alias("_length"), F.col(text).alias("_text"),
+    )
+    table, ranges = model
+    before = None
+    for k in range(ranges):
+        summed = add_range(summed, load(table, k))
+        if k < ranges - 1:
+            summed = stored(summed, f"sums{k}")
+            if before is not None:
+                drop_stored(before)
+            before = summed
+    return summed.mapInArrow(run, schema)
 
 
 def bands(measured: DataFrame, spread: float = SPREAD, least: float = LEAST_SPREAD) -> DataFrame:
