@@ -200,6 +200,18 @@ def test_perplexity_rejects_planted_texts(spark, sf_dir):
     assert sum(given) > 0.9 * len(given)
 
 
+def test_perplexity_bands_have_the_spread_of_their_language(spark, sf_dir):
+    docs = sample(f"{sf_dir}/../sf0.01")
+    other = [t for of in ("de", "es", "fr") for t in [t for _, t, lang in docs if lang == of and len(t) > 500][:10]]
+    planted = [(2 * 10**7 + k, t, "en") for k, t in enumerate(other)]
+    # copies of one text must not narrow the band
+    copies = [(3 * 10**7 + k, docs[0][1], docs[0][2]) for k in range(2000)]
+    kept = kept_of(spark, docs + planted + copies)
+    assert not any(kept.get(k) for k, _, _ in planted)
+    given = [kept[k] for k, _, _ in docs if k in kept]
+    assert sum(given) > 0.9 * len(given)
+
+
 def test_perplexity_keeps_every_ngram_at_any_size(spark, sf_dir, monkeypatch):
     rows = sample(sf_dir) + random_texts()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")

@@ -15,7 +15,8 @@ and a corpus with more n-grams takes more passes; between passes the texts are s
 sums.
 
 A text is rejected if its mean log probability leaves the band of its language: median plus or
-minus ``SPREAD`` times the distance of the quartiles (at least ``LEAST_SPREAD``).
+minus ``SPREAD`` times the distance of the quartiles, of its different texts (copies count once, so that
+many of one text do not narrow the band).
 
 Defined results: a null or empty text has no words, fails the base rules and no band; texts of one
 character are scored as any other; null languages form a language of their own; a language with
@@ -43,7 +44,6 @@ RANGE = 1 << 22
 #: The folds of the texts; the model of a fold counts all others.
 FOLDS = ("0", "1")
 SPREAD = 5.0
-LEAST_SPREAD = 0.1
 #: N-grams that a counting task holds before it sums them up.
 HELD = 2_000_000
 
@@ -331,11 +331,11 @@ def measure(df: DataFrame, model: tuple[DataFrame, int], keep: tuple[str, ...] =
     return summed.mapInArrow(run, schema)
 
 
-def bands(measured: DataFrame, spread: float = SPREAD, least: float = LEAST_SPREAD) -> DataFrame:
+def bands(measured: DataFrame, spread: float = SPREAD) -> DataFrame:
     """The lowest and highest mean log probability that each language accepts."""
     quartiles = F.percentile_approx("log_p", [0.25, 0.5, 0.75], 10_000)
-    width = F.greatest(F.col("q")[2] - F.col("q")[0], F.lit(least)) * spread
-    return measured.groupBy("lang").agg(quartiles.alias("q")).select(
+    width = (F.col("q")[2] - F.col("q")[0]) * spread
+    return measured.select("lang", "text_hash", "log_p").distinct().groupBy("lang").agg(quartiles.alias("q")).select(
         "lang", (F.col("q")[1] - width).alias("least_log_p"), (F.col("q")[1] + width).alias("most_log_p")
     )
 
