@@ -99,6 +99,36 @@ def test_license_fuzzy_finds_what_a_full_search_finds(text):
         assert 0 <= span["start_word"] < span["end_word"] <= row["n_words"]
 
 
+def places_of(notice, words: str) -> int:
+    """Groups of places at which a full search ends a notice within its edits."""
+    row, near = list(range(len(notice.text) + 1)), []
+    for j, b in enumerate(words):
+        new = [0]
+        for i, a in enumerate(notice.text, 1):
+            new.append(min(row[i] + 1, new[-1] + 1, row[i - 1] + (a != b)))
+        row = new
+        if row[-1] <= notice.edits:
+            near.append(j)
+    return sum(1 for a, b in zip([-99, *near], near) if b - a > len(notice.text) // 2)
+
+
+def test_license_spans_of_adjacent_edited_notices():
+    spans = licenses.scan_text("all rigts reserved " * 3 + "all rights reserved")["spans"]
+    assert [(s["start_word"], s["end_word"], s["edits"]) for s in spans] == [(0, 3, 1), (3, 6, 1), (6, 9, 1), (9, 12, 0)]
+    rng = np.random.default_rng(5)
+    for notice in licenses.NOTICES:
+        for _ in range(3):
+            copies = []
+            for _ in range(6):
+                made = list(notice.text)
+                for at in rng.choice(range(1, len(made) - 1), rng.integers(0, notice.edits + 1), replace=False):
+                    made[at] = rng.choice(["", "z", made[at] + "z"]) if made[at] != " " else " "
+                copies.append("".join(made))
+            words = " ".join(copies)
+            found = [s for s in licenses.scanner((notice,)).fuzzy(words)]
+            assert len(found) == places_of(notice, words) == 6
+
+
 def test_license_edges(spark):
     assert licenses.license_scan(nothing(spark)).count() == 0
     assert licenses.license_scan(edge(spark)).count() == len(edge_rows())

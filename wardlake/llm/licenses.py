@@ -4,7 +4,8 @@ Texts are lower-cased (A-Z) and reduced to their words joined by single blanks.
 most e edits is split into e + 1 pieces; by the pigeonhole principle one of them stands in the
 text unchanged. An Aho-Corasick automaton of all pieces finds these seeds, the window around each
 is widened by the place of the piece and by e, and overlapping windows are joined. Inside them
-the regex library matches the whole notice with bounded errors and reports words and edits.
+the regex library finds the best match of the whole notice with bounded errors, and what lies
+before and behind it is searched again, until nothing is left that matches.
 
 Defined results: a null or empty text has no words and no places; equal labels count once in the
 label lists; repeated rows give repeated results; other columns are dropped; an empty table gives
@@ -92,10 +93,21 @@ class Scanner:
         found = set()
         for k, mine in windows.items():
             for low, high in mine:
-                for match in self.patterns[k].finditer(words, low, high):
-                    found.add((k, match.start(), match.end(), sum(match.fuzzy_counts)))
+                found.update((k, *span) for span in self.matches(k, words, low, high))
         return sorted(found)
 
+    def matches(self, k: int, words: str, low: int, high: int) -> Iterator[tuple[int, int, int]]:
+        """(first character, end, edits) of a notice between two places: the best match, then the
+        best ones before and behind it."""
+        least = len(self.notices[k].text) - self.notices[k].edits
+        left = [(low, high)]
+        while left:
+            low, high = left.pop()
+            match = self.patterns[k].search(words, low, high) if high - low >= least else None
+            if match:
+                yield match.start(), match.end(), sum(match.fuzzy_counts)
+                left += [(low, match.start()), (match.end(), high)]
+
 
 @lru_cache(maxsize=4)
 def scanner(notices: tuple[Notice, ...]) -> Scanner:
