@@ -232,9 +232,11 @@ def log_probabilities(model: Model, lang: np.ndarray, fold: np.ndarray, keys: np
     """Those of the n-grams in this range, and 0 for those of other ranges."""
     if not len(model.hashes):
         return np.zeros(len(keys), np.float32)
-    hashes = gram_hashes(lang, keys)
+    # each n-gram of a slice is sought once, in order
+    hashes, which = np.unique(gram_hashes(lang, keys), return_inverse=True)
     at = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
-    return np.where(model.hashes[at] == hashes, model.log_p[at, fold], np.float32(0))
+    found = np.where((model.hashes[at] == hashes)[:, None], model.log_p[at], np.float32(0))
+    return found[which, fold]
 
 
 def base_counts(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
