@@ -1,0 +1,120 @@
+"""Token files against the library's ids of whole texts, and what a reader skips."""
+
+from __future__ import annotations
+
+import random
+import struct
+import zlib
+
+import numpy as np
+import pyarrow.orc as orc
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from edge import edge, edge_rows, nothing
+from wardlake.llm import tokenfiles as tf
+from wardlake.llm.queries import QUERIES
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def whole():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def plain(rows, whole):
+    out, start = [], 0
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*whole(text or ""), 0]
+        out.append((i, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        start += len(ids)
+    return out
+
+
+def read(df):
+    return [tuple(r) for r in df.select("doc_id", "start", "n_tokens", "ids_crc32").orderBy("start").collect()]
+
+
+def test_pieces_have_the_ids_of_the_whole_text(whole):
+    rng = random.Random(5)
+    letters = [" ", "  ", "\n", "a", "bc", "é", "'s", "'LL", ".", "!?", "12", "\t", "\xa0", "\x1c", "\x85", " x", "漢", " \n", "\r\n"]
+    letters += ["<|endoftext|>", "　", "\U00010330", "́", "​", "²", "ª", ".\n", "\n\n", "z" * 70]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(14))) for _ in range(6000)]
+    code = tf.Encoder(PATH)
+    made = [x for k in range(0, len(texts), 60) for x in code.texts(texts[k : k + 60])]
+    assert [np.frombuffer(m, "<u4").tolist() for m in made] == [whole(t) for t in texts]
+    assert max(map(len, code.known)) <= tf.MEMORY_LETTERS
+
+
+def test_memory_is_emptied(whole, monkeypatch):
+    monkeypatch.setattr(tf, "MEMORY", 3)
+    code = tf.Encoder(PATH)
+    for text in ("one two three four. five,", "six two, three. seven", "one eight two three, "):
+        assert np.frombuffer(code.texts([text])[0], "<u4").tolist() == whole(text)
+
+
+def test_given_documents(spark, sf_dir, whole):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    assert read(QUERIES["op13_token_files"](spark, sf_dir)) == plain(rows, whole)
+
+
+def test_edge_rows(spark, tmp_path, whole, monkeypatch):
+    monkeypatch.setattr(tf, "PIECE", 50)
+    docs = edge(spark).withColumns({"part": F.col("blob"), "ids": F.col("row"), "start": F.col("label"), "_hash": F.lit(1), "_place": F.lit("x")})
+    tf.write_ids(docs.repartition(5), str(tmp_path / "a"), PATH)
+    assert read(tf.documents_of(tf.read_ids(spark, str(tmp_path / "a")))) == plain([(r[0], r[1]) for r in edge_rows()], whole)
+    tf.write_ids(nothing(spark), str(tmp_path / "b"), PATH)
+    assert tf.documents_of(tf.read_ids(spark, str(tmp_path / "b"))).count() == 0
+
+
+def test_repeated_ids_and_a_long_text(spark, tmp_path, whole):
+    long = "".join(random.Random(4).choices("abcdefgh .,\n", k=2_500_000))
+    rows = [(7, "same row")] * 400 + [(7, "other text")] * 3 + [(1, long), (9, "last")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    tf.write_ids(df, str(tmp_path / "a"), PATH)
+    got = read(tf.documents_of(tf.read_ids(spark, str(tmp_path / "a"))))
+    want = plain(rows, whole)
+    assert [r[0] for r in got] == [r[0] for r in want] and sorted(r[2:] for r in got) == sorted(r[2:] for r in want)
+    assert got[0] == want[0] and got[-1] == want[-1]
+    assert [r[1] for r in got] == [0, *np.cumsum([r[2] for r in got])[:-1].tolist()]
+    rows = tf.read_ids(spark, str(tmp_path / "a"))
+    assert rows.select(F.max(F.size("ids"))).first()[0] == tf.PIECE
+
+
+def test_stripes_are_read_in_parallel_and_skipped(spark, tmp_path):
+    docs = spark.range(60_000).select((F.col("id") * 2).alias("doc_id"), F.concat(F.lit("text "), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    path = str(tmp_path / "a")
+    tf.write_ids(docs.coalesce(1), path, PATH, stripe_bytes=1 << 20)
+    files = sorted((tmp_path / "a" / "ids").glob("*.orc"))
+    assert sum(orc.ORCFile(f).nstripes for f in files) > len(files)
+    assert b"doc_id" in files[0].read_bytes()[-4096:] and orc.ORCFile(files[0]).row_index_stride == 1000
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        rows = tf.read_ids(spark, path)
+        assert rows.rdd.getNumPartitions() > len(files)
+        assert tf.documents_of(rows).select(F.sum("n_tokens"), F.max(F.col("start") + F.col("n_tokens"))).distinct().collect()[0][0] > 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+    def scanned(where):
+        df = tf.read_ids(spark, path, where)
+        found = len(df.collect())
+        plan = df._jdf.queryExecution().executedPlan()
+        leaves = plan.collectLeaves()
+        scans = [leaves.apply(k) for k in range(leaves.size()) if "ids:array" in leaves.apply(k).toString()]
+        return found, scans[0].metrics().apply("numOutputRows").value(), plan.toString()
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found, read_rows, text = scanned(F.col("doc_id") == 70_000)
+        assert found == 1 and read_rows <= 1000 and "EqualTo(doc_id,70000)" in text
+        found, read_rows, _ = scanned(F.col("doc_id") == 70_001)  # between two documents: only the Bloom filter knows
+        assert (found, read_rows) == (0, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
