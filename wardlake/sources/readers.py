@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlake.functions import defaults as d
+from wardlake.sources.records import charset, read_records
 
 
 def read_delimited(
@@ -27,13 +28,18 @@ def read_delimited(
     Quotes are doubled inside quoted values, and the usual markers of a missing value are
     null. All files must have the same header; ``read_delimited_dir`` takes mixed ones. With
     ``position``, adds a column that orders rows as they stand in the files: path, start of
-    the split, place within the split. Values that hold line breaks need ``multiline``,
-    which makes each file one task, so it is off unless asked for.
+    the split, place within the split. Values that hold line breaks need ``multiline``: such
+    files are split as well, at the price of a first pass over them (``records.py``), unless
+    their encoding is none in which a line break can be seen; then a file is one task.
     """
-    df = spark.read.csv(
-        [paths] if isinstance(paths, str) else list(paths),
-        header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=multiline,
-    )
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    options = {"header": True, "sep": sep, "encoding": encoding, "quote": '"', "escape": '"'}
+    if multiline and charset(encoding):
+        names = spark.read.csv(listed, multiLine=True, **options).columns
+        df = read_records(spark, listed, names, sep, encoding)
+        columns = [_null_if(name, null_markers).alias(name) for name in names]
+        return df.select(*columns, F.col("_place").alias(position)) if position else df.select(*columns)
+    df = spark.read.csv(listed, multiLine=multiline, **options)
     columns = [_null_if(name, null_markers).alias(name) for name in df.columns]
     if not position:
         return df.select(*columns)
