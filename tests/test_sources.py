@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from wardlake.sources import files as files_module
 from wardlake.sources import readers, writers
 from wardlake.sources.storage import publish, shared_dir
 
@@ -182,13 +183,72 @@ def test_headers_take_one_job_for_any_number_of_files(spark, tmp_path):
     files = sorted(spark.read.text(str(tmp_path / "*.csv")).inputFiles())
     context = spark.sparkContext
     jobs = {}
-    for n in (36, 60):  # Spark lists more than 32 paths in a job of its own
+    for n in (36, 60):
+        found = files_module.first_records(files_module.listed(spark, files[:n]), "UTF-8")
         context.setJobGroup(f"headers{n}", "headers")
-        groups = readers.header_groups(spark, files[:n], "UTF-8")
+        groups = readers.header_groups(found)
         jobs[n] = len(context.statusTracker().getJobIdsForGroup(f"headers{n}"))
         context._jsc.clearJobGroup()
         assert sorted(map(len, groups)) == [n // 3, n - n // 3]
     assert jobs[36] == jobs[60]
+    slow = readers.header_groups(readers.read_first_lines(spark, str(tmp_path / "*.csv"), "UTF-8"))
+    assert slow == groups
+
+
+def test_headers_do_not_read_the_files(tmp_path, monkeypatch):
+    """What is read of a file depends on its header alone; quoted line breaks belong to it."""
+    cases = {
+        b"\xef\xbb\xbfnome;cidade\r\nx;y\n": "nome;cidade",
+        b"\n\r\nnome\n": "nome",
+        b'"no\nme";"a ""b"" \n";c\n1;2;3': '"no\nme";"a ""b"" \n";c',
+        b"nome": "nome",
+        b"": None,
+        b"\n\n": None,
+        b"h" * 100_000 + b"\n1": "h" * 100_000,
+    }
+    for k, (content, header) in enumerate(cases.items()):
+        (tmp_path / f"{k}.csv").write_bytes(content)
+        assert files_module.first_record(f"file:{tmp_path}/{k}.csv", "UTF-8") == header
+    read = []
+    real = files_module.open_stream
+
+    class Counted:
+        def __init__(self, address):
+            self.stream = real(address)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.stream.close()
+
+        def read(self, n):
+            chunk = self.stream.read(n)
+            read.append(len(chunk))
+            return chunk
+
+    monkeypatch.setattr(files_module, "open_stream", Counted)
+    for size in (1 << 20, 1 << 24):
+        read.clear()
+        (tmp_path / "long.csv").write_bytes(b"a;b\n" + b"1;2\n" * (size // 4))
+        assert files_module.first_record(f"file:{tmp_path}/long.csv", "UTF-8") == "a;b"
+        assert sum(read) == files_module.FIRST
+
+
+def test_a_file_of_more_than_two_gigabytes_is_hashed(spark, tmp_path):
+    with open(tmp_path / "big name.bin", "wb") as file:
+        file.truncate((1 << 31) + 12_345)  # a hole, no blocks on disk
+    want, zeros = hashlib.md5(), bytes(1 << 24)
+    for _ in range((1 << 31) >> 24):
+        want.update(zeros)
+    want.update(bytes(12_345))
+    row = files_module.digests(files_module.listed(spark, str(tmp_path / "*.bin"))).first()
+    assert (row.n_bytes, row.file_hash) == ((1 << 31) + 12_345, want.hexdigest())
+    assert row.file.endswith("big%20name.bin")
+
+
+def test_addresses():
+    assert files_module.can_open("file:/a/b") and files_module.can_open("/a/b") and not files_module.can_open("nosuch://a/b")
 
 
 def test_load_goes_by_column_name(spark, tmp_path):

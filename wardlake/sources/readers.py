@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlake.functions import defaults as d
+from wardlake.sources.files import can_open, digests, first_records, listed
 from wardlake.sources.records import charset, read_records
 
 
@@ -72,40 +73,52 @@ def read_delimited_dir(
     header: the plan has one scan per distinct header, not per file.
     """
     try:
-        files = sorted(spark.read.text(pattern).inputFiles())
+        files = listed(spark, pattern)
+        example = files.select("path").first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = []
-    if not files:
+        example = None
+    if example is None:
         if fallback is not None:
             return fallback()
         raise FileNotFoundError(f"no file matches {pattern}")
 
-    groups = header_groups(spark, files, encoding)
+    headers = first_records(files, encoding) if can_open(example.path) else read_first_lines(spark, pattern, encoding)
     parts = [
         read_delimited(spark, group, sep, encoding, multiline=multiline, null_markers=null_markers)
-        for group in groups
+        for group in header_groups(headers)
     ]
+    if not parts:
+        raise ValueError(f"no file of {pattern} has a header")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def header_groups(spark: SparkSession, files: Sequence[str], encoding: str) -> list[list[str]]:
-    """The files by their first line, in one job for any number of files.
+def header_groups(headers: DataFrame) -> list[list[str]]:
+    """The files of each distinct header, from one row (file, header) per file; files without
+    lines are left out. Names of files are all that comes to the driver, where Spark's reader
+    wants them; no task gathers those of one header."""
+    groups: dict[str, list[str]] = {}
+    for row in headers.where("header IS NOT NULL").select("file", F.md5("header").alias("header")).collect():
+        groups.setdefault(row.header, []).append(row.file)
+    return sorted(sorted(group) for group in groups.values())
 
-    Lines are read whole (no separator and no quote occurs in them), so that this works for
-    any number of columns. A file without lines is left out.
+
+def read_first_lines(spark: SparkSession, pattern: str, encoding: str) -> DataFrame:
+    """The same rows through Spark's reader, for file systems that only Spark can open; it
+    reads the files whole.
+
+    Lines are taken whole (no separator and no quote occurs in them), so that this works for
+    any number of columns.
     """
     lines = spark.read.schema("line string").csv(
-        list(files), sep="\u0001", quote="", encoding=encoding,
+        pattern, sep="\u0001", quote="", encoding=encoding,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
     starts = lines.where("_metadata.file_block_start = 0").select(
         F.col("_metadata.file_path").alias("file"), "line", F.monotonically_increasing_id().alias("at")
     )
-    first = starts.groupBy("file").agg(F.min_by("line", "at").alias("header"))
-    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return sorted(list(r.files) for r in rows)
+    return starts.groupBy("file").agg(F.min_by("line", "at").alias("header"))
 
 
 def first_available(sources: Sequence[tuple[str, Callable[[], DataFrame]]]) -> tuple[str, DataFrame]:
@@ -173,21 +186,22 @@ def flatten_comments(payloads: DataFrame, max_posts: int | None = None) -> DataF
 def provenance(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """Per file: ingest time, source, MD5 of its bytes, size and number of rows.
 
-    ``rows`` is the frame read from the same path. A file is hashed whole within one task,
-    so files must stay below 2 GB, which is Spark's own limit for binary files.
+    ``rows`` is the frame read from the same path. A file of any size is hashed as a stream. On
+    a file system that only Spark can open it is hashed from one value, and must stay below 2 GB.
     """
-    files = spark.read.format("binaryFile").load(path)
-    counted = rows.groupBy(F.col("_metadata.file_path").alias("source")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
-    hashed = files.select(
-        F.col("_metadata.file_path").alias("source"),
-        F.col("length").alias("n_bytes"),
-        F.md5("content").alias("file_hash"),
-    )
-    return hashed.join(counted, "source", "left").select(
+    files = listed(spark, path)
+    example = files.select("path").first()
+    if example is None or can_open(example.path):
+        hashed = digests(files)
+    else:
+        whole = spark.read.format("binaryFile").load(path)
+        hashed = whole.select(
+            F.col("_metadata.file_path").alias("file"), F.col("length").alias("n_bytes"), F.md5("content").alias("file_hash")
+        )
+    counted = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return hashed.join(counted, "file", "left").select(
         F.current_timestamp().alias("ingested_at"),
-        "source",
+        F.col("file").alias("source"),
         "file_hash",
         "n_bytes",
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from wardlake.operators.schema import nan_to_null
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = "UTF-8") -> None:
+def write_delimited(
+    df: DataFrame, path: str, sep: str = ";", encoding: str = "UTF-8", partition_by: str | None = None
+) -> None:
     """Text with a header; quotes are doubled, blanks around values kept."""
-    df.write.mode("overwrite").csv(
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.mode("overwrite").csv(
         path, header=True, sep=sep, encoding=encoding, quote='"', escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )

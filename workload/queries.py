@@ -183,14 +183,14 @@ def q_json_flatten_first_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line items' file: name, rows, and that the hash is an MD5."""
-    path = f"{sf_dir}/lineitem.parquet"
-    seen = readers.provenance(spark, path, spark.read.parquet(path))
-    return seen.select(
-        F.element_at(F.split("source", "/"), -1).alias("source"),
-        "n_rows",
-        F.length("file_hash").cast("long").alias("hash_chars"),
-    )
+    """Customers in one file per nation: the rows, bytes and MD5 of each file."""
+    customer = a.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    path = new_path(spark, "nations")
+    by_nation = customer.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    writers.write_delimited(by_nation, path, partition_by="c_nationkey")
+    seen = readers.provenance(spark, f"{path}/*/*.csv", readers.read_delimited(spark, f"{path}/*/*.csv"))
+    nation = F.regexp_extract("source", r"c_nationkey=(\d+)", 1).cast("long").alias("c_nationkey")
+    return seen.select(nation, "n_rows", "n_bytes", "file_hash")
 
 
 def _loaded_twice(df: DataFrame, columns: dict[str, str], name: str) -> DataFrame:
