@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from wardlake.functions import defaults as d
 from wardlake.functions.text import words
+from wardlake.operators.keys import rank_within, running_total
+from wardlake.sources.storage import publish
 
 
 def term_counts(
@@ -30,11 +32,13 @@ def term_counts(
 
 
 def term_ranks(terms: DataFrame, label: str = "sentimento", score: str = "score_tfidf") -> DataFrame:
-    """Rank of each term within its class by descending score; ties share a rank."""
-    within = Window.partitionBy(label).orderBy(F.desc(score))
-    return terms.select(label, "termo", score, F.rank().over(within).cast("long").alias("rank_termo")).orderBy(
-        label, F.desc(score), "termo"
-    )
+    """Rank of each term within its class by descending score; ties share a rank.
+
+    The terms are stored once. A class of any size is ranked by many tasks.
+    """
+    stored = publish(terms.select(label, "termo", score), "terms").frame
+    ranked = rank_within(stored, [label], score, "rank_termo")
+    return ranked.orderBy(label, F.desc(score), "termo")
 
 
 def tfidf_terms(
@@ -98,15 +102,46 @@ def tfidf_terms(
     )
 
 
+#: Most rows of a class that one task may sort.
+SORTED_AT_ONCE = 100_000
+
+
 def most_frequent(counts: DataFrame, top: int, shards: int = 64) -> DataFrame:
-    """The ``top`` terms of each class by occurrences, ties by term.
+    """The ``top`` terms of each class by occurrences, ties by term, whatever ``top``.
 
-    First within shards of a class, then over what these keep, so that no task ever sorts
-    more than ``shards * top`` terms of a class, however large its vocabulary.
+    A small ``top`` is cut within shards of a class first, then over what these keep, at most
+    ``SORTED_AT_ONCE`` rows. A larger one is selected, see ``select_most_frequent``.
     """
+    if shards * top > SORTED_AT_ONCE:
+        return select_most_frequent(counts, top)
     order = (F.desc("_occurrences"), F.col("_term"))
     shard = F.pmod(F.xxhash64("_term"), F.lit(shards))
     within = Window.partitionBy("_class", "_shard").orderBy(*order)
     over = Window.partitionBy("_class").orderBy(*order)
     first = counts.withColumn("_shard", shard).withColumn("_place", F.row_number().over(within)).filter(F.col("_place") <= top)
     return first.withColumn("_place", F.row_number().over(over)).filter(F.col("_place") <= top).drop("_shard", "_place")
+
+
+def select_most_frequent(counts: DataFrame, top: int) -> DataFrame:
+    """The same rows by distributed selection: no task sorts or gathers the terms of a class.
+
+    A histogram of the occurrences gives each class the number at which its ``top`` terms end.
+    Terms above it are taken as they are. Those with just that number are numbered by term
+    over many tasks, and the first ones fill what is left.
+    """
+    stored = publish(counts, "counts").frame
+    histogram = stored.groupBy("_class", "_occurrences").agg(F.count(F.lit(1)).alias("_ties"))
+    upto = running_total(histogram, ["_class"], [F.desc("_occurrences")], F.col("_ties"), "_upto")
+    started = upto.where(F.col("_upto") - F.col("_ties") < top)  # the last of these numbers is the cut
+    cut = started.groupBy(F.col("_class").alias("_of")).agg(
+        F.min(F.struct("_occurrences", (F.lit(top) - F.col("_upto") + F.col("_ties")).alias("room"), "_ties")).alias("_cut")
+    )
+    cut = publish(cut, "cuts").frame  # a row per class
+    known = stored.join(cut, F.col("_class").eqNullSafe(F.col("_of")))
+    whole = (F.col("_occurrences") > F.col("_cut._occurrences")) | (
+        (F.col("_occurrences") == F.col("_cut._occurrences")) & (F.col("_cut._ties") <= F.col("_cut.room"))
+    )
+    above = known.where(whole).select(*counts.columns)
+    tied = known.where((F.col("_occurrences") == F.col("_cut._occurrences")) & (F.col("_cut._ties") > F.col("_cut.room")))
+    numbered = running_total(tied.select(*counts.columns, F.col("_cut.room").alias("_room")), ["_class"], [F.asc("_term")], F.lit(1), "_place")
+    return above.unionByName(numbered.where(F.col("_place") <= F.col("_room")).select(*counts.columns))
