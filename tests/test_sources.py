@@ -3,6 +3,9 @@
 import datetime
 import hashlib
 import json
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pandas as pd
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 from wardlake.sources import files as files_module
 from wardlake.sources import readers, writers
 from wardlake.sources.storage import publish, shared_dir
+from workload.queries import QUERIES
 
 
 def test_delimited_with_byte_order_mark(spark, tmp_path):
@@ -167,13 +171,28 @@ def test_publish_counts_and_uses_the_shared_folder(spark):
 
 
 def test_the_session_names_the_shared_folder():
-    def session(folder=None):
-        context = SimpleNamespace(getConf=lambda: {})
-        conf = {"spark.sql.warehouse.dir": "hdfs://lake/warehouse/"} | ({"spark.checkpoint.dir": folder} if folder else {})
+    def session(folder=None, warehouse="hdfs://lake/warehouse/", master="spark://host:1"):
+        context = SimpleNamespace(getConf=lambda: {}, master=master)
+        conf = {"spark.sql.warehouse.dir": warehouse} | ({"spark.checkpoint.dir": folder} if folder else {})
         return SimpleNamespace(sparkContext=context, conf=conf)
 
     assert shared_dir(session("hdfs://lake/tmp/")) == "hdfs://lake/tmp"
     assert shared_dir(session()) == "hdfs://lake/warehouse/_steps"
+    assert shared_dir(session(warehouse="file:/here/w", master="local[2]")) == "file:/here/w/_steps"
+    for own in ("file:/here/w", "file:///here/w", "/here/w"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(warehouse=own))
+
+
+@pytest.mark.parametrize("missing", ["wardlake.llm", "tokenizers", "ahocorasick", "public_tokenizers"])
+def test_engine_queries_need_no_library_of_the_optional_part(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; n = e.queries(); print(len(n), 'pipeline' in n, set(e.oracle_sql()) <= set(n))"
+    root = Path(__file__).resolve().parents[1]
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    count, pipeline, same = done.stdout.split()
+    assert int(count) >= len(QUERIES) and same == "True"
+    if missing == "wardlake.llm":
+        assert (int(count), pipeline) == (len(QUERIES), "False")
 
 
 def test_headers_take_one_job_for_any_number_of_files(spark, tmp_path):

@@ -18,15 +18,20 @@ def term_counts(
     label: str = "sentimento",
     text: str = "texto_limpo",
     longer_than: int = 3,
-    stopwords: Sequence[str] = d.COUNT_STOPWORDS,
+    stopwords: Sequence[str] | DataFrame = d.COUNT_STOPWORDS,
     top: int = d.COUNT_TERMS,
 ) -> DataFrame:
     """The most frequent (class, term) pairs of all words of the texts.
 
-    Ties at the cut are broken by class and term.
+    Ties at the cut are broken by class and term. A long stop list is a frame of one column; it is
+    left out by an anti-join after counting, so that it meets each distinct term once.
     """
     term = comments.select(label, F.explode(words(F.lower(text), longer_than + 1)).alias("termo"))
-    counted = term.filter(~F.col("termo").isin(*stopwords)).groupBy(label, "termo").agg(F.count(F.lit(1)).alias("_n"))
+    listed = isinstance(stopwords, DataFrame)
+    kept = term if listed else term.filter(~F.col("termo").isin(*stopwords))
+    counted = kept.groupBy(label, "termo").agg(F.count(F.lit(1)).alias("_n"))
+    if listed:
+        counted = counted.join(stopwords.toDF("termo").distinct(), "termo", "left_anti")
     first = counted.orderBy(F.desc("_n"), label, "termo").limit(top)
     return first.select(label, "termo", F.col("_n").cast("decimal(12,6)").alias("score_tfidf"))
 

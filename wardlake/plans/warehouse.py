@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 from wardlake.functions import defaults as d
 from wardlake.functions.text import Lexicon
+from wardlake.operators.quality import Watch
 from wardlake.operators.schema import period
 from wardlake.operators.terms import term_counts, term_ranks, tfidf_terms
 from wardlake.plans import admissions as adm
@@ -32,7 +33,8 @@ def build_warehouse(
     """Write every layer below ``folder`` and register tables and marts as temporary views.
 
     Each layer is computed from the written one before it, so no step is run twice. Returns
-    the registered frames by view name. ``folder`` is any URI the cluster can write to; the
+    the registered frames by view name; ``camadas`` among them has the rows, nulls of required
+    columns and totals of the layers, seen while they were written. ``folder`` is any URI the cluster can write to; the
     silver admissions are also written below ``copy_to``, and ``sources``, the provenance of
     the files read, is kept with the layers.
     """
@@ -43,28 +45,29 @@ def build_warehouse(
         write_parquet(df, path, partition_by, f"{copy_to}/{name}" if copy and copy_to else None)
         return spark.read.schema(df.schema).parquet(path)
 
-    cleaned = adm.admissions_silver(admissions, **(silver_options or {}))
+    watch = Watch()
+    cleaned = adm.admissions_silver(watch.over(admissions, "bronze/internacoes"), **(silver_options or {}))
     if years is not None:
         cleaned = period(cleaned, "data_internacao", years)
     if sources is not None:
         stored(sources, "bronze/procedencia")
-    silver = stored(cleaned, "silver/internacoes", partition_by="ano", copy=True)
-    stored(adm.gold_monthly(silver), "gold/agregado_mensal")
+    silver = stored(watch.over(cleaned, "silver/internacoes"), "silver/internacoes", partition_by="ano", copy=True)
+    stored(watch.over(adm.gold_monthly(silver), "gold/agregado_mensal"), "gold/agregado_mensal")
     stored(adm.fact_grain(silver), "gold/fato_grao", partition_by="ano")
-    staging = stored(adm.admissions_staging(silver), "staging/internacoes", partition_by="ano")
+    staged_rows = watch.over(adm.admissions_staging(silver), "staging/internacoes", adm.STAGING_REQUIRED, ["numero_internacoes"])
+    staging = stored(staged_rows, "staging/internacoes", partition_by="ano")
     built = build_star(staging)
 
-    gold = stored(
-        com.sentiment_gold(stored(com.comments_silver(comments, comment_order), "silver/comentarios"), lexicon),
-        "gold/comentarios_sentimento",
-    )
-    staged = stored(com.comments_staging(gold), "staging/comentarios")
+    watched = watch.over(comments, "bronze/comentarios")
+    clean = stored(watch.over(com.comments_silver(watched, comment_order), "silver/comentarios"), "silver/comentarios")
+    gold = stored(com.sentiment_gold(clean, lexicon), "gold/comentarios_sentimento")
+    staged = stored(watch.over(com.comments_staging(gold), "staging/comentarios", com.STAGING_REQUIRED), "staging/comentarios")
     tables = {
         "dim_tempo": stored(built.time, "olap/dim_tempo"),
         "dim_especialidade": stored(built.specialty, "olap/dim_especialidade"),
         "dim_paciente": stored(built.patient, "olap/dim_paciente"),
         "dim_municipio": stored(built.municipality, "olap/dim_municipio"),
-        "fato_internacao": stored(built.fact, "olap/fato_internacao"),
+        "fato_internacao": stored(watch.over(built.fact, "olap/fato_internacao", (), ["qtd_internacoes"]), "olap/fato_internacao"),
         "fato_sentimento_comentario": stored(fact_comments(staged), "olap/fato_sentimento_comentario"),
         "dim_termo_sentimento": stored(term_counts(staged), "olap/dim_termo_sentimento"),
         "termos_tfidf": stored(
@@ -80,6 +83,7 @@ def build_warehouse(
         admissions=built.admissions,
     )
     views = {
+        "camadas": watch.report(spark),
         "stg_internacoes": staging,
         "stg_comentarios": staged,
         **tables,

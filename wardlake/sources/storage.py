@@ -17,10 +17,19 @@ class Stored(NamedTuple):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``; where none is set, one below
-    the session's warehouse, which all its machines share as well."""
+    """The folder the session names in ``spark.checkpoint.dir``.
+
+    Where none is set, one below the session's warehouse, if all machines see that: in local
+    mode, or when the warehouse's address names another file system than a machine's own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_steps").rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    scheme = warehouse.partition("://")[0] if "://" in warehouse else "file"
+    if not spark.sparkContext.master.startswith("local") and (scheme == "file" or warehouse.startswith("file:")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{warehouse}/_steps"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 import warnings
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.operators.schema import nan_to_null
@@ -47,20 +50,62 @@ def write_parquet(
 
 
 def load_table(df: DataFrame, table: str, columns: Mapping[str, str], path: str | None = None) -> DataFrame:
-    """Replace the contents of a table by the named columns, cast to the named types.
+    """Replace the contents of a table by the named columns, cast to the named types, at once.
 
-    The first load creates the table, at ``path`` if given; later loads keep the table and
-    overwrite its rows, column by column name, whatever the order of ``columns``. A load that
-    names other columns than the table has is an error. NaN is stored as null.
+    The rows are written aside, as a new version below ``path`` (by default a folder of the
+    warehouse), and then the table is pointed to them. Whoever reads the table meanwhile goes on
+    with the version they started with; the last one before this load is kept for them, older
+    ones are deleted. A load that fails leaves the table as it was. Later loads write by column
+    name, whatever the order of ``columns``; one that names other columns than the table has
+    is an error. NaN is stored as null.
     """
     spark = df.sparkSession
     typed = nan_to_null(df).select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])
-    if spark.catalog.tableExists(table):
+    exists = spark.catalog.tableExists(table)
+    if exists:
         known = spark.table(table).columns
         if set(known) != set(typed.columns):
             raise ValueError(f"{table} has the columns {sorted(known)}, the load {sorted(typed.columns)}")
-        typed.select(*known).write.insertInto(table, overwrite=True)
+        typed = typed.select(*known)
+    current = table_location(spark, table) if exists else None
+    base = path or (current.rsplit("/", 1)[0] if current else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}.versions")
+    version = f"{base.rstrip('/')}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    try:
+        typed.write.parquet(version)
+    except BaseException:
+        _delete(spark, version)
+        raise
+    if exists:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(table)
     else:
-        writer = typed.write.format("parquet")
-        (writer.option("path", path) if path else writer).saveAsTable(table)
+        spark.catalog.createTable(table, path=version, source="parquet", schema=typed.schema)
+    for old in _versions(spark, base):
+        if old not in (_name(version), _name(current or "")):
+            _delete(spark, f"{base.rstrip('/')}/{old}")
     return spark.table(table)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """Where the rows of a table lie now."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0].data_type.rstrip("/")
+
+
+def _name(address: str) -> str:
+    return address.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _folder(spark: SparkSession, address: str) -> tuple:
+    path = spark._jvm.org.apache.hadoop.fs.Path(address)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def _versions(spark: SparkSession, base: str) -> list[str]:
+    files, path = _folder(spark, base)
+    return sorted(n for n in (s.getPath().getName() for s in files.listStatus(path)) if re.fullmatch(r"v\d{20}-[0-9a-f]{8}", n))
+
+
+def _delete(spark: SparkSession, address: str) -> None:
+    files, path = _folder(spark, address)
+    files.delete(path, True)

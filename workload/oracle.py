@@ -231,6 +231,12 @@ ORACLE["q_token_digest"] = f"""WITH {ALL_TEXTS}, worded AS (SELECT id, {tokens('
 SELECT id, array_to_string(w[1:30], ' ') AS tokens, CAST(len(w) AS BIGINT) AS qtd_tokens FROM worded"""
 ORACLE["q_lexicon_hits"] = f"""WITH {ALL_TEXTS}, worded AS (SELECT id, {tokens('text')} AS w FROM marked)
 SELECT id, {hits('w', TEST_POSITIVE)} AS positivos, {hits('w', TEST_NEGATIVE)} AS negativos FROM worded"""
+ORACLE["q_lexicon_hits_large"] = f"""WITH {ALL_TEXTS}, worded AS (SELECT id, {tokens('text')} AS w FROM marked),
+lexicon AS (SELECT DISTINCT unnest({tokens('text')}) AS word FROM benchmark),
+distinct_tokens AS (SELECT DISTINCT unnest(w) AS token FROM worded),
+found AS (SELECT DISTINCT token FROM distinct_tokens, lexicon WHERE length(word) > 4 AND contains(token, word)),
+hits AS (SELECT id, count(*) AS n FROM (SELECT id, unnest(w) AS token FROM worded) JOIN found USING (token) GROUP BY id)
+SELECT id, coalesce(n, 0) AS acertos FROM worded LEFT JOIN hits USING (id)"""
 ORACLE["q_dedup_first"] = """
 SELECT doc_id, lang, source, text FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text)"""
 

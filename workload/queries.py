@@ -16,8 +16,9 @@ from wardlake.functions import cleaning as c
 from wardlake.functions import defaults as d
 from wardlake.functions import text as t
 from wardlake.operators.dedup import keep_first
+from wardlake.operators.lexicon import lexicon_counts
 from wardlake.operators.quality import (
-    conflicting_attributes, layer_counts, null_counts, reconcile_total, repeated_keys,
+    conflicting_attributes, layer_counts, null_counts, reconcile_total, repeated_keys, Watch,
 )
 from wardlake.operators.schema import lookup_join, nan_to_null, normalize_columns, period, with_missing
 from wardlake.operators.terms import term_counts, term_ranks, tfidf_terms
@@ -195,15 +196,15 @@ def q_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _loaded_twice(df: DataFrame, columns: dict[str, str], name: str) -> DataFrame:
     """The table after two loads: half of the rows, then all of them with the columns named in
-    another order. The rows are read where they lie; the table itself is dropped."""
+    another order. The rows are read where the last load put them; the table itself is dropped."""
     spark = df.sparkSession
     path = new_path(spark, name)
     table = f"{name}_{path[-32:]}"
     writers.load_table(df.filter("mes <= 6" if "mes" in columns else "qtd_tokens > 100"), table, columns, path)
     loaded = writers.load_table(df, table, dict(reversed(columns.items())))
-    schema = loaded.schema
+    schema, place = loaded.schema, writers.table_location(spark, table)
     spark.sql(f"DROP TABLE {table}")
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(place)
 
 
 @query
@@ -415,6 +416,15 @@ def q_lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def q_lexicon_hits_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tokens of the benchmark items as a lexicon over all texts."""
+    items = a.table(spark, sf_dir, "benchmark").select(F.explode(t.tokens(F.col("text"))).alias("palavra"))
+    lexicon = items.where("length(palavra) > 4").distinct()
+    df = publish(_all_texts(spark, sf_dir).select("id", t.tokens(F.col("text")).alias("words")), "words").frame
+    return lexicon_counts(df, "id", "words", lexicon, "acertos")
+
+
 @query
 def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = a.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
@@ -488,7 +498,9 @@ def q_tfidf_many_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(term_counts(a.staged_comments(spark, sf_dir)))
+    """The stop list is a frame."""
+    stopwords = spark.createDataFrame([(w,) for w in d.COUNT_STOPWORDS], "palavra string")
+    return plain(term_counts(a.staged_comments(spark, sf_dir), stopwords=stopwords))
 
 
 @query
@@ -731,13 +743,9 @@ def q_check_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = a.raw_admissions(spark, sf_dir)
-    silver = adm.admissions_silver(raw)
-    return layer_counts(
-        {
-            "bronze": raw,
-            "silver": silver,
-            "gold": silver.select(*adm.MONTHLY_KEYS).distinct(),
-            "comments": a.silver_comments(spark, sf_dir),
-        }
-    )
+    """Rows of the layers, seen in the two writes that compute them."""
+    watch = Watch()
+    silver = watch.over(adm.admissions_silver(watch.over(a.raw_admissions(spark, sf_dir), "bronze")), "silver")
+    publish(watch.over(silver.select(*adm.MONTHLY_KEYS).distinct(), "gold"), "gold")
+    publish(watch.over(a.silver_comments(spark, sf_dir).select("comment_id"), "comments"), "comments")
+    return watch.report(spark).select("layer", F.col("value").alias("n_rows"))
