@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, blob string, row int, label int"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, blob string, row int, label int, _id int, _blob string, _spans string, _digest string, _text string, _hash int, part string, ids string"
 
 
 def edge_rows() -> list[tuple]:
@@ -30,7 +30,7 @@ def edge_rows() -> list[tuple]:
     rows = [(k, t, ("en", "fr", None)[k % 3], "src", len(t or ""), 0.5, "clash", k, 1) for k, t in enumerate(texts)]
     rows.append((None, prose, None, None, None, None, None, None, None))
     rows.append(rows[5])
-    return rows
+    return [(*r, 7, "b", "s", "d", "t", 3, "p", "i") for r in rows]
 
 
 def edge(spark):

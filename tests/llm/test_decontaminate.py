@@ -73,6 +73,40 @@ def test_edited_passages(spark):
     check(spark, docs, items)
 
 
+def short_places(docs, items):
+    """Whole-word places of short items, letter by letter."""
+    out = {}
+    for d, text in docs:
+        t = plain(text)
+        for i, item in items:
+            w = plain(item).strip(" ")
+            if not w or len(plain(item)) >= dc.SHORTEST:
+                continue
+            for at in range(len(t) - len(w) + 1):
+                end = at + len(w)
+                if t[at:end] != w:
+                    continue
+                opens = at == 0 or not (t[at - 1].isalnum() and w[0].isalnum())
+                if opens and (end == len(t) or not (t[end].isalnum() and w[-1].isalnum())):
+                    out.setdefault((d, i), (at, end))
+    return out
+
+
+def test_short_items_are_found_exactly(spark):
+    rng = random.Random(11)
+    letters = ["a", "b", " ", "é", "?", "\n", "漢", "7"]
+    word = lambda low, high: "".join(rng.choices(letters, k=rng.randrange(low, high)))
+    items = [(k, word(0, 6)) for k in range(60)] + [(90, "what is two plus two"), (91, "a" * 23), (92, " \t"), (93, ""), (94, None), (95, "b" * 24)]
+    docs = [(k, word(0, 30)) for k in range(200)] + [(300, "so: What is\ttwo plus two? 4"), (301, "what is two plus twos"), (302, "a" * 23), (303, "a" * 24), (304, None), (305, "b" * 24)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): (r.start, r.end) for r in dc.leaks(df, bench).collect() if r.item_id != 95}
+    want = short_places(docs, items[:-1])
+    assert got == {k: v for k, v in want.items() if v} and (300, 90) in got and (301, 90) not in got
+    dirty = {d for d, _ in got} | {305}
+    assert {r.doc_id for r in dc.without_leaks(df, bench).collect()} == {d for d, _ in docs} - dirty
+
+
 def test_repetitive_texts(spark):
     items = [(1, "abab" * 20), (2, "a" * 60), (3, "xyz" * 30)]
     docs = [(1, "ab" * 100), (2, "a" * 59), (3, "a" * 500), (4, "xyz" * 28 + "q"), (5, "ba" * 39)]

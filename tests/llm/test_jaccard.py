@@ -99,3 +99,17 @@ def test_components(spark):
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert {r.node: r.root for r in components(df).collect()} == {k: v for k, v in root.items() if k in linked}
     assert components(spark.createDataFrame([], "a bigint, b bigint")) is None
+
+
+def thue_morse():
+    """Two words of 1,024 letters whose polynomial hashes modulo a power of two are equal."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_structured_words_are_told_apart(spark):
+    one, other = thue_morse()
+    docs = spark.createDataFrame([(1, f"{one} {one} {one}"), (2, f"{other} {other} {other}"), (3, f"{one} {one} {one}")], "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs, jaccard.Join(3, 90)).collect()} == {1: 1, 2: 2, 3: 1}

@@ -333,3 +333,39 @@ def test_redaction(spark, tmp_path):
 def test_secret_plan_stays_in_the_jvm(spark, tmp_path):
     plan = secrets.scan_versions(edge(spark), str(tmp_path / "ledger"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_structured_lines_and_texts_are_told_apart(spark):
+    from test_jaccard import thue_morse
+    from wardlake.llm.perplexity import quality_rules
+    from wardlake.llm.suffixes import without_repeats
+
+    one, other = thue_morse()
+    docs = spark.createDataFrame([(1, f"{one}\n{other}", "en"), (2, f"{one}\n{one}", "en")], "doc_id bigint, text string, lang string")
+    assert {r.doc_id: r.n_dup_lines for r in quality_rules(docs).collect()} == {1: 0, 2: 1}
+    two = spark.createDataFrame([(1, one), (2, other)], "doc_id bigint, text string")
+    assert {r.doc_id: bytes(r.kept) for r in without_repeats(two).collect()} == kept_by_force([one, other])
+
+
+def kept_by_force(texts):
+    """What stays when bytes of repeated 200-byte strings go."""
+    seen = {}
+    for k, t in enumerate(texts):
+        for at in range(len(t) - 199):
+            seen.setdefault(t[at : at + 200], []).append((k, at))
+    gone = [set() for _ in texts]
+    for places in seen.values():
+        if len(places) > 1:
+            for k, at in places:
+                gone[k].update(range(at, at + 200))
+    return {k + 1: "".join(c for i, c in enumerate(t) if i not in gone[k]).encode() for k, t in enumerate(texts)}
+
+
+def test_a_ledger_entry_that_stands_twice_changes_nothing(spark, tmp_path):
+    from wardlake.llm.secrets import scan_versions
+
+    docs = spark.createDataFrame([(1, "password = hunter2hunter2"), (2, "nothing")], "doc_id bigint, text string")
+    ledger = str(tmp_path / "ledger")
+    once = sorted(map(str, scan_versions(docs, ledger).collect()))
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger)
+    assert sorted(map(str, scan_versions(docs, ledger).collect())) == once

@@ -6,6 +6,7 @@ its own), so that the arrays of a task stay small however many rows a batch has.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,16 +72,29 @@ class _Powers:
 _powers = _Powers()
 
 
+#: Substrings of this many bytes are hashed byte by byte by a digest.
+LONG = 256
+
+
 class Rolling:
-    """Hashes of any substrings of one slice, from prefix sums of a polynomial hash."""
+    """Hashes of any substrings of one slice, from prefix sums of a polynomial hash.
+
+    Modulo 2**64 there are structured strings of equal sums (such as a Thue-Morse word of 1,024 letters and
+    its complement), whatever the base. They have to be long, so long substrings get a keyed digest.
+    """
 
     def __init__(self, data: np.ndarray) -> None:
         up, self._down = _powers.get(len(data) + 1)
+        self._data = data
         self._sums = np.zeros(len(data) + 1, _U64)
         np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=self._sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self._sums[end] - self._sums[start]) * self._down[start] + (end - start).astype(_U64))
+        out = mix((self._sums[end] - self._sums[start]) * self._down[start] + (end - start).astype(_U64))
+        for k in np.flatnonzero(end - start >= LONG).tolist():
+            digest = hashlib.blake2b(self._data[start[k] : end[k]], digest_size=8).digest()
+            out[k] = int.from_bytes(digest, "little")
+        return out
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -11,17 +11,23 @@ within the length of an item.
 Items are dealt into blocks of about ``BLOCK_CHARACTERS`` by hash, and every block is broadcast and
 sought in all documents on its own, so that a benchmark of any size is searched in bounded memory.
 
-Defined results: null and empty texts hold nothing; items shorter than ``SHORTEST`` characters
-identify nothing and are left out, null items too; equal items are separate items; a document row
+Items shorter than ``SHORTEST`` characters allow no edits. They are sought exactly, as whole words, by an
+automaton of all of them.
+
+Defined results: null and empty texts hold nothing; items without a character that is not blank identify
+nothing and are left out, null items too; equal items are separate items; a document row
 is reported once for each item in it, with its best place (fewest edits, then first); repeated rows
 are reported each; empty tables give empty results.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
@@ -43,7 +49,7 @@ _BASE = 0xD6E8FEB86659FD93
 class Items(NamedTuple):
     """One block of items with an index of their q-grams."""
 
-    ids: list
+    ids: list  # of the items with points, then of the short ones
     points: list[np.ndarray]
     length: np.ndarray
     edits: np.ndarray
@@ -53,6 +59,7 @@ class Items(NamedTuple):
     first: np.ndarray  # of each gram's uses
     item: np.ndarray
     place: np.ndarray
+    short: list[str]
 
 
 def normal(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,6 +71,11 @@ def normal(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return points, starts
 
 
+def letters(points: np.ndarray) -> str:
+    """The code points as a string."""
+    return points.astype("<u4").tobytes().decode("utf-32-le", "replace")
+
+
 def gram_hashes(points: np.ndarray) -> np.ndarray:
     """The hash of the ``Q`` code points from each place on (across rows, too)."""
     n = len(points) - Q + 1
@@ -78,12 +90,14 @@ def gram_hashes(points: np.ndarray) -> np.ndarray:
 
 
 def index(ids: list, texts: list[str]) -> Items:
-    kept = []
+    kept, short = [], []
     for id_, text in zip(ids, texts):
         raw = np.frombuffer((text or "").encode(), np.uint8)
         points, _ = normal(raw, np.array([0, len(raw)]))
         if len(points) >= SHORTEST:
             kept.append((id_, points))
+        elif string := letters(points).strip(" "):
+            short.append((id_, string))
     points = [p for _, p in kept]
     length = np.array([len(p) for p in points], np.int64)
     edits = np.minimum(length * EDIT_PERCENT // 100, (length - Q) // Q)
@@ -95,8 +109,9 @@ def index(ids: list, texts: list[str]) -> Items:
     mask = np.zeros(1 << FILTER_BITS, bool)
     mask[(grams >> _U64(64 - FILTER_BITS)).astype(np.int64)] = True
     return Items(
-        [i for i, _ in kept], points, length, edits, length + 1 - Q - Q * edits, mask,
+        [i for i, _ in kept + short], points, length, edits, length + 1 - Q - Q * edits, mask,
         grams, np.concatenate([first, [len(hashes)]]), item[order], place[order],
+        [string for _, string in short],
     )
 
 
@@ -136,6 +151,43 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, edits: int) -
 def search(items: Items, data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(row, item, start, end, edits) of all items in the rows of a slice."""
     points, starts = normal(data, bounds)
+    return sorted(search_long(items, points, starts) + search_short(items, points, starts))
+
+
+def search_short(items: Items, points: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """The first place of each short item in each row, where it stands between letters and digits of no word."""
+    if not items.short:
+        return []
+    text, bounds = letters(points), starts.tolist()
+    found = {}
+    for last, members in automaton(tuple(items.short)).iter(text):
+        for one in members:
+            end, low = last + 1, last + 1 - len(items.short[one])
+            row = bisect_right(bounds, low) - 1
+            if end > bounds[row + 1] or (row, one) in found:
+                continue
+            opens = low == bounds[row] or not (text[low - 1].isalnum() and text[low].isalnum())
+            closes = end == bounds[row + 1] or not (text[end].isalnum() and text[last].isalnum())
+            if opens and closes:
+                found[row, one] = (row, len(items.points) + one, low - bounds[row], end - bounds[row], 0)
+    return list(found.values())
+
+
+@lru_cache(maxsize=4)
+def automaton(short: tuple[str, ...]) -> ahocorasick.Automaton:
+    """All short items; each place gives the numbers of the items that equal it."""
+    made = ahocorasick.Automaton()
+    members: dict[str, list[int]] = {}
+    for k, string in enumerate(short):
+        members.setdefault(string, []).append(k)
+    for string, numbers in members.items():
+        made.add_word(string, numbers)
+    made.make_automaton()
+    return made
+
+
+def search_long(items: Items, points: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """The best place of each item within its budget of edits."""
     hashes = gram_hashes(points)
     if not len(items.grams) or not len(hashes):
         return []
@@ -159,7 +211,7 @@ def search(items: Items, data: np.ndarray, bounds: np.ndarray) -> list[tuple[int
     item = items.item[use]
     diagonal = at[of] - starts[row[of]] - items.place[use]
     band = np.floor_divide(diagonal, items.edits[item] + 1)
-    n_items = len(items.ids)
+    n_items = len(items.points)
     lines = (row[of] * n_items + item).astype(np.int64)
     offset = int(items.length.max()) + 2  # bands may lie before the text
     span = int(np.max(starts[1:] - starts[:-1])) + 2 * offset

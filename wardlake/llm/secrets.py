@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlake.llm.stored import stored
+from wardlake.operators.quality import unused_name
 
 RULES_VERSION = "1"
 
@@ -102,8 +103,10 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def read_ledger(spark, ledger: str) -> DataFrame | None:
     try:
         return spark.read.parquet(ledger)
-    except AnalysisException:  # nothing was scanned so far
-        return None
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # nothing was scanned so far
 
 
 def scan_versions(
@@ -123,7 +126,7 @@ def scan_versions(
     entry = blobs.select("blob").join(found, "blob", "left").withColumn("rules_version", F.lit(rules_version))
     entry.write.mode("append").parquet(ledger)
     entries = read_ledger(spark, ledger).where(F.col("rules_version") == rules_version)
-    hits = entries.where("spans is not null").select("blob", "spans")
+    hits = entries.where("spans is not null").select("blob", "spans").dropDuplicates(["blob"])  # entries may stand there twice
     return paths.join(hits, "blob", "left").select("path", "blob", "spans")
 
 
@@ -142,8 +145,9 @@ def redact(versions: DataFrame, ledger: str, path: str = "doc_id", mark: str = "
     Overlapping spans are replaced once, from the first start to the last end.
     """
     findings = scan_versions(versions, ledger, path).where("spans is not null")
-    by_blob = findings.groupBy("blob").agg(F.max("spans").alias("_spans")).withColumnRenamed("blob", "_blob")
-    rows = versions.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256)).join(by_blob.hint("shuffle_hash"), F.col("_digest") == F.col("_blob"), "left")
+    spans, blob, digest = (unused_name(n, versions.columns) for n in ("_spans", "_blob", "_digest"))
+    by_blob = findings.groupBy(F.col("blob").alias(blob)).agg(F.max("spans").alias(spans))
+    rows = versions.withColumn(digest, F.sha2(F.coalesce("text", F.lit("")), 256)).join(by_blob.hint("shuffle_hash"), F.col(digest) == F.col(blob), "left")
 
     def step(state, span):
         start = F.greatest(state["at"], span["start"].cast("int"))
@@ -155,6 +159,6 @@ def redact(versions: DataFrame, ledger: str, path: str = "doc_id", mark: str = "
         return F.struct(F.greatest(state["at"], span["end"].cast("int")).alias("at"), more.alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate("_spans", start, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(done)
+    done = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(done)
     return rows.withColumn("text", text).select(*versions.columns)
