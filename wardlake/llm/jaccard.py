@@ -43,6 +43,7 @@ from wardlake.llm.arrays import LOWER, NOT_SPACE, Rolling, Words, mix, slices, w
 from wardlake.llm.bitmaps import is_marked, marked_bits
 from wardlake.llm.graph import components
 from wardlake.llm.stored import drop_stored, stored
+from wardlake.operators.quality import unused_name
 
 ORDER_BITS = 18
 MOST_MATCHES = 8
@@ -404,6 +405,7 @@ def one_of_each(df: DataFrame, join: Join) -> DataFrame:
 
     Rows without an id stay; rows that repeat id and text stay once.
     """
-    kept = near_duplicates(df, join).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    named = df.join(kept.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    own = unused_name("_id", df.columns)
+    kept = near_duplicates(df, join).where("doc_id = component_id").select(F.col("doc_id").alias(own)).distinct()
+    named = df.join(kept.hint("shuffle_hash"), F.col("doc_id") == F.col(own), "left_semi").dropDuplicates(["doc_id", "text"])
     return named.unionByName(df.where("doc_id is null"))
