@@ -7,6 +7,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from edge import edge, edge_rows, nothing
 from wardlake.llm import jaccard
@@ -101,6 +102,17 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")) is None
 
 
+def test_components_of_a_chain_in_order_take_few_steps(spark, monkeypatch):
+    from wardlake.llm import graph
+
+    steps = []
+    monkeypatch.setattr(graph, "stored", lambda df, name, plain=graph.stored: steps.append(name) or plain(df, name))
+    chain = spark.range(10_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = graph.components(chain)
+    assert found.count() == 10_001 and found.where("root <> 0").isEmpty()
+    assert steps.count("parents") <= 20
+
+
 def thue_morse():
     """Two words of 1,024 letters whose polynomial hashes modulo a power of two are equal."""
     word = "a"

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 import string
+import time
 from collections import Counter
 
 import duckdb
@@ -129,6 +130,20 @@ def test_license_spans_of_adjacent_edited_notices():
             assert len(found) == places_of(notice, words) == 6
 
 
+def test_license_long_texts_take_linear_time():
+    """A megabyte of edited notices; and the same spans as in short texts."""
+    some = "all rigts reserved released undr the mit license general publc license cc by "
+    start = time.process_time()
+    row = licenses.scan_text(some * 14_000)
+    assert time.process_time() - start < 10
+    few = licenses.scan_text(some * 4)
+    words = len(some.split())
+    inner = [(s["label"], s["start_word"], s["end_word"], s["edits"]) for s in few["spans"]]
+    expected = sorted((a, b % words + k * words, c - b + b % words + k * words, d) for a, b, c, d in set(x for x in inner if x[1] < words) for k in range(14_000))
+    assert sorted((s["label"], s["start_word"], s["end_word"], s["edits"]) for s in row["spans"]) == expected
+    assert row["n_base"] == 14_000 and row["last_word"] == words * 14_000 - 2
+
+
 def test_license_edges(spark):
     assert licenses.license_scan(nothing(spark)).count() == 0
     assert licenses.license_scan(edge(spark)).count() == len(edge_rows())
@@ -165,12 +180,9 @@ def test_quality_rule_counts(spark, sf_dir):
 
 def plain_kneser_ney(texts: list[str], order: int) -> dict[tuple, float]:
     """Interpolated modified Kneser-Ney by the textbook, over tuples of symbols."""
-    def fold(c):
-        return max(1, ord(c)) if ord(c) < 2048 else None
-
     grams = Counter()
     for t in texts:
-        s = [0] * (order - 1) + [fold(c) for c in t]
+        s = [0] * (order - 1) + [ord(c) + 1 for c in t]
         grams.update(tuple(s[k : k + order]) for k in range(len(t)))
     tables = {order: grams}
     for n in range(order - 1, 0, -1):
@@ -186,7 +198,7 @@ def plain_kneser_ney(texts: list[str], order: int) -> dict[tuple, float]:
             total[g[:-1]] += c
             rest[g[:-1]] += d[min(c, 3) - 1]
         for g, c in t.items():
-            back = p[g[1:]] if n > 1 else 1 / 4096
+            back = p[g[1:]] if n > 1 else 1 / 0x110000
             p[g] = (c - d[min(c, 3) - 1]) / total[g[:-1]] + rest[g[:-1]] / total[g[:-1]] * back
     return p
 
@@ -195,7 +207,7 @@ def test_kneser_ney_probabilities(spark):
     texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "été et thé"] * 2 + ["banana bandana"]
     table = perplexity.probabilities(perplexity.count_ngrams(spark.createDataFrame([(t,) for t in texts], "text string")))
     expected = plain_kneser_ney(texts, perplexity.ORDER)
-    got = {tuple(r.gram >> (12 * k) & 4095 for k in reversed(range(perplexity.ORDER))): r.p for r in table.collect()}
+    got = {tuple((r.head << 63 | r.gram) >> (21 * k) & 0x1FFFFF for k in reversed(range(perplexity.ORDER))): r.p for r in table.collect()}
     assert got.keys() == {g for g in expected if len(g) == perplexity.ORDER}
     for gram, p in got.items():
         assert p == pytest.approx(expected[gram])
@@ -254,6 +266,17 @@ def test_perplexity_keeps_every_ngram_at_any_size(spark, sf_dir, monkeypatch):
     assert {r.doc_id: r.perplexity for r in perplexity.quality_rules(docs).collect()} == pytest.approx(one, rel=3e-6)
 
 
+def test_code_points_of_all_scripts_are_told_apart():
+    text = "".join(map(chr, [*range(1, 0xD800), *range(0xE000, 0x30000, 7), 0x10FFFF]))
+    data = np.frombuffer(text.encode(), np.uint8)
+    found, starts = perplexity.symbols(data, np.array([0, len(data)]))
+    assert found.tolist() == [ord(c) + 1 for c in text] and starts.tolist() == [0, len(text)]
+    head, gram, _ = perplexity.ngrams(data, np.array([0, len(data)]))
+    whole = [(int(h) << 63 | int(g)) for h, g in zip(head, gram)]
+    padded = [0] * 4 + found.tolist()
+    assert whole == [sum(padded[k + 4 - j] << (21 * j) for j in range(5)) for k in range(len(text))]
+
+
 def test_perplexity_of_slices_shorter_than_an_ngram(spark):
     for n in range(6):
         data = np.frombuffer(b"abcde"[:n], np.uint8)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +17,19 @@ def both_ways(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame | None:
     """(node, root): the smallest node of its component for every node with a link; None without links.
 
-    Each step hangs every root below its smallest neighbour, jumps over one generation, and
-    contracts the links; what stays is written. Rows of a node are never gathered: the smallest
-    neighbour is a partial aggregate.
+    Each step hangs every root below the neighbour with the least hash, jumps over one generation,
+    and contracts the links; what stays is written. Hashes change with the step, so that no order
+    of the nodes, such as a chain in the order of its numbers, takes more than a logarithm of steps
+    (expected). Rows of a node are never gathered: the least neighbour is a partial aggregate.
     """
     links = stored(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     roots = None
-    while not links.isEmpty():
-        parent = both_ways(links).groupBy("a").agg(F.min("b").alias("b"))
-        parent = stored(parent.select(F.col("a").alias("node"), F.least("a", "b").alias("root")), "parents")
+    for step in count():
+        if links.isEmpty():
+            break
+        own, other = (F.struct(F.xxhash64(c, F.lit(step)).alias("h"), F.col(c).alias("k")) for c in ("a", "b"))
+        parent = both_ways(links).groupBy("a").agg(F.min(other).alias("least"))
+        parent = stored(parent.select(F.col("a").alias("node"), F.least(own, "least")["k"].alias("root")), "parents")
         above = parent.select(F.col("node").alias("root"), F.col("root").alias("_up"))
         parent = stored(parent.join(above, "root").select("node", F.col("_up").alias("root")), "jumped")
         if roots is None:
@@ -35,4 +41,7 @@ def components(links: DataFrame) -> DataFrame | None:
         b = parent.select(F.col("node").alias("b"), F.col("root").alias("_b"))
         moved = links.join(a, "a").join(b, "b").where("_a <> _b")
         links = stored(moved.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "links")
-    return roots
+    if roots is None:
+        return None
+    least = roots.groupBy("root").agg(F.min("node").alias("_least"))
+    return stored(roots.join(least, "root").select("node", F.col("_least").alias("root")), "least")

@@ -8,14 +8,18 @@ the regex library finds the best match of the whole notice with bounded errors,
 before and behind it is searched again, until nothing is left that matches.
 
 Defined results: a null or empty text has no words and no places; equal labels count once in the
-label lists; repeated rows give repeated results; other columns are dropped; an empty table gives
+label lists; of equally good matches that overlap the first stays; a long text is scanned whole, in time
+that grows with its length; repeated rows give repeated results; other columns are dropped; an empty table gives
 an empty result.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 from typing import NamedTuple
 
 import ahocorasick
@@ -54,6 +58,9 @@ NOTICES = (
     Notice("spdx", "spdx license identifier", 2),
 )
 
+#: Lengths of a notice that are searched at a time.
+STRETCH = 8
+
 _TO_WORDS = bytes(int(LOWER[b]) if ALNUM[LOWER[b]] else 0x20 for b in range(256))
 
 
@@ -98,15 +105,34 @@ class Scanner:
 
     def matches(self, k: int, words: str, low: int, high: int) -> Iterator[tuple[int, int, int]]:
         """(first character, end, edits) of a notice between two places: the best match, then the
-        best ones before and behind it."""
-        least = len(self.notices[k].text) - self.notices[k].edits
-        left = [(low, high)]
-        while left:
-            low, high = left.pop()
+        best ones before and behind it.
+
+        The best match of each stretch of a few notices waits in a heap. One that overlaps a better one
+        is sought again in what is left of its stretch, so the time grows with the places alone.
+        """
+        notice = self.notices[k]
+        least, most = len(notice.text) - notice.edits, len(notice.text) + notice.edits
+        heap: list[tuple[int, int, int, int, int]] = []
+        taken: list[tuple[int, int]] = []
+
+        def seek(low: int, high: int) -> None:
             match = self.patterns[k].search(words, low, high) if high - low >= least else None
             if match:
-                yield match.start(), match.end(), sum(match.fuzzy_counts)
-                left += [(low, match.start()), (match.end(), high)]
+                heappush(heap, (sum(match.fuzzy_counts), match.start(), match.end(), low, high))
+
+        for at in range(low, high, STRETCH * most):
+            seek(at, min(high, at + (STRETCH + 1) * most))
+        while heap:
+            edits, start, end, low, high = heappop(heap)
+            before = bisect_left(taken, (end,)) - 1
+            if before >= 0 and taken[before][1] > start:
+                better, behind = taken[before]
+            else:
+                better, behind = start, end
+                insort(taken, (start, end))
+                yield start, end, edits
+            seek(low, min(better, high))
+            seek(max(behind, low), high)
 
 
 @lru_cache(maxsize=4)
@@ -119,10 +145,10 @@ def exact_places(words: bytes, phrase: bytes) -> list[int]:
     if phrase not in words:
         return []
     framed, wanted = b" " + words + b" ", b" " + phrase + b" "
-    places, at = [], framed.find(wanted)
+    places, last, at = [], 0, framed.find(wanted)
     while at >= 0:
-        places.append(framed.count(b" ", 0, at))
-        at = framed.find(wanted, at + 1)
+        places.append((places[-1] if places else 0) + framed.count(b" ", last, at))
+        last, at = at, framed.find(wanted, at + 1)
     return places
 
 
@@ -132,9 +158,11 @@ def scan_text(text: str, notices: tuple[Notice, ...] = NOTICES) -> dict:
     base = [(at, label) for phrase, label in PHRASES for at in exact_places(words, phrase.encode())]
     line = words.decode()
     scan = scanner(notices)
+    found = scan.fuzzy(line)
+    blanks = [m.start() for m in re.finditer(" ", line)] if found else []
     spans = [
-        (notices[k].label, line.count(" ", 0, low), line.count(" ", 0, max(low, high - 1)) + 1, edits, edits / len(notices[k].text))
-        for k, low, high, edits in scan.fuzzy(line)
+        (notices[k].label, bisect_left(blanks, low), bisect_left(blanks, max(low, high - 1)) + 1, edits, edits / len(notices[k].text))
+        for k, low, high, edits in found
     ]
     starts = [at for at, _ in base]
     base_labels = {label for _, label in base}

@@ -3,7 +3,7 @@
 The models are modified Kneser-Ney models over characters. Texts are dealt into two folds by
 their hash, each language has one model for each fold, and a model counts the other fold only: no
 text is scored by counts of its own, nor by those of equal texts. Python tasks turn texts into
-packed n-grams and sum them within the task; Spark sums them over the corpus, derives continuation
+n-grams of whole code points and sum them within the task; Spark sums them over the corpus, derives continuation
 counts, discounts and interpolated probabilities by grouping and joining. The tables hold the
 n-grams of both folds, so each has a probability in either model, by lower orders where a model has
 not counted it.
@@ -37,8 +37,11 @@ from wardlake.llm.arrays import NOT_SPACE, Rolling, Words, byte_class, mix, row_
 from wardlake.llm.stored import drop_stored, stored
 
 ORDER = 5
-SYMBOL_BITS = 12
-SYMBOLS = 1 << SYMBOL_BITS
+#: A symbol is a code point plus 1; 0 is the place before a text.
+SYMBOL_BITS = 21
+SYMBOLS = 0x110000
+#: Symbols in a packed number; an n-gram is two, the earlier symbols in ``head``, the latest in ``gram``.
+PACKED = 3
 #: N-grams that are broadcast at once (16 bytes each).
 RANGE = 1 << 22
 #: The folds of the texts; the model of a fold counts all others.
@@ -60,71 +63,96 @@ class Model(NamedTuple):
 
 
 def symbols(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code points in ``SYMBOL_BITS`` bits (those beyond are folded; 0 is the place before a text)
-    and the bounds of the rows."""
+    """The symbols of a slice and the bounds of the rows."""
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     starts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[bounds]
-    half = SYMBOLS >> 1
-    folded = np.where(points < half, points, half + (points * np.uint32(2654435761) >> np.uint32(16)) % half)
-    return np.maximum(folded, 1).astype(np.int64), starts
+    return points.astype(np.int64) + 1, starts
 
 
-def ngrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The packed n-gram that ends at each character, the latest symbol in the lowest bits."""
+def ngrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-gram that ends at each character (head and gram, the latest symbol in the lowest bits), and
+    the bounds of the rows."""
     points, starts = symbols(data, bounds)
     n = len(points)
     depth = np.arange(n) - np.repeat(starts[:-1], np.diff(starts))
-    keys = points.copy()
+    head, gram = np.zeros(n, np.int64), points.copy()
     for k in range(1, min(ORDER, n)):
-        keys[k:] |= np.where(depth[k:] >= k, points[: n - k], 0) << (SYMBOL_BITS * k)
-    return keys, starts
+        part, place = (gram, k) if k < PACKED else (head, k - PACKED)
+        part[k:] |= np.where(depth[k:] >= k, points[: n - k], 0) << (SYMBOL_BITS * place)
+    return head, gram, starts
 
 
-def gram_hashes(lang: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return mix(mix(lang.astype(np.uint64)) + keys.astype(np.uint64))
+def gram_hashes(lang: np.ndarray | int, head: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    return mix(mix(mix(np.atleast_1d(lang).astype(np.uint64)) + head.astype(np.uint64)) + gram.astype(np.uint64))
 
 
-def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([k for k, _ in held])
-    counts = np.concatenate([c for _, c in held])
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts[order], first)
+class Counts(NamedTuple):
+    """N-grams in the order of their hashes, and their counts."""
+
+    hashes: np.ndarray
+    head: np.ndarray
+    gram: np.ndarray
+    n: np.ndarray
+
+
+def _summed(parts: list[Counts]) -> Counts:
+    hashes, head, gram, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    return Counts(hashes[first], head[order[first]], gram[order[first]], np.add.reduceat(n[order], first))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+    held: dict[tuple[int, int], list[Counts]] = {}
     size = 0
     for batch in batches:
         for part, data, bounds in slices(batch):
             if not len(data):
                 continue
-            grams, starts = ngrams(data, bounds)
+            head, gram, starts = ngrams(data, bounds)
+            hashes = gram_hashes(0, head, gram)
             rows: dict[tuple[int, int], list[int]] = {}
             for r, of in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
                 if starts[r + 1] > starts[r]:
                     rows.setdefault(of, []).append(r)
             for of, mine in rows.items():
-                keys, counts = np.unique(np.concatenate([grams[starts[r] : starts[r + 1]] for r in mine]), return_counts=True)
-                held.setdefault(of, []).append((keys, counts))
-                size += len(keys)
+                at = np.concatenate([np.arange(starts[r], starts[r + 1]) for r in mine])
+                at = at[np.argsort(hashes[at])]
+                first = np.flatnonzero(np.concatenate([[True], hashes[at[1:]] != hashes[at[:-1]]]))
+                n = np.diff(np.append(first, len(at)))
+                held.setdefault(of, []).append(Counts(hashes[at[first]], head[at[first]], gram[at[first]], n))
+                size += len(first)
             if size > HELD:
                 held = {of: [_summed(parts)] for of, parts in held.items()}
                 size = 0
     for (lang, fold), parts in held.items():
-        keys, counts = _summed(parts)
-        for low in range(0, len(keys), 100_000):
-            part = slice(low, low + 100_000)
-            n = len(keys[part])
+        _, *columns = _summed(parts)
+        for low in range(0, len(columns[0]), 100_000):
+            made = [pa.array(c[low : low + 100_000].astype(np.int64)) for c in columns]
+            n = len(made[0])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, lang)), pa.array(np.full(n, fold, np.int32)), pa.array(keys[part]), pa.array(counts[part].astype(np.int64))],
-                names=["lang", "fold", "gram", "n"],
+                [pa.array(np.full(n, lang)), pa.array(np.full(n, fold, np.int32)), *made], names=["lang", "fold", "head", "gram", "n"]
             )
 
 
+GRAM, CONTEXT, SUFFIX = ("head", "gram"), ("context_head", "context"), ("suffix_head", "suffix")
+
+
+def latest(n: int) -> tuple[Column, Column]:
+    """Head and gram of the latest n symbols of an n-gram."""
+    masks = [F.lit((1 << (SYMBOL_BITS * min(max(k, 0), PACKED))) - 1) for k in (n - PACKED, n)]
+    return tuple(F.col(c).bitwiseAND(mask) for c, mask in zip(GRAM, masks))
+
+
+def earliest() -> tuple[Column, Column]:
+    """Head and gram of an n-gram without its latest symbol."""
+    moved = F.shiftleft(F.col("head").bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1)), SYMBOL_BITS * (PACKED - 1))
+    return F.shiftright("head", SYMBOL_BITS), F.shiftright("gram", SYMBOL_BITS).bitwiseOR(moved)
+
+
 def count_ngrams(df: DataFrame, text: str = "text", lang: Column | None = None, folds: tuple[str, ...] = ("",)) -> DataFrame:
-    """(lang, gram, n of each fold): how often each n-gram of the highest order stands in the texts
+    """(lang, head, gram, n of each fold): how often each n-gram of the highest order stands in the texts
     of a language (by its hash) outside the fold; a single fold stands for all texts."""
     one = len(folds) == 1
     return (
@@ -133,8 +161,8 @@ def count_ngrams(df: DataFrame, text: str = "text", lang: Column | None = None,
             (F.lit(-1) if one else fold_of(F.col(text))).alias("fold"),
             F.col(text).alias("text"),
         )
-        .mapInArrow(_count, "lang bigint, fold int, gram bigint, n bigint")
-        .groupBy("lang", "gram")
+        .mapInArrow(_count, "lang bigint, fold int, head bigint, gram bigint, n bigint")
+        .groupBy("lang", *GRAM)
         .agg(*(F.sum(F.when(F.col("fold") != k, F.col("n")).otherwise(0)).alias(f"n{m}") for k, m in enumerate(folds)))
     )
 
@@ -159,7 +187,7 @@ def _discounts(table: DataFrame, folds: tuple[str, ...]) -> DataFrame:
 
 
 def probabilities(counts: DataFrame, folds: tuple[str, ...] = ("",)) -> DataFrame:
-    """(lang, gram, n, p of each fold): interpolated modified Kneser-Ney probability of the last
+    """(lang, head, gram, n, p of each fold): interpolated modified Kneser-Ney probability of the last
     symbol of each n-gram, for each fold by the counts ``n`` outside it.
 
     Below the highest order, the count of a gram is the number of different symbols before it. A
@@ -167,32 +195,30 @@ def probabilities(counts: DataFrame, folds: tuple[str, ...] = ("",)) -> DataFram
     """
     tables = [counts]
     for n in range(ORDER - 1, 0, -1):
-        mask = (1 << (SYMBOL_BITS * n)) - 1
-        lower = tables[0].groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(
+        lower = tables[0].groupBy("lang", *(c.alias(name) for c, name in zip(latest(n), GRAM))).agg(
             *(F.sum((F.col(f"n{m}") > 0).cast("bigint")).alias(f"n{m}") for m in folds)
         )
         tables.insert(0, stored(lower, f"grams{n}"))
     p = None
     for order, table in enumerate(tables, start=1):
-        rows = table.join(F.broadcast(_discounts(table, folds)), "lang").withColumn("context", F.shiftright("gram", SYMBOL_BITS))
+        rows = table.join(F.broadcast(_discounts(table, folds)), "lang").withColumns(dict(zip(CONTEXT, earliest())))
         for m in folds:
             n = F.col(f"n{m}")
             discount = F.when(n == 0, 0.0).when(n == 1, F.col(f"d1{m}")).when(n == 2, F.col(f"d2{m}")).otherwise(F.col(f"d3{m}"))
             rows = rows.withColumn(f"off{m}", discount)
-        contexts = rows.groupBy("lang", "context").agg(
+        contexts = rows.groupBy("lang", *CONTEXT).agg(
             *(F.sum(f"n{m}").alias(f"total{m}") for m in folds), *(F.sum(f"off{m}").alias(f"rest{m}") for m in folds)
         )
-        rows = rows.join(contexts, ["lang", "context"])
+        rows = rows.join(contexts, ["lang", *CONTEXT])
         if p is not None:
-            mask = (1 << (SYMBOL_BITS * (order - 1))) - 1
-            back = p.select("lang", F.col("gram").alias("suffix"), *(F.col(f"p{m}").alias(f"back{m}") for m in folds))
-            rows = rows.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(mask))).join(back, ["lang", "suffix"])
+            back = p.select("lang", *(F.col(c).alias(name) for c, name in zip(GRAM, SUFFIX)), *(F.col(f"p{m}").alias(f"back{m}") for m in folds))
+            rows = rows.withColumns(dict(zip(SUFFIX, latest(order - 1)))).join(back, ["lang", *SUFFIX])
         made = []
         for m in folds:
             n, off, total, rest = (F.col(f"{c}{m}") for c in ("n", "off", "total", "rest"))
             lower_p = F.lit(1 / SYMBOLS) if p is None else F.col(f"back{m}")
             made += [n, F.when(total > 0, (n - off) / total + rest / total * lower_p).otherwise(lower_p).alias(f"p{m}")]
-        p = rows.select("lang", "gram", *made)
+        p = rows.select("lang", *GRAM, *made)
     return p
 
 
@@ -201,8 +227,8 @@ def entries(table: DataFrame, ranges: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, gram, *p = (batch.column(k).to_numpy() for k in range(2 + len(FOLDS)))
-            hashes = gram_hashes(lang, gram)
+            lang, head, gram, *p = (batch.column(k).to_numpy() for k in range(3 + len(FOLDS)))
+            hashes = gram_hashes(lang, head, gram)
             logs = [pa.array(np.log(x).astype(np.float32)) for x in p]
             yield pa.RecordBatch.from_arrays(
                 [pa.array((hashes % np.uint64(ranges)).astype(np.int32)), pa.array(hashes.view(np.int64)), *logs],
@@ -210,7 +236,7 @@ def entries(table: DataFrame, ranges: int) -> DataFrame:
             )
 
     schema = ", ".join(["part int, hash bigint", *(f"log_p{m} float" for m in FOLDS)])
-    return table.select("lang", "gram", *(f"p{m}" for m in FOLDS)).mapInArrow(run, schema)
+    return table.select("lang", *GRAM, *(f"p{m}" for m in FOLDS)).mapInArrow(run, schema)
 
 
 def train(df: DataFrame, text: str = "text", lang: str = "lang") -> tuple[DataFrame, int]:
@@ -228,12 +254,12 @@ def load(table: DataFrame, part: int) -> Model:
     return Model(hashes[order], np.stack([rows.column(f"log_p{m}").to_numpy()[order].astype(np.float32) for m in FOLDS], axis=1))
 
 
-def log_probabilities(model: Model, lang: np.ndarray, fold: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Those of the n-grams in this range, and 0 for those of other ranges."""
+def log_probabilities(model: Model, fold: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Those of the n-grams (by hash) in this range, and 0 for those of other ranges."""
     if not len(model.hashes):
-        return np.zeros(len(keys), np.float32)
+        return np.zeros(len(grams), np.float32)
     # each n-gram of a slice is sought once, in order
-    hashes, which = np.unique(gram_hashes(lang, keys), return_inverse=True)
+    hashes, which = np.unique(grams, return_inverse=True)
     at = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
     found = np.where((model.hashes[at] == hashes)[:, None], model.log_p[at], np.float32(0))
     return found[which, fold]
@@ -290,10 +316,10 @@ def add_range(df: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, bounds in slices(batch, "_text"):
-                keys, starts = ngrams(data, bounds)
+                head, gram, starts = ngrams(data, bounds)
                 n = np.diff(starts)
                 lang, fold = (np.repeat(part.column(c).to_numpy(), n) for c in ("_lang", "_fold"))
-                sums = np.concatenate([[0.0], np.cumsum(log_probabilities(shared.value, lang, fold, keys), dtype=np.float64)])
+                sums = np.concatenate([[0.0], np.cumsum(log_probabilities(shared.value, fold, gram_hashes(lang, head, gram)), dtype=np.float64)])
                 made = {"_sum": pa.array(part.column("_sum").to_numpy() + sums[starts[1:]] - sums[starts[:-1]]), "_length": pa.array(n.astype(np.int64))}
                 yield pa.RecordBatch.from_arrays([made.get(c, part.column(c)) for c in part.schema.names], names=part.schema.names)
 

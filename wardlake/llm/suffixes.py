@@ -201,7 +201,10 @@ def runs(docs: DataFrame, length: int, bitmap) -> DataFrame:
                 if not len(chosen):
                     continue
                 low, high, anchor = found.low[chosen], found.high[chosen], found.anchor[chosen]
-                hashes = mix(rolling(low, high + length) + (anchor - low).astype(_U64) * _U64(0x9E3779B97F4A7C15))
+                # by halves, which are short enough for sums to tell them apart
+                middle, end = (low + high + length) // 2, high + length
+                hashes = mix(rolling(low, middle) + (anchor - low).astype(_U64) * _U64(0x9E3779B97F4A7C15))
+                hashes = mix(hashes + rolling(middle, end) + (end - low).astype(_U64))
                 values, first, back, n = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
                 raw = data.tobytes()
                 digests = []
@@ -219,8 +222,8 @@ def runs(docs: DataFrame, length: int, bitmap) -> DataFrame:
                 offsets = pa.array(np.arange(0, 16 * len(back) + 1, 16, dtype=np.int32)).buffers()[1]
                 cls = pa.Array.from_buffers(pa.binary(), len(back), [None, offsets, pa.py_buffer(all_digests.tobytes())])
                 row = np.searchsorted(bounds, low, side="right") - 1
-                text_hash = rolling(bounds[:-1], bounds[1:]).view(np.int64)[row]
-                yield filled({"doc_id": part.column(0).take(pa.array(row)), "text_hash": pa.array(text_hash), "low": pa.array(low - bounds[row]), "cls": cls}, len(row))
+                of = pa.array(row)
+                yield filled({"doc_id": part.column(0).take(of), "text_hash": part.column(2).take(of), "low": pa.array(low - bounds[row]), "cls": cls}, len(row))
                 if size > RUN_BYTES:
                     yield from flush(held)
                     size = 0
@@ -452,7 +455,7 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[t
 def without_repeats(df: DataFrame, length: int = LENGTH, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(doc_id, n_bytes, kept, spans) for every row of (doc_id, text); spans are (start, end) in bytes."""
     spark = df.sparkSession
-    docs = df.select("doc_id", "text")
+    docs = df.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     bitmap = spark.sparkContext.broadcast(repeated_grams(docs, length, filter_bits))
     table = stored(runs(docs, length, bitmap), "runs")
     repeats = repeated_strings(table.where("run is not null"), length)
@@ -462,12 +465,6 @@ def without_repeats(df: DataFrame, length: int = LENGTH, filter_bits: int = FILT
     found = stored(found, "spans")
     drop_stored(table)
 
-    def hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, bounds in slices(batch):
-                hashes = Rolling(data)(bounds[:-1], bounds[1:]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hashes)], names=["doc_id", "text", "text_hash"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
@@ -482,9 +479,8 @@ def without_repeats(df: DataFrame, length: int = LENGTH, filter_bits: int = FILT
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.mapInArrow(hash_texts, f"doc_id {id_type}, text string, text_hash bigint")
     right = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans").hint("shuffle_hash")
-    joined = texts.join(right, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    joined = docs.join(right, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
         run, f"doc_id {id_type}, n_bytes bigint, kept binary, spans array<struct<start:bigint,end:bigint>>"
     )
