@@ -166,6 +166,12 @@ def test_term_counts_take_every_word(spark):
     assert {r.termo: int(r.score_tfidf) for r in counts.collect()} == {f"palavra{k:03}": 1 + (k == 150) for k in range(200)}
 
 
+def test_term_counts_beyond_a_million(spark):
+    texts = spark.range(1001).select(F.lit("neutro").alias("sentimento"), F.repeat(F.lit("fila "), F.lit(1000)).alias("texto_limpo"))
+    ranked = term_ranks(term_counts(texts)).collect()
+    assert [(r.termo, int(r.score_tfidf), r.rank_termo) for r in ranked] == [("fila", 1_001_000, 1)]
+
+
 def test_most_frequent_terms_of_a_class(spark):
     rows = [("c", f"t{k:05}", 1 + k % 50, 1) for k in range(8000)]
     counts = spark.createDataFrame(rows, "_class string, _term string, _occurrences int, _df int")

@@ -23,7 +23,7 @@ def term_counts(
 ) -> DataFrame:
     """The most frequent (class, term) pairs of all words of the texts.
 
-    Ties at the cut are broken by class and term. A long stop list is a frame of one column; it is
+    Ties at the cut are broken by class and term. The score's type holds any count. A long stop list is a frame of one column; it is
     left out by an anti-join after counting, so that it meets each distinct term once.
     """
     term = comments.select(label, F.explode(words(F.lower(text), longer_than + 1)).alias("termo"))
@@ -33,7 +33,7 @@ def term_counts(
     if listed:
         counted = counted.join(stopwords.toDF("termo").distinct(), "termo", "left_anti")
     first = counted.orderBy(F.desc("_n"), label, "termo").limit(top)
-    return first.select(label, "termo", F.col("_n").cast("decimal(12,6)").alias("score_tfidf"))
+    return first.select(label, "termo", F.col("_n").cast("decimal(25,6)").alias("score_tfidf"))
 
 
 def term_ranks(terms: DataFrame, label: str = "sentimento", score: str = "score_tfidf") -> DataFrame:
