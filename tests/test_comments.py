@@ -1,6 +1,7 @@
 """Text rules, comment layers and terms."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from test_cleaning import mapped
 from wardlake.functions import defaults as d
 from wardlake.functions import text as t
+from wardlake.operators import terms
 from wardlake.operators.dedup import keep_first
 from wardlake.operators.terms import most_frequent, term_counts, term_ranks, tfidf_terms
 from wardlake.plans.comments import comments_silver, comments_staging, sentiment_gold
@@ -186,6 +188,23 @@ def test_tfidf_joins_the_vocabulary(spark):
     assert "ResolvedHint" not in text and "array_agg" not in text and "collect_list" not in text
 
 
+def test_tfidf_tasks_follow_the_pairs(spark, monkeypatch):
+    """Texts are counted before they are shuffled, and no task gets more than a set number of pairs."""
+    monkeypatch.setattr(terms, "PAIRS_AT_ONCE", 40)
+    rng = random.Random(3)
+    docs = [" ".join(rng.choices([f"termo{k}" for k in range(12)], k=30)) for _ in range(100)]
+    df = spark.createDataFrame([("positivo", text) for text in docs], "sentimento string, texto_limpo string")
+    scored = tfidf_terms(df, top=8)
+    got = {r.termo: r.score_tfidf for r in scored.collect()}
+    want = brute_tfidf(docs, 8, ())
+    assert got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    tasks = re.search(r"hashpartitioning\(_class#\d+, _doc#\d+L, (\d+)\), REPARTITION_BY_NUM", plan)
+    pairs = sum(w in text.split() for text in docs for w in want)
+    assert int(tasks.group(1)) == pairs // 40 + 1
+    assert "regexp_extract_all" not in plan
+
+
 def test_comment_staging_types(spark):
     df = spark.createDataFrame([("1", "p", "a", "2024-01-02", "5", "excelente equipe aqui", 1)], COMMENT)
     staged = comments_staging(sentiment_gold(comments_silver(df, [F.asc("pos")])))

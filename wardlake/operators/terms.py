@@ -62,41 +62,41 @@ def tfidf_terms(
     ``ln((1 + N) / (1 + df)) + 1`` over all its documents; each document's weights are
     normalized over the vocabulary.
 
-    The frame is read three times, so pass a stored one. The first pass counts terms. The
-    second joins the words of each document with the vocabulary, a frame like any other, and
-    only the pairs that match go on: their counts, weights and norms need one shuffle by
-    document. Neither the vocabulary nor ``top`` is bounded by a task's memory.
+    The words of each document are counted within its row, and these bags are stored. One pass
+    over them counts the terms. The second joins them with the vocabulary, a stored frame like
+    any other, and only the pairs that match are shuffled, to have each document's norm. The sum
+    of document frequencies is the number of these pairs, and so gives the number of tasks, none
+    of which gets much more than ``PAIRS_AT_ONCE``. Neither the vocabulary nor ``top`` is bounded
+    by a task's memory. The frame is read a second time to count the documents of the classes, so
+    pass a stored one.
     """
     chosen = docs.filter(F.col(label).isin(*classes)).select(F.col(label).alias("_class"), F.col(text).alias("_text"))
-    sizes = chosen.groupBy("_class").agg(F.count(F.lit(1)).alias("_docs")).filter("_docs >= 2")
-    listed = None if vocabulary is None else vocabulary.toDF("_class", "_term").distinct()
-
-    # One pass counts both: each word of a text, then each distinct word of it once more.
-    bags = chosen.select("_class", words(F.lower("_text"), 2).alias("_words"))
-    unfolded = bags.select(
+    sorted_words = chosen.select(
         "_class",
-        F.size("_words").alias("_n"),
-        F.posexplode(F.concat("_words", F.array_distinct("_words"))).alias("_at", "_term"),
+        F.monotonically_increasing_id().alias("_doc"),
+        F.sort_array(words(F.lower("_text"), 2)).alias("_words"),
     )
+    bags = publish(counted_words(sorted_words, "_words", "_bag"), "bags").frame
+    pairs = bags.select("_class", "_doc", F.inline("_bag").alias("_term", "_n"))
     if stopwords:
-        unfolded = unfolded.filter(~F.col("_term").isin(*stopwords))
-    if listed is not None:
-        unfolded = unfolded.join(listed, ["_class", "_term"], "left_semi")
-    counts = unfolded.groupBy("_class", "_term").agg(
-        F.count_if(F.col("_at") < F.col("_n")).alias("_occurrences"),
-        F.count_if(F.col("_at") >= F.col("_n")).alias("_df"),
-    )
-    kept = counts if listed is not None else most_frequent(counts, top)
+        pairs = pairs.filter(~F.col("_term").isin(*stopwords))
+
+    counts = pairs.groupBy("_class", "_term").agg(F.sum("_n").alias("_occurrences"), F.count(F.lit(1)).alias("_df"))
+    if vocabulary is None:
+        kept = most_frequent(counts, top)
+    else:
+        kept = counts.join(vocabulary.toDF("_class", "_term").distinct(), ["_class", "_term"], "left_semi")
+    weighted = publish(kept.select("_class", "_term", "_df"), "vocabulary").frame
+
+    sizes = chosen.agg(F.array(*[F.count_if(F.col("_class") == c) for c in classes]).cast("array<bigint>")).scalar()
+    listed_classes = F.array(*[F.lit(c) for c in classes]).cast("array<string>")
+    n_docs = F.get(sizes, (F.array_position(listed_classes, F.col("_class")) - 1).cast("int"))
     idf = F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1
-    weighted = kept.join(sizes, "_class").select("_class", "_term", idf.alias("_idf"))
-
+    n_pairs = weighted.agg(F.sum("_df")).first()[0] or 0
     found = (
-        chosen.select("_class", F.monotonically_increasing_id().alias("_doc"), words(F.lower("_text"), 2).alias("_words"))
-        .select("_class", "_doc", F.explode("_words").alias("_term"))
-        .join(weighted, ["_class", "_term"])
-        .repartition("_class", "_doc")  # serves the counts, and the norms after them
-        .groupBy("_class", "_doc", "_term")
-        .agg((F.count(F.lit(1)) * F.first("_idf")).alias("_weight"))
+        pairs.join(weighted.withColumn("_docs", n_docs).filter("_docs >= 2"), ["_class", "_term"])
+        .select("_class", "_doc", "_term", (F.col("_n") * idf).alias("_weight"))
+        .repartition(n_pairs // PAIRS_AT_ONCE + 1, "_class", "_doc")
     )
     norm = F.sqrt(F.sum(F.col("_weight") * F.col("_weight")).over(Window.partitionBy("_class", "_doc")))
     return (
@@ -107,6 +107,20 @@ def tfidf_terms(
     )
 
 
+def counted_words(df: DataFrame, words: str, name: str) -> DataFrame:
+    """The frame with each row's distinct words and their numbers, ``name``, instead of its sorted words."""
+    sorted_words = F.col(words)
+    begins = lambda word, k: F.when((k == 0) | (word != F.get(sorted_words, k - 1)), k)
+    kept = [c for c in df.columns if c != words]
+    started = df.select(*df.columns, F.array_compact(F.transform(sorted_words, begins)).alias("_starts"))
+    end = lambda k: F.coalesce(F.get("_starts", k + 1), F.size(sorted_words))
+    counted = lambda at, k: F.struct(F.get(sorted_words, at).alias("_term"), (end(k) - at).alias("_n"))
+    return started.select(*kept, F.transform("_starts", counted).alias(name))
+
+
+#: Pairs of a document and a term that one task sorts by document.
+PAIRS_AT_ONCE = 500_000
+
 #: Most rows of a class that one task may sort.
 SORTED_AT_ONCE = 100_000
 
