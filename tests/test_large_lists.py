@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardlake.functions.text import lexicon_hits
-from wardlake.operators import quality
+from wardlake.operators import lexicon, quality
 from wardlake.operators.lexicon import lexicon_counts, tokens_with_words
 from wardlake.operators.terms import term_counts
 from wardlake.sources import writers
+from wardlake.sources.storage import publish
 
 
 def test_lexicon_join_equals_trying_all_words(spark):
@@ -35,6 +36,22 @@ def test_lexicon_of_many_words(spark):
     assert tokens_with_words(tokens, empty).count() == 20_000
 
 
+def test_tokens_are_listed_under_wanted_grams_only(spark, monkeypatch):
+    """What is stored follows the grams that the lexicon shares with the tokens, not all grams of them."""
+    rows = {}
+
+    def seen(df, name):
+        stored = publish(df, name)
+        rows[name] = stored.rows
+        return stored
+
+    monkeypatch.setattr(lexicon, "publish", seen)
+    tokens = spark.range(3000).select(F.concat(F.lit("palavra"), F.col("id")).alias("t"))
+    few = spark.createDataFrame([("vra77",), ("xyz",)], "w string")
+    assert tokens_with_words(tokens, few).count() == sum(str(k).startswith("77") for k in range(3000))
+    assert rows["tokens"] == 3000 and rows["grams"] < 3 * 3000
+
+
 def test_long_stop_list(spark):
     rows = [("a", "alpha beta gamma alpha"), ("b", "alpha delta"), ("a", "word77 word78x")]
     texts = spark.createDataFrame(rows, "sentimento string, texto_limpo string")
