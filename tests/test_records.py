@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from wardlake.sources import readers, records
+from workload.queries import QUERIES
 
 PIECES = ["a", "é", ";", '"', '""', "\n", "\r\n", " ", "x;y", '"q"', "\n\n", "text ", "0"]
 
@@ -88,6 +89,47 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_files_without_a_crossing_record_move_no_split(spark, tmp_path):
+    """Split sizes follow the bytes of all files of a read, so a read of some of them would see other blocks."""
+    (tmp_path / "a.csv").write_text("k;v\n" + "".join(f'{k};"{"line " * 9}\nend {k}"\n' for k in range(900)))
+    (tmp_path / "b.csv").write_text("k;v\n" + "".join(f"{900 + k};{'x' * 50}\n" for k in range(900)))
+    paths = [str(tmp_path / f"{n}.csv") for n in "ab"]
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        for parts in (5, 7, 11, 16):
+            spark.conf.set("spark.sql.files.minPartitionNum", str(parts))
+            got = readers.read_delimited(spark, paths, multiline=True)
+            assert sorted(int(r.k) for r in got.collect()) == list(range(1800))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_blocks_that_change_between_the_passes(spark, tmp_path, monkeypatch):
+    """Cores that come or go move the splits; the records are read again from the blocks there are."""
+    (tmp_path / "a.csv").write_text("k;v\n" + "".join(f'{k};"{"line " * 9}\nend {k}"\n' for k in range(900)))
+    parts, read = iter(("4", "9")), records._lines
+
+    def changing(*args):
+        spark.conf.set("spark.sql.files.minPartitionNum", next(parts, "9"))
+        return read(*args)
+
+    monkeypatch.setattr(records, "_lines", changing)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = readers.read_delimited(spark, str(tmp_path / "a.csv"), multiline=True)
+        assert sorted(int(r.k) for r in got.collect()) == list(range(900))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_texts_that_look_missing_come_back(spark, tmp_path):
+    rows = [(1, "NA"), (2, "null"), (3, None), (4, "a\r\nb\n"), (5, "nan")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(map(tuple, QUERIES["q_csv_text_roundtrip"](spark, str(tmp_path)).collect())) == rows
+
+
 def test_states_of_lines():
     rng = random.Random(1)
     for _ in range(300):

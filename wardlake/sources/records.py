@@ -8,8 +8,11 @@ prefix combination over the blocks tells where each of them truly starts. With t
 pass joins the lines of every block to records. A record that crosses the end of a block comes as pieces
 from its blocks; only these are shuffled. Records are parsed by Spark's own delimited parser.
 
-The driver holds one row per block, as it does for the splits of any scan. A file is read twice,
-and a third time where a record crosses the end of one of its blocks.
+Where Spark splits a file depends on the bytes of all files of a read and on the cores at hand. So
+both passes read the same files, and the second one, which is stored, also tells its blocks: where
+they are not those of the first, because machines came or went meanwhile, both are read again.
+
+The driver holds one row per block, as it does for the splits of any scan. A file is read twice.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.sources.storage import publish
+
 QUOTE = '"'
 
 
@@ -155,24 +160,24 @@ def _joined(lines: pa.Array, starts: np.ndarray) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(bounds, lines), "\n")
 
 
-def _assembler(crossing: Crossing, pieces: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Whole records of the blocks, without each file's first one, or the pieces of records that cross their ends.
+def _assembler(crossing: Crossing) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Whole records of the blocks, without each file's first one, and the pieces of records that cross their ends.
 
-    Rows are (path, start, row, record); ``start`` is that of the block where the record started and
-    ``row`` its place there, or the piece's block.
+    Rows are (kind, path, start, row, record); ``start`` is that of the block where the record started and
+    ``row`` its place there, or the piece's block. A row of its own names each block.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, inside, rows, held, head = None, False, 0, [], False
 
-        def made(start: int, records: pa.Array, first: int) -> Iterator[pa.RecordBatch]:
+        def made(start: int, records: pa.Array, first: int, kind: str = RECORD) -> Iterator[pa.RecordBatch]:
             n = len(records)
             places = np.arange(first, first + n)
-            if not pieces and start == 0 and first == 0 and n:  # the header
+            if kind == RECORD and start == 0 and first == 0 and n:  # the header
                 records, places, n = records.slice(1), places[1:], n - 1
             if n:
-                columns = [pa.repeat(pa.scalar(key[0]), n), pa.array(np.full(n, start)), pa.array(places), records]
-                yield pa.RecordBatch.from_arrays(columns, names=["path", "start", "row", "record"])
+                columns = [pa.repeat(pa.scalar(kind), n), pa.repeat(pa.scalar(key[0]), n), pa.array(np.full(n, start)), pa.array(places), records]
+                yield pa.RecordBatch.from_arrays(columns, names=["kind", "path", "start", "row", "record"])
 
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             """The record held at the end of a block, or when the next one starts."""
@@ -180,16 +185,13 @@ def _assembler(crossing: Crossing, pieces: bool) -> Callable[[Iterator[pa.Record
             if held:
                 whole = pa.array(["\n".join(held)], pa.string())
                 if head:
-                    if pieces:
-                        yield from made(crossing.starts_inside[key], whole, key[1])
+                    yield from made(crossing.starts_inside[key], whole, key[1], PIECE)
                 elif last and key in crossing.ends_inside:
                     if key[1] == 0 and rows == 0:
                         raise ValueError(f"the header of {key[0]} does not end within the first block")
-                    if pieces:
-                        yield from made(key[1], whole, key[1])
+                    yield from made(key[1], whole, key[1], PIECE)
                 else:
-                    if not pieces:
-                        yield from made(key[1], whole, rows)
+                    yield from made(key[1], whole, rows)
                     rows += 1
             held, head = [], False
 
@@ -200,6 +202,7 @@ def _assembler(crossing: Crossing, pieces: bool) -> Callable[[Iterator[pa.Record
                     yield from flush(True)
                     key, rows = (path, start), 0
                     inside = head = key in crossing.starts_inside
+                    yield from made(start, pa.array([""]), start, BLOCK)
                 after = _states(outside[low:high], inner[low:high], inside)
                 begins = np.flatnonzero(~np.concatenate([[inside], after[:-1]]))
                 lines = batch.column(4).slice(low, high - low)
@@ -211,8 +214,7 @@ def _assembler(crossing: Crossing, pieces: bool) -> Callable[[Iterator[pa.Record
                 yield from flush(False)
                 done = _joined(lines.slice(int(begins[0]), int(begins[-1] - begins[0])), begins[:-1] - begins[0])
                 if len(begins) > 1:
-                    if not pieces:
-                        yield from made(start, done, rows)
+                    yield from made(start, done, rows)
                     rows += len(begins) - 1
                 held = lines.slice(int(begins[-1])).to_pylist()
         yield from flush(True)
@@ -220,25 +222,36 @@ def _assembler(crossing: Crossing, pieces: bool) -> Callable[[Iterator[pa.Record
     return run
 
 
-_RECORDS = "path string, start bigint, row bigint, record string"
+RECORD, PIECE, BLOCK = "record", "piece", "block"
+_RECORDS = "kind string, path string, start bigint, row bigint, record string"
+#: How often files are read again when the blocks change between the passes.
+ATTEMPTS = 5
+
+
+def _assembled(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str) -> DataFrame:
+    """Records and pieces, stored, from two passes that saw the same blocks."""
+    kinds = "path string, start bigint, from_outside boolean, from_inside boolean, closes boolean"
+    for _ in range(ATTEMPTS):
+        flags = _lines(spark, paths, sep, encoding).select("path", "start", "outside", "inside")
+        blocks = [Block(*row) for row in flags.mapInArrow(_fold, kinds).collect()]
+        lines = _lines(spark, paths, sep, encoding)
+        stored = publish(lines.mapInArrow(_assembler(combine(blocks)), _RECORDS), "records").frame
+        seen = stored.where(F.col("kind") == BLOCK).select("path", "start").collect()
+        if sorted(map(tuple, seen)) == sorted(block[:2] for block in blocks):
+            return stored
+    raise RuntimeError(f"the blocks of the files changed in each of {ATTEMPTS} readings")
 
 
 def read_records(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], sep: str, encoding: str) -> DataFrame:
     """The named columns of all records but each file's first, and ``_place``: where the record
     starts (path, block, row)."""
-    lines = _lines(spark, paths, sep, encoding)
-    flags = lines.select("path", "start", "outside", "inside")
-    kinds = "path string, start bigint, from_outside boolean, from_inside boolean, closes boolean"
-    crossing = combine([Block(*row) for row in flags.mapInArrow(_fold, kinds).collect()])
-    records = lines.mapInArrow(_assembler(crossing, pieces=False), _RECORDS)
-    if crossing.ends_inside:
-        files = sorted({path for path, _ in crossing.ends_inside})
-        cut = _lines(spark, files, sep, encoding).mapInArrow(_assembler(crossing, pieces=True), _RECORDS)
-        ordered = F.array_sort(F.array_agg(F.struct("row", "record")))
-        whole = F.array_join(F.transform(ordered, lambda p: p["record"]), "\n")
-        last = F.lit((1 << 63) - 1).alias("row")  # nothing starts behind it in its block
-        joined = cut.groupBy("path", "start").agg(whole.alias("record")).select("path", "start", last, "record")
-        records = records.unionByName(joined)
+    stored = _assembled(spark, paths, sep, encoding)
+    records = stored.where(F.col("kind") == RECORD).select("path", "start", "row", "record")
+    ordered = F.array_sort(F.array_agg(F.struct("row", "record")))
+    whole = F.array_join(F.transform(ordered, lambda p: p["record"]), "\n")
+    last = F.lit((1 << 63) - 1).alias("row")  # nothing starts behind it in its block
+    crossed = stored.where(F.col("kind") == PIECE).groupBy("path", "start").agg(whole.alias("record"))
+    records = records.unionByName(crossed.select("path", "start", last, "record"))
     text = F.regexp_replace("record", r"\r\z", "")
     fields = ", ".join(f"c{k} STRING" for k in range(len(columns)))
     options = {"sep": sep, "quote": QUOTE, "escape": QUOTE, "multiLine": "true", "header": "false"}
