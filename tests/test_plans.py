@@ -29,6 +29,12 @@ def test_small_dimensions_are_broadcast_large_ones_are_not(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_the_source_is_summed_by_hashing(spark, sf_dir):
+    grain = star.admissions_grain(a.staged_admissions(spark, sf_dir))
+    text = grain._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in text[text.rindex("Exchange hashpartitioning") :]
+
+
 def test_comment_rows_never_meet_in_one_partition(spark, sf_dir):
     fact = star.fact_comments(a.staged_comments(spark, sf_dir))
     text = fact._jdf.queryExecution().executedPlan().toString()

@@ -16,6 +16,7 @@ from wardlake.plans.admissions import date_parts
 from wardlake.sources.storage import publish
 
 NATURAL_KEYS = ("data_internacao", "especialidade_padrao", "faixa_etaria", "sexo", "idade", "municipio_residencia")
+ATTRIBUTES = ("grupo_especialidade", "codigo_municipio_ibge", "capital_interior")
 FACT_KEYS = ("id_tempo", "id_especialidade", "id_paciente", "id_municipio")
 
 
@@ -32,10 +33,14 @@ def admissions_grain(staging: DataFrame) -> DataFrame:
     Everything in the star is a function of this frame, which is bounded by the
     combinations of the keys rather than by the rows of the source. Attributes that should
     depend on a key are reduced here, so that a row is a row of the fact.
+
+    The source is summed by keys and attributes, which Spark does by hashing; the least of a
+    text it finds by sorting, so that is left to these sums.
     """
     keyed = staging.withColumn("idade", c.age_key(F.col("idade")))
-    return keyed.groupBy(*NATURAL_KEYS).agg(
-        F.sum("numero_internacoes").alias("qtd_internacoes"),
+    summed = keyed.groupBy(*NATURAL_KEYS, *ATTRIBUTES).agg(F.sum("numero_internacoes").alias("qtd_internacoes"))
+    return summed.groupBy(*NATURAL_KEYS).agg(
+        F.sum("qtd_internacoes").alias("qtd_internacoes"),
         F.min("grupo_especialidade").alias("grupo_especialidade"),
         _real_code(),
         F.min("capital_interior").alias("capital_interior"),
