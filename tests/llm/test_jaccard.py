@@ -13,6 +13,7 @@ from edge import edge, edge_rows, nothing
 from wardlake.llm import jaccard
 from wardlake.llm.graph import components
 from wardlake.llm.queries import QUERIES
+from wardlake.llm.stored import stored
 
 
 def plain_set(text, size):
@@ -81,6 +82,26 @@ def test_edges(spark):
     assert jaccard.near_duplicates(nothing(spark), jaccard.Join(3, 90)).count() == 0
 
 
+def test_large_steps_are_deleted(spark, sf_dir, monkeypatch):
+    made = []
+
+    def recorded(df, name):
+        made.append((name, stored(df, name)))
+        return made[-1][1]
+
+    monkeypatch.setattr(jaccard, "stored", recorded)
+    assert QUERIES["op3_jaccard_join"](spark, sf_dir).count()
+    hadoop = spark._jsparkSession.sessionState().newHadoopConf()
+    there = set()
+    for name, df in made:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent()
+        if folder.getFileSystem(hadoop).exists(folder):
+            there.add(name)
+    assert "texts" in there
+    # whole prefixes, sketches of all classes, and members of sets
+    assert not there & {"published", "classes", "shared", "sets"}
+
+
 def test_one_of_each(spark):
     out = jaccard.one_of_each(edge(spark), jaccard.Join(3, 90))
     assert out.columns == edge(spark).columns

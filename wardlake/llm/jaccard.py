@@ -179,34 +179,35 @@ def published(docs: DataFrame, join: Join, order: np.ndarray) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, chosen: DataFrame, join: Join) -> DataFrame:
-    """(k, members) of the chosen classes (k, cls, doc_id), from the texts (doc_id, text)."""
+    """(cls, members) of the chosen classes (cls, doc_id) at least, from the texts (doc_id, text).
+
+    Rows are dealt by class once; joins on ``cls`` need no other shuffle of them.
+    """
     size = join.size
     wanted = docs.sparkSession.sparkContext.broadcast(marked_bits(chosen.select(F.xxhash64("doc_id").alias("hash")), CHOICE_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = batch.column(2).to_numpy().view(np.uint64)
-            for part, data, bounds in slices(batch.filter(pa.array(is_marked(wanted.value, hashes)))):
+            for _, data, bounds in slices(batch.filter(pa.array(is_marked(wanted.value, hashes)))):
                 sets = shingles(data, bounds, size)
                 ends = np.concatenate([[0], np.cumsum(sets.counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(_digests(sets), pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(sets.hashes.view(np.int64)))],
-                    names=["doc_id", "cls", "members"],
+                    [pa.array(_digests(sets), pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(sets.hashes.view(np.int64)))],
+                    names=["cls", "members"],
                 )
 
     texts = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("hash"))
-    found = texts.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, cls binary, members array<bigint>")
-    own = chosen.select(F.col("cls").alias("_cls"), F.col("doc_id").alias("_id"), "k").hint("shuffle_hash")
-    joined = found.join(own, (F.col("cls") == F.col("_cls")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.dropDuplicates(["cls", "doc_id"]).select("k", "members")
+    return texts.mapInArrow(run, "cls binary, members array<bigint>").dropDuplicates(["cls"])
 
 
 def postings(classes: DataFrame, join: Join) -> DataFrame:
-    """(token, k, n, at, level, matches): published shingles that several classes have.
+    """(token, k, n, at, level, matches, root), stored: published shingles that several classes have.
 
     ``at`` is the place in the order of the class, ``level`` the number of required matches from
     which on the shingle belongs to the prefix, ``matches`` what the class asks for; shingles
-    beyond its prefix are left out, and so are classes that cannot reach their matches.
+    beyond its prefix are left out, and so are classes that cannot reach their matches. ``root`` is
+    the class itself.
     """
     percent = join.percent
     several = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
@@ -242,7 +243,10 @@ def postings(classes: DataFrame, join: Join) -> DataFrame:
     options = F.array_sort(F.array(*(F.struct(c.alias("cost"), F.lit(m).alias("m"), k.alias("held")) for c, m, k in zip(costs, MATCHES, counts))))
     chosen = rows.groupBy("k").agg(options[0].alias("best")).select("k", F.col("best.m").alias("matches"), F.col("best.held").alias("held"))
     chosen = chosen.where("held >= matches").drop("held")
-    return rows.drop("times").join(chosen, "k").where("level <= matches")
+    kept = rows.drop("times").join(chosen, "k").where("level <= matches").withColumn("root", F.col("k"))
+    kept = stored(kept, "postings")
+    drop_stored(rows)
+    return kept
 
 
 def sketched(pairs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
@@ -258,13 +262,16 @@ def sketched(pairs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where((100 + join.percent) * differing <= allowed).select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The pairs (a, b) whose sets are as similar as asked."""
-    a = sets.select(F.col("k").alias("a"), F.col("members").alias("_a"))
-    b = sets.select(F.col("k").alias("b"), F.col("members").alias("_b"))
+def verified(pairs: DataFrame, sets: DataFrame, names: DataFrame, join: Join) -> DataFrame:
+    """The pairs (a, b) whose sets are as similar as asked; names (k, cls) tell their digests."""
+    a = names.select(F.col("k").alias("a"), F.col("cls").alias("_ca"))
+    b = names.select(F.col("k").alias("b"), F.col("cls").alias("_cb"))
+    own = sets.select(F.col("cls").alias("_ca"), F.col("members").alias("_a"))
+    other = sets.select(F.col("cls").alias("_cb"), F.col("members").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
     union = F.size("_a") + F.size("_b") - both
-    return pairs.select("a", "b").join(a, "a").join(b, "b").where(100 * both >= join.percent * union).select("a", "b")
+    met = pairs.select("a", "b").join(a, "a").join(b, "b").join(own, "_ca").join(other, "_cb")
+    return met.where(100 * both >= join.percent * union).select("a", "b")
 
 
 def _sizes_fit(join: Join) -> Column:
@@ -341,16 +348,15 @@ def _between_roots(links: DataFrame, roots: DataFrame | None) -> DataFrame:
     return joined.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame | None:
-    """(node, root): components of classes (k, cls, n, sketch, prefix, doc_id) with a link; None
-    without links."""
-    every = stored(postings(classes, join).withColumn("root", F.col("k")), "postings")
-    sketches = stored(classes.select("k", "cls", "n", "sketch", "doc_id").join(every.select("k").distinct(), "k", "left_semi"), "sketches")
+def linked_classes(docs: DataFrame, every: DataFrame, sketches: DataFrame, join: Join) -> DataFrame | None:
+    """(node, root): components of the classes (k, cls, n, sketch, doc_id) with a link, by their
+    postings; None without links."""
 
-    def fetched(pairs: DataFrame) -> DataFrame:
-        """The sets of the classes in the pairs."""
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """The pairs that whole sets confirm."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-        return stored(sets_of(docs, stored(sketches.join(ends, "k", "left_semi").select("k", "cls", "doc_id"), "chosen"), join), "sets")
+        sets = sets_of(docs, sketches.join(ends, "k", "left_semi").select("cls", "doc_id"), join)
+        return stored(verified(pairs, sets, sketches.select("k", "cls"), join), "linked")
 
     # pairs with leaders, in rounds, by their sketches
     rows, tried = every, None
@@ -360,12 +366,10 @@ def linked_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame
         if roots is None:
             break
         tried = found if tried is None else tried.union(found)
-        rows = stored(_crossing(_rerooted(rows, roots)), "open")
-    links = None
-    if tried is not None:
-        sets = fetched(tried)
-        links = stored(verified(tried.distinct(), sets, join), "linked")
-        drop_stored(sets)
+        before, rows = rows, stored(_crossing(_rerooted(rows, roots)), "open")
+        if before is not every:
+            drop_stored(before)
+    links = None if tried is None else links_of(tried.distinct())
     # what could still join two true components
     roots = None if links is None else components(links)
     rows = _crossing(_rerooted(every, roots))
@@ -374,7 +378,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame
         left = left.join(tried.distinct(), ["a", "b"], "left_anti")
     left = stored(left, "crossing")
     if not left.isEmpty():
-        more = stored(verified(left, fetched(left), join), "linked")
+        more = links_of(left)
         links = more if links is None else links.union(more)
         roots = components(links)
     return roots
@@ -384,14 +388,18 @@ def near_duplicates(df: DataFrame, join: Join) -> DataFrame:
     """(doc_id, n_shingles, component_id, cls) for every row of (doc_id, text)."""
     docs = df.select("doc_id", "text")
     order = frequencies(docs, join.size)
-    texts = stored(published(docs, join, order), "published")
-    inked = texts.where("n > 0")
-    firsts = inked.groupBy("cls").agg(F.min("doc_id").alias("first"))
-    classes = inked.where(F.size("prefix") > 0).dropDuplicates(["cls"])
+    full = stored(published(docs, join, order), "published")
+    texts = stored(full.select("doc_id", "n", "cls"), "texts")
+    firsts = texts.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first"))
+    classes = full.where("n > 0").where(F.size("prefix") > 0).dropDuplicates(["cls"])
     classes = stored(classes.withColumn("k", F.monotonically_increasing_id()), "classes")
-    roots = linked_classes(docs, classes, join)
+    drop_stored(full)
+    every = postings(classes, join)
+    sketches = stored(classes.select("k", "cls", "n", "sketch", "doc_id").join(every.select("k").distinct(), "k", "left_semi"), "sketches")
+    drop_stored(classes)
+    roots = linked_classes(docs, every, sketches, join)
     if roots is not None:
-        own = roots.join(classes.select(F.col("k").alias("node"), "cls"), "node").select("cls", "root")
+        own = roots.join(sketches.select(F.col("k").alias("node"), "cls"), "node").select("cls", "root")
         least = own.join(firsts, "cls").groupBy("root").agg(F.min("first").alias("least"))
         firsts = firsts.join(own.join(least, "root"), "cls", "left").select("cls", F.least("first", "least").alias("first"))
     firsts = firsts.select(F.col("cls").alias("_cls"), "first")
