@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardlake.functions import defaults as d
 from wardlake.functions.text import words
 from wardlake.operators.keys import rank_within, running_total
-from wardlake.sources.storage import publish
+from wardlake.sources.storage import publish, TEXT_CODEC
 
 
 def term_counts(
@@ -76,7 +76,7 @@ def tfidf_terms(
         F.monotonically_increasing_id().alias("_doc"),
         F.sort_array(words(F.lower("_text"), 2)).alias("_words"),
     )
-    bags = publish(counted_words(sorted_words, "_words", "_bag"), "bags").frame
+    bags = publish(counted_words(sorted_words, "_words", "_bag"), "bags", TEXT_CODEC).frame
     pairs = bags.select("_class", "_doc", F.inline("_bag").alias("_term", "_n"))
     if stopwords:
         pairs = pairs.filter(~F.col("_term").isin(*stopwords))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.functions import cleaning as c
 from wardlake.functions import defaults as d
-from wardlake.operators.schema import is_text, normalize_columns, with_missing
+from wardlake.operators.quality import unused_name
+from wardlake.operators.schema import is_text, normalize_columns, period, with_missing
 
 STAGING_TYPES = {name: kind for name, kind, _ in d.ADMISSION_TABLE}
 STAGING_REQUIRED = tuple(name for name, _, required in d.ADMISSION_TABLE if required)
@@ -40,16 +41,26 @@ def admissions_silver(
     groups: Mapping[str, str] = d.SPECIALTY_GROUPS,
     capital_pattern: str = d.CAPITAL_PATTERN,
     formats: Sequence[str] = d.DATE_FORMATS,
+    years: Iterable[int] | None = None,
+    by_year: bool = False,
 ) -> DataFrame:
     """Cleaned admissions: one narrow pass, no shuffle; further input columns are kept.
 
-    Rows without a usable date are dropped. A missing or unusable count is one admission.
+    Rows without a usable date are dropped, and those of other than the given years. A missing
+    or unusable count is one admission. With ``by_year`` the rows are dealt out by year, for a
+    write by year: that is done before the columns are derived, as these are more than twice
+    as wide as what they come from.
     """
     df = normalize_columns(df, aliases)
     df = with_missing(df, {"codigo_municipio_ibge": d.UNKNOWN_CODE, "numero_internacoes": None})
-    typed = df.withColumns(
+    rows = df.withColumn("data_internacao", dated(df, "data_internacao", formats)).filter(F.col("data_internacao").isNotNull())
+    if years is not None:
+        rows = period(rows, "data_internacao", years)
+    year = unused_name("_ano", df.columns)
+    if by_year:
+        rows = rows.withColumn(year, F.year("data_internacao")).hint("rebalance", F.col(year)).drop(year)
+    typed = rows.withColumns(
         {
-            "data_internacao": dated(df, "data_internacao", formats),
             "_especialidade": c.stripped(F.col("especialidade_hospitalar")),
             "idade": c.whole_number(F.col("idade"), is_text(df, "idade")),
             "sexo": c.sex(F.col("sexo_paciente")),
@@ -61,7 +72,7 @@ def admissions_silver(
                 c.whole_number(F.col("numero_internacoes"), is_text(df, "numero_internacoes")), F.lit(1)
             ),
         }
-    ).filter(F.col("data_internacao").isNotNull())
+    )
     named = typed.withColumn("especialidade_padrao", c.specialty(F.col("_especialidade"), names))
     return named.drop("_especialidade").withColumns(
         {

@@ -13,7 +13,7 @@ from wardlake.functions import cleaning as c
 from wardlake.functions import defaults as d
 from wardlake.operators.keys import dense_id
 from wardlake.plans.admissions import date_parts
-from wardlake.sources.storage import publish
+from wardlake.sources.storage import publish, TEXT_CODEC
 
 NATURAL_KEYS = ("data_internacao", "especialidade_padrao", "faixa_etaria", "sexo", "idade", "municipio_residencia")
 ATTRIBUTES = ("grupo_especialidade", "codigo_municipio_ibge", "capital_interior")
@@ -141,7 +141,7 @@ def fact_comments(staging: DataFrame) -> DataFrame:
     by row. Only ids and row keys are sorted and numbered; the texts join them, so they cross
     the network once and are never sampled.
     """
-    rows = publish(staging.withColumn("_row", F.monotonically_increasing_id()), "comments").frame
+    rows = publish(staging.withColumn("_row", F.monotonically_increasing_id()), "comments", TEXT_CODEC).frame
     ids = rows.select(F.col("comment_id").alias("_id"), F.col("_row").alias("_key"))
     numbered = dense_id(ids, [F.asc_nulls_last("_id"), F.asc("_key")], "id_comentario")
     joined = numbered.join(rows, F.col("_key") == F.col("_row"))

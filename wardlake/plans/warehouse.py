@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame
 from wardlake.functions import defaults as d
 from wardlake.functions.text import Lexicon
 from wardlake.operators.quality import Watch
-from wardlake.operators.schema import period
 from wardlake.operators.terms import term_counts, term_ranks, tfidf_terms
 from wardlake.plans import admissions as adm
 from wardlake.plans import comments as com
 from wardlake.plans import marts
 from wardlake.plans.star import Star, build_star, fact_comments
+from wardlake.sources.storage import passing_steps, TEXT_CODEC
 from wardlake.sources.writers import write_parquet
 
 
@@ -37,18 +37,21 @@ def build_warehouse(
     columns and totals of the layers, seen while they were written. ``folder`` is any URI the cluster can write to; the
     silver admissions are also written below ``copy_to``, and ``sources``, the provenance of
     the files read, is kept with the layers.
+
+    Rows are dealt out by year once, for the silver admissions; the tables by year that are made
+    of these are written as the rows lie. Steps of a table are deleted when it is written.
     """
     spark = admissions.sparkSession
 
     def stored(df: DataFrame, name: str, partition_by: str | None = None, copy: bool = False) -> DataFrame:
         path = f"{folder}/{name}"
-        write_parquet(df, path, partition_by, f"{copy_to}/{name}" if copy and copy_to else None)
+        copied = f"{copy_to}/{name}" if copy and copy_to else None
+        write_parquet(df, path, partition_by, copied, dealt=partition_by is not None, codec=TEXT_CODEC)
         return spark.read.schema(df.schema).parquet(path)
 
     watch = Watch()
-    cleaned = adm.admissions_silver(watch.over(admissions, "bronze/internacoes"), **(silver_options or {}))
-    if years is not None:
-        cleaned = period(cleaned, "data_internacao", years)
+    bronze = watch.over(admissions, "bronze/internacoes")
+    cleaned = adm.admissions_silver(bronze, years=years, by_year=True, **(silver_options or {}))
     if sources is not None:
         stored(sources, "bronze/procedencia")
     silver = stored(watch.over(cleaned, "silver/internacoes"), "silver/internacoes", partition_by="ano", copy=True)
@@ -62,17 +65,19 @@ def build_warehouse(
     clean = stored(watch.over(com.comments_silver(watched, comment_order), "silver/comentarios"), "silver/comentarios")
     gold = stored(com.sentiment_gold(clean, lexicon), "gold/comentarios_sentimento")
     staged = stored(watch.over(com.comments_staging(gold), "staging/comentarios", com.STAGING_REQUIRED), "staging/comentarios")
+    with passing_steps(spark):
+        comment_facts = stored(fact_comments(staged), "olap/fato_sentimento_comentario")
+    with passing_steps(spark):
+        tfidf = stored(tfidf_terms(gold, stopwords=(*lexicon.words, *d.TFIDF_EXTRA_STOPWORDS)), "gold/termos_tfidf")
     tables = {
         "dim_tempo": stored(built.time, "olap/dim_tempo"),
         "dim_especialidade": stored(built.specialty, "olap/dim_especialidade"),
         "dim_paciente": stored(built.patient, "olap/dim_paciente"),
         "dim_municipio": stored(built.municipality, "olap/dim_municipio"),
         "fato_internacao": stored(watch.over(built.fact, "olap/fato_internacao", (), ["qtd_internacoes"]), "olap/fato_internacao"),
-        "fato_sentimento_comentario": stored(fact_comments(staged), "olap/fato_sentimento_comentario"),
+        "fato_sentimento_comentario": comment_facts,
         "dim_termo_sentimento": stored(term_counts(staged), "olap/dim_termo_sentimento"),
-        "termos_tfidf": stored(
-            tfidf_terms(gold, stopwords=(*lexicon.words, *d.TFIDF_EXTRA_STOPWORDS)), "gold/termos_tfidf"
-        ),
+        "termos_tfidf": tfidf,
     }
     star = Star(
         time=tables["dim_tempo"],
